@@ -185,7 +185,6 @@ _RECORDING = f"track_name, recording_msid, recording_mbid, {_ARTIST}, release_na
 
 
 def _pages(counts: str, ties: str, entries: str, size: str, name: str, page_size: int) -> str:
-    """`ties` orders equal counts; only unambiguous ones are listed."""
     return f""",
 counted AS ({counts}),
 placed AS (
@@ -281,7 +280,9 @@ SELECT o_orderkey,
  WHERE {_REQUESTED} NOT IN (SELECT user_name FROM users)""",
     "playcounts": _with(_EVENT_LISTENS, _USERS, _RECORDINGS, _PLAYCOUNTS) + "SELECT * FROM playcounts",
     "order_playcounts": _with(_ORDER_LISTENS, _USERS, _RECORDINGS, _PLAYCOUNTS) + "SELECT * FROM playcounts",
-    "order_playcounts_fan_out": _with(_FAN_OUT_LISTENS, _USERS, _RECORDINGS, _PLAYCOUNTS) + "SELECT * FROM playcounts",
+    "order_playcounts_fan_out": _with(_FAN_OUT_LISTENS, _USERS, _RECORDINGS, _PLAYCOUNTS)
+    + """SELECT user_id, count(*) AS recordings, CAST(sum("count") AS BIGINT) AS listens, max(recording_id) AS last_id
+  FROM playcounts GROUP BY user_id""",
     "mbid_recording_ids": _with(_EVENT_LISTENS, _MBID) + "SELECT * FROM recordings",
     "mbid_playcounts": _with(_EVENT_LISTENS, _MBID) + "SELECT * FROM playcounts",
     "mbid_playcount_audit": _with(_EVENT_LISTENS, _MBID)

@@ -253,8 +253,12 @@ def order_playcounts(spark, sf_dir):
 
 @registered
 def order_playcounts_fan_out(spark, sf_dir):
-    """Play counts where a recording_msid has many metadata variants."""
-    return _text(_playcounts(adapters.listens_from_orders(spark, sf_dir, fan_out=True)))
+    """Play counts where a recording_msid has many metadata variants, summed up per user."""
+    counts = _playcounts(adapters.listens_from_orders(spark, sf_dir, fan_out=True))
+    totals = counts.groupBy("user_id").agg(
+        F.count("*").alias("recordings"), F.sum("count").alias("listens"), F.max("recording_id").alias("last_id")
+    )
+    return _text(totals)
 
 
 @registered

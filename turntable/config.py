@@ -25,8 +25,10 @@ class EngineConfig:
     stats_epoch: datetime = datetime(2002, 1, 1)
 
     model_id_prefix: str = "turntable-model"
-    # ALS user and item blocks; None takes the cluster's total cores.
+    # ALS user and item blocks; None derives them from the number of ratings and cores.
     als_blocks: int | None = None
+    # Fits of the grid that run at the same time.
+    grid_parallelism: int = 4
     # Longest list nested into one row of per-user statistics.
     page_size: int = 10_000
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 import itertools
 import time
 import uuid
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -97,19 +99,25 @@ class GridResult(NamedTuple):
     runs: DataFrame
 
 
+def als_blocks(n_ratings: int, cores: int, cfg: EngineConfig) -> int:
+    """User and item blocks of a fit: about a million ratings each, and no more than the cores."""
+    return cfg.als_blocks or min(cores, 1 + n_ratings // 1_000_000)
+
+
 def fit_grid(training: DataFrame, validation: DataFrame, cfg: EngineConfig, model_id: str | None = None) -> GridResult:
     """Fit every combination of rank, lambda and iterations; the lowest validation RMSE wins.
 
-    The first of equals wins. Pass persisted or stored frames: each fit reads them again. ALS
-    cuts its lineage into the session's checkpoint folder. `model_id` names the winner.
+    The first of equals wins. Pass persisted or stored frames: each fit reads them again. A few
+    fits run at a time, so that the tail of one leaves no cores idle. ALS cuts its lineage into
+    the session's checkpoint folder. `model_id` names the winner.
     """
     spark = training.sparkSession
-    scratch = scratch_root(spark)
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(scratch)
-    blocks = cfg.als_blocks or max(10, spark.sparkContext.defaultParallelism)
-    runs, best = [], None
-    for rank, lmbda, iterations in itertools.product(cfg.ranks, cfg.lambdas, cfg.iterations):
+        spark.sparkContext.setCheckpointDir(scratch_root(spark))
+    blocks = als_blocks(training.count(), spark.sparkContext.defaultParallelism, cfg)
+
+    def fit(combination: tuple[int, float, int]) -> tuple[ALSModel, RmseResult, list]:
+        rank, lmbda, iterations = combination
         estimator = ALS(
             rank=rank,
             maxIter=iterations,
@@ -128,21 +136,19 @@ def fit_grid(training: DataFrame, validation: DataFrame, cfg: EngineConfig, mode
         model = estimator.fit(training)
         fitted = time.monotonic()
         error = rmse(model, validation)
-        run_id = new_model_id(cfg)
-        runs.append(
-            [run_id, rank, lmbda, iterations, error.rmse, error.rmse_scored, error.n_scored, error.n]
-            + [fitted - started, time.monotonic() - fitted]
-        )
-        if best is None or _error(error) < _error(best.validation):
-            best = GridResult(model, run_id, rank, lmbda, iterations, error, None)
-    winner = best.model_id
-    name = {winner: model_id or winner}
-    rows = [[name.get(run[0], run[0]), *run[1:], run[0] == winner] for run in runs]
-    return best._replace(model_id=name[winner], runs=spark.createDataFrame(rows, MODEL_RUN))
-
-
-def _error(result: RmseResult) -> float:
-    return float("inf") if result.rmse is None else result.rmse
+        seconds = [fitted - started, time.monotonic() - fitted]
+        return model, error, [*combination, error.rmse, error.rmse_scored, error.n_scored, error.n, *seconds]
+
+    combinations = list(itertools.product(cfg.ranks, cfg.lambdas, cfg.iterations))
+    with ThreadPool(min(cfg.grid_parallelism, len(combinations))) as pool:
+        fits = pool.map(inheritable_thread_target(spark)(fit), combinations, chunksize=1)
+    errors = [float("inf") if error.rmse is None else error.rmse for _, error, _ in fits]
+    winner = errors.index(min(errors))
+    ids = [new_model_id(cfg) for _ in fits]
+    ids[winner] = model_id or ids[winner]
+    rows = [[ids[i], *run, i == winner] for i, (_, _, run) in enumerate(fits)]
+    model, error, _ = fits[winner]
+    return GridResult(model, ids[winner], *combinations[winner], error, spark.createDataFrame(rows, MODEL_RUN))
 
 
 def load_model(path: str) -> ALSModel:

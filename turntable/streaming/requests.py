@@ -133,8 +133,12 @@ def stream_requests(
         F.sha2(F.concat_ws("\n", "_metadata.file_path", "value"), 256).alias("request_id"),
         F.col("value").alias("message"),
     )
+
+    def answer(batch: DataFrame, batch_id: int) -> None:
+        dispatch(batch, registry, out_path, batch_id)
+
     return (
-        requests.writeStream.foreachBatch(lambda batch, batch_id: dispatch(batch, registry, out_path, batch_id) and None)
+        requests.writeStream.foreachBatch(answer)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
