@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -195,6 +196,11 @@ def sql_user_counts(spark, sf_dir):
 # ---- dimensions and play counts
 
 
+def _stored_orders(spark: SparkSession, sf_dir: str, fan_out: bool = False) -> DataFrame:
+    """The order listens as a table, for queries that read them several times."""
+    return materialise(adapters.listens_from_orders(spark, sf_dir, fan_out))
+
+
 def _dims(listens: DataFrame) -> tuple[DataFrame, DataFrame]:
     return materialise(dimensions.users_dim(listens)), materialise(dimensions.recordings_dim(listens))
 
@@ -248,13 +254,13 @@ def playcounts(spark, sf_dir):
 
 @registered
 def order_playcounts(spark, sf_dir):
-    return _text(_playcounts(adapters.listens_from_orders(spark, sf_dir)))
+    return _text(_playcounts(_stored_orders(spark, sf_dir)))
 
 
 @registered
 def order_playcounts_fan_out(spark, sf_dir):
     """Play counts where a recording_msid has many metadata variants, summed up per user."""
-    counts = _playcounts(adapters.listens_from_orders(spark, sf_dir, fan_out=True))
+    counts = _playcounts(_stored_orders(spark, sf_dir, fan_out=True))
     totals = counts.groupBy("user_id").agg(
         F.count("*").alias("recordings"), F.sum("count").alias("listens"), F.max("recording_id").alias("last_id")
     )
@@ -307,15 +313,14 @@ class _Candidates:
 
     def __init__(self, spark: SparkSession, sf_dir: str, orders: bool = False):
         if orders:
-            listens, now = adapters.listens_from_orders(spark, sf_dir), ORDERS_NOW
+            self.listens, now = _stored_orders(spark, sf_dir), ORDERS_NOW
             self.relation = adapters.relation_from_orders(spark, sf_dir)
         else:
-            listens, now = adapters.listens_from_events(spark, sf_dir), EVENTS_NOW
+            self.listens, now = adapters.listens_from_events(spark, sf_dir), EVENTS_NOW
             self.relation = adapters.relation_from_events(spark, sf_dir)
-        window = listen_table.recent_listens(listens, now, CONFIG.generation_window_days)
-        self.listens = listens
-        self.top = candidates.top_artists(window, CONFIG.top_artists_limit)
-        self.similar = candidates.similar_artists(self.relation, CONFIG.similar_artists_limit)
+        window = listen_table.recent_listens(self.listens, now, CONFIG.generation_window_days)
+        self.top = materialise(candidates.top_artists(window, CONFIG.top_artists_limit))
+        self.similar = materialise(candidates.similar_artists(self.relation, CONFIG.similar_artists_limit))
 
     @property
     def with_relation(self) -> DataFrame:
@@ -323,14 +328,22 @@ class _Candidates:
 
     @property
     def net_similar(self) -> DataFrame:
-        self.top = materialise(self.top)
         return candidates.net_similar_artists(self.top, self.similar)
 
+    def recordings_of(self, artists: DataFrame, users: DataFrame, recordings: DataFrame) -> DataFrame:
+        return candidates.candidate_recordings(materialise(dimensions.with_user_id(artists, users)), recordings)
+
     def top_set(self, users: DataFrame, recordings: DataFrame) -> DataFrame:
-        return candidates.candidate_recordings(self.with_relation, users, recordings)
+        return self.recordings_of(self.with_relation, users, recordings)
 
     def similar_set(self, users: DataFrame, recordings: DataFrame) -> DataFrame:
-        return candidates.candidate_recordings(self.net_similar, users, recordings)
+        return self.recordings_of(self.net_similar, users, recordings)
+
+    def status(self, requested: DataFrame) -> DataFrame:
+        users, recordings = _dims(self.listens)
+        return candidates.user_status(
+            requested, users, self.top, materialise(self.with_relation), materialise(self.net_similar), recordings
+        )
 
 
 @registered
@@ -355,7 +368,9 @@ def order_similar_artists(spark, sf_dir):
 
 @registered
 def top_artists(spark, sf_dir):
-    return _text(_Candidates(spark, sf_dir).top)
+    listens = adapters.listens_from_events(spark, sf_dir)
+    window = listen_table.recent_listens(listens, EVENTS_NOW, CONFIG.generation_window_days)
+    return _text(candidates.top_artists(window, CONFIG.top_artists_limit))
 
 
 @registered
@@ -414,20 +429,13 @@ def order_similar_artist_candidates(spark, sf_dir):
 
 @registered
 def user_status(spark, sf_dir):
-    inputs = _Candidates(spark, sf_dir)
-    users, recordings = _dims(inputs.listens)
-    net_similar = inputs.net_similar
-    requested = _requested(spark, sf_dir)
-    return candidates.user_status(requested, users, inputs.top, inputs.with_relation, net_similar, recordings)
+    return _Candidates(spark, sf_dir).status(_requested(spark, sf_dir))
 
 
 @registered
 def order_user_status(spark, sf_dir):
-    inputs = _Candidates(spark, sf_dir, orders=True)
-    users, recordings = _dims(inputs.listens)
-    net_similar = inputs.net_similar
     requested = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_name").alias("user_name"))
-    return candidates.user_status(requested, users, inputs.top, inputs.with_relation, net_similar, recordings)
+    return _Candidates(spark, sf_dir, orders=True).status(requested)
 
 
 # ---- recommender
@@ -453,17 +461,23 @@ def als_model_runs(spark, sf_dir):
     return _fit(spark, sf_dir, CONFIG)[2].runs
 
 
+_ONE_FIT = replace(CONFIG, ranks=(8,), lambdas=(0.1,), iterations=(10,))
+
+
 @registered
 def als_recommendations(spark, sf_dir):
-    """Playlists of all users by a single fit."""
-    cfg = EngineConfig(
-        ranks=(8,), lambdas=(0.1,), iterations=(10,), top_artists_limit=5, similar_artists_limit=3
-    )
-    inputs, (users, recordings), grid = _fit(spark, sf_dir, cfg)
-    both = als.candidate_sets_union(
-        inputs.top_set(users, recordings), inputs.similar_set(users, recordings)
-    )
-    return als.recommend(grid.model, both, recordings, cfg)
+    """Playlists of all users from stored candidates, by a single fit."""
+    inputs, dims, grid = _fit(spark, sf_dir, _ONE_FIT)
+    both = als.candidate_sets_union(inputs.top_set(*dims), inputs.similar_set(*dims))
+    return als.recommend(grid.model, both, dims[1], _ONE_FIT)
+
+
+@registered
+def als_artist_recommendations(spark, sf_dir):
+    """The same playlists, scored while the candidates are expanded."""
+    inputs, (users, recordings), grid = _fit(spark, sf_dir, _ONE_FIT)
+    artists = als.candidate_sets_union(inputs.with_relation, inputs.net_similar)
+    return als.recommend_from_artists(grid.model, dimensions.with_user_id(artists, users), recordings, _ONE_FIT)
 
 
 # ---- requests

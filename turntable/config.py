@@ -67,6 +67,10 @@ class Layout:
     def similar_artist_set(self) -> str:
         return f"{self.root}/candidate_sets/similar_artist"
 
+    @property
+    def candidate_artists(self) -> str:
+        return f"{self.root}/candidate_sets/artists"
+
     @property
     def user_status(self) -> str:
         return f"{self.root}/candidate_sets/user_status"

@@ -14,13 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turntable.config import EngineConfig
+from turntable.operators.joins import fan_out_join
 from turntable.operators.ranking import top_n
 from turntable.schemas import MODEL_RUN
-from turntable.sources.tables import scratch_root
+from turntable.sources.tables import materialise, scratch_root
 
 SPLITS = ("training", "validation", "test")
 TOP_ARTIST_SET = "top_artist"
 SIMILAR_ARTIST_SET = "similar_artist"
+SETS = (TOP_ARTIST_SET, SIMILAR_ARTIST_SET)
 METADATA_COLUMNS = ["track_name", "recording_msid", "artist_name", "artist_msid", "release_name", "release_msid"]
 
 
@@ -156,7 +158,7 @@ def load_model(path: str) -> ALSModel:
 
 
 def candidate_sets_union(top: DataFrame, similar: DataFrame) -> DataFrame:
-    """Both candidate sets in one frame, told apart by `set`."""
+    """Both sets of candidates, or of the artists behind them, in one frame told apart by `set`."""
     return top.withColumn("set", F.lit(TOP_ARTIST_SET)).unionByName(
         similar.withColumn("set", F.lit(SIMILAR_ARTIST_SET))
     )
@@ -165,30 +167,43 @@ def candidate_sets_union(top: DataFrame, similar: DataFrame) -> DataFrame:
 def recommend(model: ALSModel, candidates: DataFrame, recordings: DataFrame, cfg: EngineConfig) -> DataFrame:
     """The best-scored candidates of each user and `set`, ranked and described.
 
-    Candidates that ALS cannot score are dropped. Only the ranked rows meet the recordings.
+    For stored candidates (user_id, recording_id, set). Candidates that ALS cannot score are
+    dropped. Only the ranked rows meet the recordings.
     """
+    return _playlists(predictions(model, candidates), recordings, cfg)
+
+
+def recommend_from_artists(
+    model: ALSModel, artists: DataFrame, recordings: DataFrame, cfg: EngineConfig
+) -> DataFrame:
+    """`recommend` over all recordings of each user's artists (user_id, artist_name, set).
+
+    The factors travel with the artists and the recordings, so a candidate is scored where it
+    arises and most are cut there: of all candidates only each user's best per task are shuffled.
+    """
+    user_factors = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("_user"))
+    item_factors = model.itemFactors.select(F.col("id").alias("recording_id"), F.col("features").alias("_item"))
+    left = artists.select("user_id", "artist_name", "set").join(user_factors, "user_id")
+    right = recordings.select("recording_id", "artist_name").join(item_factors, "recording_id")
+    pairs = fan_out_join(materialise(left), materialise(right), "artist_name")
+    score = sum((F.col("_user")[i] * F.col("_item")[i] for i in range(1, model.rank)), F.col("_user")[0] * F.col("_item")[0])
+    scored = pairs.select("user_id", "recording_id", "set", score.cast("float").alias("prediction"))
+    return _playlists(scored, recordings, cfg)
+
+
+def _playlists(scored: DataFrame, recordings: DataFrame, cfg: EngineConfig) -> DataFrame:
     limits = {
         TOP_ARTIST_SET: cfg.top_artist_recommendations,
         SIMILAR_ARTIST_SET: cfg.similar_artist_recommendations,
     }
-    ranked = top_n(
-        predictions(model, candidates),
-        ["user_id", "set"],
-        [F.desc("prediction"), F.asc("recording_id")],
-        max(limits.values()),
-    )
+    order = [F.desc("prediction"), F.asc("recording_id")]
+    ranked = top_n(scored, ["user_id", "set"], order, max(limits.values()))
     limit = F.when(F.col("set") == TOP_ARTIST_SET, limits[TOP_ARTIST_SET]).otherwise(limits[SIMILAR_ARTIST_SET])
+    described = recordings.select("recording_id", *METADATA_COLUMNS)
     return (
         ranked.where(F.col("rank") <= limit)
-        .join(recordings.select("recording_id", *METADATA_COLUMNS), "recording_id")
-        .select(
-            "user_id",
-            "set",
-            "rank",
-            "recording_id",
-            F.col("prediction").alias("rating"),
-            *METADATA_COLUMNS,
-        )
+        .join(described, "recording_id")
+        .select("user_id", "set", "rank", "recording_id", F.col("prediction").alias("rating"), *METADATA_COLUMNS)
     )
 
 

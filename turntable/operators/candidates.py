@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from turntable.operators.joins import fan_out_join
 from turntable.operators.ranking import top_n
-from turntable.sources.tables import materialise
 
 
 def top_artists(listens: DataFrame, limit: int) -> DataFrame:
@@ -78,13 +77,14 @@ def similar_artist_report(top: DataFrame, similar: DataFrame) -> DataFrame:
     )
 
 
-def candidate_recordings(artists: DataFrame, users: DataFrame, recordings: DataFrame) -> DataFrame:
+def candidate_recordings(artists: DataFrame, recordings: DataFrame) -> DataFrame:
     """All recordings of each user's artists, as (user_id, recording_id).
 
-    Recordings match by artist name. `artists` holds distinct (user_name, artist_name).
+    Recordings match by artist name. `artists` is a stored table with distinct
+    (user_id, artist_name); see `fan_out_join`.
     """
-    wanted = artists.join(users.select("user_name", "user_id"), "user_name").select("user_id", "artist_name")
-    return fan_out_join(materialise(wanted), recordings.select("artist_name", "recording_id"), "artist_name").select(
+    wanted = artists.select("user_id", "artist_name")
+    return fan_out_join(wanted, recordings.select("artist_name", "recording_id"), "artist_name").select(
         "user_id", "recording_id"
     )
 

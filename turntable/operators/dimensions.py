@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from turntable.operators.joins import fan_out_join
 from turntable.operators.ranking import dense_id
+from turntable.sources.tables import materialise
 
 RECORDING_KEYS = ["track_name", "recording_msid", "artist_name", "artist_msid", "release_name", "release_msid"]
 
+# Metadata variants of one msid up to which its play counts are joined without splitting.
+_MANY_VARIANTS = 100
+
 
 def users_dim(listens: DataFrame) -> DataFrame:
     """Distinct users, numbered in name order."""
@@ -25,6 +30,11 @@ def user_ids(names: DataFrame, users: DataFrame) -> DataFrame:
     return names.select("user_name").distinct().join(users.select("user_name", "user_id"), "user_name")
 
 
+def with_user_id(rows: DataFrame, users: DataFrame) -> DataFrame:
+    """Add `user_id` to rows with a `user_name`; rows of unknown users are dropped."""
+    return rows.join(users.select("user_name", "user_id"), "user_name")
+
+
 def unknown_users(names: DataFrame, users: DataFrame) -> DataFrame:
     """Requested `user_name`s that do not exist."""
     return names.select("user_name").distinct().join(users, "user_name", "left_anti")
@@ -36,17 +46,23 @@ def playcounts(listens: DataFrame, users: DataFrame, recordings: DataFrame) -> D
     A recording_msid with several metadata variants counts under each of them. Listens are
     counted per name and msid before the joins, which then move one row per pair. As ids
     identify the dimension rows, each joined row is final and nothing is aggregated again.
+
+    The joins look up one row per pair, or a few, which adaptive execution splits when a name or
+    msid is hot. Should an msid have very many variants, its output is split by size instead.
     """
     counted = (
         listens.where(F.col("user_name").isNotNull() & F.col("recording_msid").isNotNull())
         .groupBy("user_name", "recording_msid")
         .agg(F.count("*").alias("count"))
     )
-    return (
-        counted.join(users.select("user_name", "user_id"), "user_name")
-        .join(recordings.select("recording_msid", "recording_id"), "recording_msid")
-        .select("user_id", "recording_id", "count")
-    )
+    named = counted.join(users.select("user_name", "user_id"), "user_name").drop("user_name")
+    variants = recordings.select("recording_msid", "recording_id")
+    most = variants.groupBy("recording_msid").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if most > _MANY_VARIANTS:
+        joined = fan_out_join(materialise(named), variants, "recording_msid")
+    else:
+        joined = named.join(variants, "recording_msid")
+    return joined.select("user_id", "recording_id", "count")
 
 
 def mbid_recordings_dim(listens: DataFrame) -> DataFrame:

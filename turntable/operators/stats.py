@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turntable.operators.ranking import positions
+from turntable.sources.tables import materialise
 
 ARTIST_COLUMNS = ("artist_name", "artist_msid", "artist_mbids")
 RELEASE_COLUMNS = ("release_name", "release_msid", "release_mbid", *ARTIST_COLUMNS)
@@ -45,20 +46,32 @@ def nest_by_user(counts: DataFrame, entries: str, size: str, page_size: int = 10
     """One list of entries per user, most listened first, with the number of the user's entries.
 
     A list longer than `page_size` continues on the user's next page, so no row and no task
-    holds an unbounded list; most users have page 0 only. `counts` comes from `user_artists`,
+    holds an unbounded list; other users have page 0 only. `counts` comes from `user_artists`,
     `user_recordings` or `user_releases`. Ties are ordered by the entry's columns.
     """
+    counts = materialise(counts)
+    sizes = counts.groupBy("user_name").agg(F.count("*").alias("_size"))
+    long_lists = materialise(sizes.where(F.col("_size") > page_size).select(F.col("user_name").alias("_user")))
     columns = [name for name in counts.columns if name not in ("user_name", "listen_count")]
-    order = [F.desc("listen_count"), *[F.asc(name) for name in columns]]
-    placed = positions(counts, ["user_name"], order, size=size)
-    page = F.floor((F.col("position") - 1) / page_size).cast("int")
-    entry = F.struct(*columns, "listen_count")
-    listed = F.sort_array(F.collect_list(F.struct("position", entry.alias("entry"))))
-    return (
-        placed.groupBy("user_name", page.alias("page"))
-        .agg(listed.alias("placed"), F.first(size).alias(size))
-        .select("user_name", "page", F.col("placed.entry").alias(entries), size)
+
+    def one_list(*sort_key: Column) -> Column:
+        placed = F.sort_array(F.collect_list(F.struct(*sort_key, F.struct(*columns, "listen_count").alias("entry"))))
+        return F.transform(placed, lambda item: item["entry"]).alias(entries)
+
+    is_long = F.col("user_name").eqNullSafe(F.col("_user"))
+    whole = (
+        counts.join(long_lists, is_long, "left_anti")
+        .groupBy("user_name")
+        .agg(one_list((-F.col("listen_count")).alias("_less"), *columns), F.count("*").alias(size))
+        .select("user_name", F.lit(0).alias("page"), entries, size)
     )
+    if long_lists.isEmpty():
+        return whole
+    order = [F.desc("listen_count"), *[F.asc(name) for name in columns]]
+    placed = positions(counts.join(long_lists, is_long, "left_semi"), ["user_name"], order, size=size)
+    page = F.floor((F.col("position") - 1) / page_size).cast("int").alias("page")
+    paged = placed.groupBy("user_name", page).agg(one_list(F.col("position")), F.first(size).alias(size))
+    return whole.unionByName(paged)
 
 
 def user_artist_summary(listens: DataFrame) -> DataFrame:

@@ -123,7 +123,7 @@ def build_candidate_sets(
     cfg: EngineConfig,
     requested: DataFrame | None = None,
 ) -> None:
-    """Write both candidate sets, the report of similar artists and the status of each user.
+    """Write both candidate sets, the artists behind them, the similar artists and each user's status.
 
     `requested` holds a `user_name` column; without it all users of the window are taken.
     """
@@ -131,19 +131,24 @@ def build_candidate_sets(
     months = listen_table.scan_months(listen_table.read_listens(spark, layout.listens), start, end)
     window = listen_table.recent_listens(months, as_of, cfg.generation_window_days)
     users, recordings = read_table(spark, layout.users), read_table(spark, layout.recordings)
-    requested = materialise((requested if requested is not None else window).select("user_name").distinct())
-    wanted = dimensions.user_ids(requested, users)
-    top = materialise(
-        candidates.top_artists(window.join(wanted.select("user_name"), "user_name", "left_semi"), cfg.top_artists_limit)
-    )
+    if requested is None:
+        requested = window
+    else:
+        window = window.join(dimensions.user_ids(requested, users).select("user_name"), "user_name", "left_semi")
+    top = materialise(candidates.top_artists(window, cfg.top_artists_limit))
     relation = read_table(spark, layout.artists_relation)
     similar = materialise(candidates.similar_artists(relation, cfg.similar_artists_limit))
-    with_relation = materialise(candidates.top_artists_with_relation(top, similar))
-    net_similar = materialise(candidates.net_similar_artists(top, similar))
-    overwrite(candidates.candidate_recordings(with_relation, users, recordings), layout.top_artist_set)
-    overwrite(candidates.candidate_recordings(net_similar, users, recordings), layout.similar_artist_set)
     overwrite(candidates.similar_artist_report(top, similar), layout.similar_artist_report)
-    status = candidates.user_status(requested, users, top, with_relation, net_similar, recordings)
+
+    artists = als.candidate_sets_union(
+        candidates.top_artists_with_relation(top, similar), candidates.net_similar_artists(top, similar)
+    )
+    overwrite(dimensions.with_user_id(artists, users), layout.candidate_artists)
+    artists = read_table(spark, layout.candidate_artists)
+    of_top, of_similar = (artists.where(F.col("set") == name) for name in als.SETS)
+    overwrite(candidates.candidate_recordings(of_top, recordings), layout.top_artist_set)
+    overwrite(candidates.candidate_recordings(of_similar, recordings), layout.similar_artist_set)
+    status = candidates.user_status(requested, users, top, of_top, of_similar, recordings)
     overwrite(status, layout.user_status)
 
 
@@ -153,14 +158,12 @@ def build_recommendations(
     """Write ranked playlists by the latest model, for all users with candidates or those requested."""
     model = als.load_model(layout.model(latest_model(spark, layout).model_id))
     users, recordings = read_table(spark, layout.users), read_table(spark, layout.recordings)
-    both = als.candidate_sets_union(
-        read_table(spark, layout.top_artist_set), read_table(spark, layout.similar_artist_set)
-    )
+    artists = read_table(spark, layout.candidate_artists)
     if requested is None:
         requested = read_table(spark, layout.user_status).select("user_name")
     else:
-        both = both.join(dimensions.user_ids(requested, users).select("user_id"), "user_id", "left_semi")
-    overwrite(als.recommend(model, both, recordings, cfg), layout.recommendations)
+        artists = artists.join(dimensions.user_ids(requested, users).select("user_id"), "user_id", "left_semi")
+    overwrite(als.recommend_from_artists(model, artists, recordings, cfg), layout.recommendations)
     playlists = read_table(spark, layout.recommendations)
     overwrite(als.recommendation_status(requested, users, playlists), layout.recommendation_status)
 
