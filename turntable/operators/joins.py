@@ -8,51 +8,54 @@ from pyspark.sql import functions as F
 from turntable.sources.tables import materialise
 
 
-def fan_out_join(left: DataFrame, right: DataFrame, key: str, rows_per_slice: int = 1_000_000) -> DataFrame:
+def fan_out_join(left: DataFrame, right: DataFrame, key: str, pairs_per_cell: int = 1_000_000) -> DataFrame:
     """Inner join on `key` that splits a hot key by the size of its output.
 
-    A key with l rows left and r rows right yields l * r rows, which the sizes of the shuffled
-    inputs do not show, so adaptive skew handling misses it. Keys above a share of the whole
-    output are cut into slices: the rows of the larger side are dealt over the slices, those of
-    the smaller side are copied to each. Every pair still meets in exactly one slice.
+    A key with l rows left and r rows right yields l * r pairs, which the sizes of the shuffled
+    inputs do not show, so adaptive skew handling misses it. The pairs of a hot key are cut into
+    a grid: left rows are dealt over its rows, right rows over its columns, and each is copied
+    along the other axis. Every pair still meets in exactly one cell, and no cell holds many
+    rows of either side.
 
     Each side is read twice; pass tables or materialised frames, not long plans. Each side needs
     a column besides the key, under a name of its own.
     """
-    spark = left.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pairs = materialise(
         left.groupBy(key)
-        .agg(F.count("*").alias("_l"))
-        .join(right.groupBy(key).agg(F.count("*").alias("_r")), key)
-        .select(key, "_l", "_r", (F.col("_l").cast("double") * F.col("_r")).alias("_pairs"))
+        .agg(F.count("*").cast("double").alias("_l"))
+        .join(right.groupBy(key).agg(F.count("*").cast("double").alias("_r")), key)
+        .select(key, "_l", "_r", (F.col("_l") * F.col("_r")).alias("_pairs"))
     )
     total = pairs.agg(F.sum("_pairs")).first()[0] or 0.0
-    # At most 4 * partitions keys can hold that share each, which bounds the broadcast below.
-    share = max(float(rows_per_slice), total / (4 * partitions))
-    if total <= share:
-        hot = None
-    else:
-        hot = pairs.where(F.col("_pairs") > share).select(
-            key,
-            F.least(F.ceil(F.col("_pairs") / share), F.greatest("_l", "_r")).cast("int").alias("_slices"),
-            (F.col("_l") >= F.col("_r")).alias("_deal_left"),
-        )
+    # Fewer than 4 * partitions keys can be above such a share, which bounds the broadcasts below.
+    share = max(float(pairs_per_cell), total / (4 * partitions))
+    hot = pairs.where(F.col("_pairs") > share)
+    # An explicit count keeps the tasks: by their input bytes alone they would be coalesced.
+    if hot.isEmpty():
+        return left.repartition(partitions, key).join(right.repartition(partitions, key), key)
+
+    smaller, larger = F.least("_l", "_r"), F.greatest("_l", "_r")
+    smaller_cuts = F.ceil(smaller / share**0.5)
+    larger_cuts = F.ceil(larger * (smaller / smaller_cuts) / share)
+    left_is_smaller = F.col("_l") <= F.col("_r")
+    cuts = hot.select(
+        key,
+        F.when(left_is_smaller, smaller_cuts).otherwise(larger_cuts).alias("_left_cuts"),
+        F.when(left_is_smaller, larger_cuts).otherwise(smaller_cuts).alias("_right_cuts"),
+    )
 
-    def sliced(side: DataFrame, is_left: bool) -> DataFrame:
-        if hot is None:
-            return side.withColumn("_slice", F.lit(0))
-        others = [F.col(name) for name in side.columns if name != key]
-        dealt = F.array(F.pmod(F.xxhash64(*others), F.col("_slices")).cast("int"))
-        copied = F.sequence(F.lit(0), F.col("_slices") - 1)
-        deals = F.col("_deal_left") == F.lit(is_left)
-        slices = F.when(F.col("_slices").isNull(), F.array(F.lit(0))).when(deals, dealt).otherwise(copied)
-        marked = side.join(F.broadcast(hot), key, "left").withColumn("_slice", F.explode(slices))
-        return marked.drop("_slices", "_deal_left")
+    def gridded(side: DataFrame, own: str, other: str) -> DataFrame:
+        columns = [F.col(name) for name in side.columns if name != key]
+        dealt = F.pmod(F.xxhash64(*columns), F.coalesce(f"{own}_cuts", F.lit(1)))
+        copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(f"{other}_cuts", F.lit(1)) - 1)
+        return (
+            side.join(F.broadcast(cuts), key, "left")
+            .withColumn(own, dealt)
+            .withColumn(other, F.explode(copies))
+            .drop("_left_cuts", "_right_cuts")
+            .repartition(partitions, key, "_left", "_right")
+        )
 
-    # An explicit count keeps the tasks: by their input bytes alone they would be coalesced.
-    spread = [
-        sliced(side, is_left).repartition(partitions, key, "_slice")
-        for side, is_left in ((left, True), (right, False))
-    ]
-    return spread[0].join(spread[1], [key, "_slice"]).drop("_slice")
+    cell = [key, "_left", "_right"]
+    return gridded(left, "_left", "_right").join(gridded(right, "_right", "_left"), cell).drop("_left", "_right")
