@@ -74,7 +74,8 @@ def test_import_of_raw_listens(spark, tmp_path):
 
 def test_dataframes(spark, layout, built):
     assert (built.listens_count, built.users_count, built.recordings_count) == (450, 11, 21)
-    assert (built.from_date, built.to_date, built.updated) == (datetime(2019, 1, 1), NOW, False)
+    stored = jobs.latest_dataframes(spark, layout)
+    assert (stored.from_date, stored.to_date, stored.updated) == (datetime(2019, 1, 1), NOW, False)
     counts = read_table(spark, layout.playcounts)
     assert counts.columns == ["user_id", "recording_id", "count"]
     assert built.playcounts_count == counts.count()
@@ -88,6 +89,7 @@ def test_training_completes_the_metadata(spark, layout, built, trained):
     latest = jobs.latest_model(spark, layout)
     assert latest.model_id == built.model_id == trained.model_id
     assert latest.updated and latest.listens_count == 450
+    assert (latest.from_date, latest.to_date) == (datetime(2019, 1, 1), NOW)
     assert latest.training_data_count + latest.validation_data_count + latest.test_data_count == built.playcounts_count
     assert latest.model_param["rank"] == 2 and latest.model_param.alpha == 3.0
     assert latest.validation_rmse == pytest.approx(trained.validation.rmse) and latest.test_rmse > 0

@@ -192,3 +192,22 @@ def test_raw_files(spark, tmp_path):
     assert flat.schema.fieldNames() == LISTEN.fieldNames()
     assert [f.dataType for f in flat.schema] == [f.dataType for f in LISTEN]
     assert {row.listened_at for row in flat.collect()} == {datetime(1970, 1, 1), datetime(2019, 10, 13, 20, 53, 20, 250000)}
+
+
+def test_months_do_not_depend_on_the_session_time_zone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    lines = spark.createDataFrame([(json.dumps({**raw(), "listened_at": 1577836800}),)], "value string")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        flat = table.with_month(table.flatten_listens(table.parse_raw_listens(lines)))
+        table.write_listens(flat, path)
+        stored = table.read_listens(spark, path)
+        assert [(row.year, row.month) for row in stored.collect()] == [(2020, 1)]
+        new_year = datetime(2020, 1, 1)
+        for frame in (stored, stored.drop("year", "month")):
+            assert table.scan_months(frame, new_year, new_year).count() == 1
+        assert table.recent_listens(stored, new_year, 7).count() == 0
+        assert table.recent_listens(stored, datetime(2020, 1, 1, 0, 0, 1), 0).count() == 1
+        assert table.listens_of_year(stored.withColumn("recording_mbid", F.lit("m")), 2020).count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

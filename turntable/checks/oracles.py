@@ -246,6 +246,9 @@ ORACLES: dict[str, str] = {
     ),
     "artist_popularity": _with(_EVENT_LISTENS)
     + """SELECT nullif(artist_mbids, '') AS artist_mbid, count(nullif(artist_mbids, '')) AS cnt
+  FROM listens GROUP BY 1""",
+    "artist_popularity_csv": _with(_EVENT_LISTENS)
+    + """SELECT nullif(artist_mbids, '') AS artist_mbid, count(nullif(artist_mbids, '')) AS cnt
   FROM listens GROUP BY 1""",
     "month_range_scan": _with(_ORDER_LISTENS) + f"SELECT {_TEXT_COLUMNS} FROM listens WHERE {_TRAINING_MONTHS}",
     "month_table_scan": _with(_ORDER_LISTENS) + f"SELECT {_TEXT_COLUMNS} FROM listens WHERE {_TRAINING_MONTHS}",
@@ -337,6 +340,13 @@ buckets AS (
                        WHEN 'purchase' THEN (SELECT count(DISTINCT artist_msid) FROM listens WHERE user_name = 'user_1')
                        ELSE 0 END AS result_rows
   FROM events""",
+    "published_user_stats": _with(_EVENT_LISTENS)
+    + f""",
+counted AS ({_counts(_ARTIST, "artist_name")})
+SELECT user_name, count(*) AS artist_count,
+       string_agg(artist_name || '=' || CAST(listen_count AS VARCHAR), ',' ORDER BY listen_count DESC, artist_name)
+         AS artist_stats
+  FROM counted GROUP BY user_name""",
     "dispatch_stream": """
 SELECT CASE event_type WHEN 'view' THEN 'ok' WHEN 'purchase' THEN 'ok' WHEN 'signup' THEN 'failed'
                        WHEN 'click' THEN 'unknown_query' ELSE 'bad_request' END AS status,

@@ -15,7 +15,7 @@ from turntable.operators import als, candidates, dimensions, stats
 from turntable.plans import jobs
 from turntable.sources import adapters
 from turntable.sources import listens as listen_table
-from turntable.sources.tables import materialise, run_sql, scratch_path
+from turntable.sources.tables import materialise, overwrite, run_sql, scratch_path
 from turntable.streaming import requests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,15 @@ def artist_popularity(spark, sf_dir):
     return stats.artist_popularity(adapters.mbid_listens_from_events(spark, sf_dir))
 
 
+@registered
+def artist_popularity_csv(spark, sf_dir):
+    """The ranking through its CSV export."""
+    source, csv = scratch_path(spark), scratch_path(spark)
+    overwrite(adapters.mbid_listens_from_events(spark, sf_dir), source)
+    jobs.export_artist_popularity(spark, source, csv, "parquet")
+    return spark.read.schema("artist_mbid string, cnt bigint").csv(csv)
+
+
 @registered
 def order_user_artists(spark, sf_dir):
     return _text(stats.user_artists(adapters.listens_from_orders(spark, sf_dir)))
@@ -197,8 +206,9 @@ def sql_user_counts(spark, sf_dir):
 
 
 def _stored_orders(spark: SparkSession, sf_dir: str, fan_out: bool = False) -> DataFrame:
-    """The order listens as a table, for queries that read them several times."""
-    return materialise(adapters.listens_from_orders(spark, sf_dir, fan_out))
+    """What the dimensions and windows take of the order listens, for queries that read it several times."""
+    listens = adapters.listens_from_orders(spark, sf_dir, fan_out)
+    return materialise(listens.select("listened_at", "user_name", *dimensions.RECORDING_KEYS))
 
 
 def _dims(listens: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -494,6 +504,19 @@ def dispatch_results(spark, sf_dir):
     return responses.select("request_id", "status", F.coalesce("result_rows", F.lit(0)).alias("result_rows"))
 
 
+@registered
+def published_user_stats(spark, sf_dir):
+    """What the requests publish for all users, read back from its JSON payload."""
+    out = scratch_path(spark)
+    requests.dispatch(adapters.requests_from_events(spark, sf_dir), _registry(spark, sf_dir), out)
+    payload = "user_name string, artist_count bigint, artist_stats array<struct<artist_name: string, listen_count: bigint>>"
+    published = requests.read_results(spark, out).select(F.from_json("payload", payload).alias("p")).select("p.*")
+    listed = F.transform("artist_stats", lambda e: F.concat_ws("=", e["artist_name"], e["listen_count"].cast("string")))
+    return published.where("artist_stats IS NOT NULL").select(
+        "user_name", "artist_count", F.array_join(listed, ",").alias("artist_stats")
+    )
+
+
 @registered
 def dispatch_stream(spark, sf_dir):
     """The same requests as files of a stream, counted by outcome."""

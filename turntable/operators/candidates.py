@@ -120,7 +120,7 @@ def user_status(
 
     Works on who is present at each step, never on the candidates themselves.
     """
-    playable = net_similar.join(recordings.select("artist_name"), "artist_name", "left_semi")
+    playable = net_similar.join(recordings.select("artist_name").distinct(), "artist_name", "left_semi")
     steps = [
         (UNKNOWN_USER, users),
         (NO_LISTENS, top),

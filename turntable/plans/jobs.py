@@ -17,7 +17,7 @@ from turntable.sources.tables import append, materialise, overwrite, read_table,
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 def import_listens(spark: SparkSession, json_dir: str, layout: Layout, mode: str = "overwrite", raw: bool = False) -> None:
@@ -47,8 +47,8 @@ def create_dataframes(spark: SparkSession, layout: Layout, as_of: datetime, cfg:
     overwrite(sorted_by(counts, "user_id", "recording_id"), layout.playcounts)
     metadata = {
         "dataframe_created": _now(),
-        "from_date": start,
-        "to_date": end,
+        "from_date": start.replace(tzinfo=timezone.utc),
+        "to_date": end.replace(tzinfo=timezone.utc),
         "listens_count": listens.count(),
         "users_count": users.count(),
         "recordings_count": recordings.count(),
@@ -85,7 +85,11 @@ def _latest(metadata: DataFrame, moment: str) -> Row | None:
 
 def train_models(spark: SparkSession, layout: Layout, cfg: EngineConfig) -> als.GridResult:
     """Search the grid, save the best model under the id of its dataframes, append its metadata."""
-    built = latest_dataframes(spark, layout).asDict()
+    # Collected timestamps are in the local zone of the driver.
+    built = {
+        name: value.astimezone(timezone.utc) if isinstance(value, datetime) else value
+        for name, value in latest_dataframes(spark, layout).asDict().items()
+    }
     split = als.hash_split(read_table(spark, layout.playcounts), cfg)
     parts = {
         name: als.ratings(split.where(F.col("split") == name)).persist(StorageLevel.MEMORY_AND_DISK)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turntable.errors import InvalidWindow, WriteError
 from turntable.schemas import LISTEN, LISTEN_TABLE, RAW_LISTEN
@@ -58,8 +59,14 @@ def flatten_listens(raw: DataFrame) -> DataFrame:
 
 
 def with_month(listens: DataFrame) -> DataFrame:
-    """Add partition columns from `listened_at`; a row without a time gets none."""
-    return listens.withColumn("year", F.year("listened_at")).withColumn("month", F.month("listened_at"))
+    """Add partition columns from `listened_at` in UTC; a row without a time gets none.
+
+    The month of a listen must not depend on the time zone of the session that stored it.
+    """
+    time = F.col("listened_at")
+    if listens.schema["listened_at"].dataType == T.TimestampType():
+        time = F.to_utc_timestamp(time, F.current_timezone())
+    return listens.withColumn("year", F.year(time)).withColumn("month", F.month(time))
 
 
 def read_dump(spark: SparkSession, json_dir: str) -> DataFrame:
@@ -115,8 +122,13 @@ def read_invalid(spark: SparkSession, path: str) -> DataFrame:
 
 
 def instant(listens: DataFrame, moment: datetime, column: str = "listened_at") -> Column:
-    """A literal of the column's own timestamp type, so that comparisons reach the scan."""
-    return F.lit(moment.isoformat(sep=" ")).cast(listens.schema[column].dataType)
+    """A literal of the column's own timestamp type, so that comparisons reach the scan.
+
+    `moment` is naive and in UTC, whatever the session's time zone.
+    """
+    dtype = listens.schema[column].dataType
+    zone = "Z" if dtype == T.TimestampType() else ""
+    return F.lit(moment.isoformat(sep=" ") + zone).cast(dtype)
 
 
 def scan_months(listens: DataFrame, start: datetime, end: datetime) -> DataFrame:
@@ -140,9 +152,9 @@ def scan_months(listens: DataFrame, start: datetime, end: datetime) -> DataFrame
 
 def recent_listens(listens: DataFrame, as_of: datetime, days: int) -> DataFrame:
     """Listens from midnight `days` before `as_of` up to, not including, `as_of`."""
-    now = instant(listens, as_of)
-    midnight = F.date_sub(now.cast("date"), days).cast(listens.schema["listened_at"].dataType)
-    return listens.where((F.col("listened_at") >= midnight) & (F.col("listened_at") < now))
+    midnight = (as_of - timedelta(days=days)).replace(hour=0, minute=0, second=0, microsecond=0)
+    time = F.col("listened_at")
+    return listens.where((time >= instant(listens, midnight)) & (time < instant(listens, as_of)))
 
 
 def listens_of_year(listens: DataFrame, year: int) -> DataFrame:
