@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from turntable.config import EngineConfig
-from turntable.operators import als
+from turntable.operators import als, dimensions
 from turntable.sources.tables import materialise
 
 CFG = EngineConfig(
@@ -83,7 +83,7 @@ def catalogue(spark):
     recordings = spark.range(1, 62).select(
         F.col("id").cast("int").alias("recording_id"),
         F.concat(F.lit("artist "), F.col("id") % 6).alias("artist_name"),
-        *[F.concat(F.lit(f"{name} "), "id").alias(name) for name in als.METADATA_COLUMNS if name != "artist_name"],
+        *[F.concat(F.lit(f"{name} "), "id").alias(name) for name in dimensions.RECORDING_KEYS if name != "artist_name"],
     )
     pairs = spark.range(31 * 6).select(
         (F.col("id") % 31 + 1).cast("int").alias("user_id"),

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from turntable.checks.registered import CONFIG, EVENTS_NOW, REGISTERED
+from turntable.checks.registered import CONFIG, EVENTS_NOW
 from turntable.operators import candidates, dimensions, stats
 from turntable.operators.joins import fan_out_join
 from turntable.sources import adapters
@@ -76,13 +76,5 @@ def test_fan_out_join_needs_no_further_shuffle(spark, no_broadcast):
         assert text.count("Exchange hashpartitioning") == 2
 
 
-# ALS plans its own joins; the rest must neither multiply rows blindly nor leave the JVM.
-@pytest.mark.parametrize("name", sorted(set(REGISTERED) - {"als_model_runs", "dispatch_results", "dispatch_stream"}))
-def test_no_cross_joins_nor_python(spark, sf_dir, name):
-    text = plan(REGISTERED[name](spark, sf_dir))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
-        assert operator not in text
-
-
 def test_configuration_of_the_queries_keeps_the_defaults_otherwise():
     assert (CONFIG.ranks, CONFIG.lambdas, CONFIG.iterations, CONFIG.alpha) == ((8, 12), (0.1, 10.0), (10, 20), 3.0)

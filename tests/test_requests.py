@@ -25,7 +25,7 @@ def registry(spark):
 
 MESSAGES = {
     1: "{}",
-    2: '{"query": "idk_what_this_means"}',
+    2: '{"query": "no.such.query"}',
     3: '{"query": "stats.user.all"}',
     4: '{"query": "stats.user.all", "params": {}}',
     5: '{"query": "stats.user.artists", "params": {"user_name": "u1"}}',
@@ -83,7 +83,7 @@ def test_stream_of_files(spark, registry, tmp_path):
     first = run()
     assert first == [(0, "bad_request", 0), (0, "ok", 2)]
     assert run() == first
-    (tmp_path / "in" / "2.txt").write_text('{"query": "idk"}\n')
+    (tmp_path / "in" / "2.txt").write_text('{"query": "no.such.query"}\n')
     assert run() == [*first, (1, "unknown_query", 0)]
 
 

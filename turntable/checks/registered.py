@@ -212,7 +212,7 @@ def _stored_orders(spark: SparkSession, sf_dir: str, fan_out: bool = False) -> D
 
 
 def _dims(listens: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return materialise(dimensions.users_dim(listens)), materialise(dimensions.recordings_dim(listens))
+    return dimensions.users_dim(listens), dimensions.recordings_dim(listens)
 
 
 def _playcounts(listens: DataFrame) -> DataFrame:
@@ -461,8 +461,12 @@ def _fit(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> tuple[_Candidat
     inputs = _Candidates(spark, sf_dir)
     dims = _dims(inputs.listens)
     split = materialise(als.hash_split(dimensions.playcounts(inputs.listens, *dims), cfg))
-    training, validation = (als.ratings(split.where(F.col("split") == name)) for name in als.SPLITS[:2])
-    return inputs, dims, als.fit_grid(training.persist(), validation.persist(), cfg)
+    parts = [als.ratings(split.where(F.col("split") == name)).persist() for name in als.SPLITS[:2]]
+    try:
+        return inputs, dims, als.fit_grid(*parts, cfg)
+    finally:
+        for part in parts:
+            part.unpersist()
 
 
 @registered

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turntable.config import EngineConfig
+from turntable.operators.dimensions import RECORDING_KEYS
 from turntable.operators.joins import fan_out_join
 from turntable.operators.ranking import top_n
 from turntable.schemas import MODEL_RUN
@@ -23,7 +24,6 @@ SPLITS = ("training", "validation", "test")
 TOP_ARTIST_SET = "top_artist"
 SIMILAR_ARTIST_SET = "similar_artist"
 SETS = (TOP_ARTIST_SET, SIMILAR_ARTIST_SET)
-METADATA_COLUMNS = ["track_name", "recording_msid", "artist_name", "artist_msid", "release_name", "release_msid"]
 
 
 def new_model_id(cfg: EngineConfig) -> str:
@@ -199,11 +199,11 @@ def _playlists(scored: DataFrame, recordings: DataFrame, cfg: EngineConfig) -> D
     order = [F.desc("prediction"), F.asc("recording_id")]
     ranked = top_n(scored, ["user_id", "set"], order, max(limits.values()))
     limit = F.when(F.col("set") == TOP_ARTIST_SET, limits[TOP_ARTIST_SET]).otherwise(limits[SIMILAR_ARTIST_SET])
-    described = recordings.select("recording_id", *METADATA_COLUMNS)
+    described = recordings.select("recording_id", *RECORDING_KEYS)
     return (
         ranked.where(F.col("rank") <= limit)
         .join(described, "recording_id")
-        .select("user_id", "set", "rank", "recording_id", F.col("prediction").alias("rating"), *METADATA_COLUMNS)
+        .select("user_id", "set", "rank", "recording_id", F.col("prediction").alias("rating"), *RECORDING_KEYS)
     )
 
 
@@ -233,6 +233,6 @@ def recommendation_status(requested: DataFrame, users: DataFrame, recommendation
     )
 
 
-def run_reports(spark: SparkSession, path: str) -> DataFrame:
+def stored_runs(spark: SparkSession, path: str) -> DataFrame:
     """The stored grid rows of all training runs."""
     return spark.read.schema(MODEL_RUN).parquet(path)

@@ -27,19 +27,18 @@ def fan_out_join(left: DataFrame, right: DataFrame, key: str, pairs_per_cell: in
         .join(right.groupBy(key).agg(F.count("*").cast("double").alias("_r")), key)
         .select(key, "_l", "_r", (F.col("_l") * F.col("_r")).alias("_pairs"))
     )
-    total = pairs.agg(F.sum("_pairs")).first()[0] or 0.0
+    total, most = pairs.agg(F.sum("_pairs"), F.max("_pairs")).first()
     # Fewer than 4 * partitions keys can be above such a share, which bounds the broadcasts below.
-    share = max(float(pairs_per_cell), total / (4 * partitions))
-    hot = pairs.where(F.col("_pairs") > share)
+    share = max(float(pairs_per_cell), (total or 0.0) / (4 * partitions))
     # An explicit count keeps the tasks: by their input bytes alone they would be coalesced.
-    if hot.isEmpty():
+    if (most or 0.0) <= share:
         return left.repartition(partitions, key).join(right.repartition(partitions, key), key)
 
     smaller, larger = F.least("_l", "_r"), F.greatest("_l", "_r")
     smaller_cuts = F.ceil(smaller / share**0.5)
     larger_cuts = F.ceil(larger * (smaller / smaller_cuts) / share)
     left_is_smaller = F.col("_l") <= F.col("_r")
-    cuts = hot.select(
+    cuts = pairs.where(F.col("_pairs") > share).select(
         key,
         F.when(left_is_smaller, smaller_cuts).otherwise(larger_cuts).alias("_left_cuts"),
         F.when(left_is_smaller, larger_cuts).otherwise(smaller_cuts).alias("_right_cuts"),

@@ -76,11 +76,14 @@ def positions(
     runs = tagged.groupBy(*group, "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_length"))
     per_group = Window.partitionBy(*group)
     before = F.sum("_length").over(per_group.orderBy("_part").rowsBetween(*_BEFORE))
-    runs = runs.select(
-        *[F.col(name).alias(f"_run_{name}") for name in group],
-        F.col("_part").alias("_run_part"),
-        (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"),
-        F.sum("_length").over(per_group).alias(size),
+    # Stored, so that the join knows its size and leaves the wide rows in place when it is small.
+    runs = materialise(
+        runs.select(
+            *[F.col(name).alias(f"_run_{name}") for name in group],
+            F.col("_part").alias("_run_part"),
+            (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"),
+            F.sum("_length").over(per_group).alias(size),
+        )
     )
     same_run = F.col("_part") == F.col("_run_part")
     for name in group:

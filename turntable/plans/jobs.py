@@ -79,8 +79,7 @@ def latest_model(spark: SparkSession, layout: Layout) -> Row | None:
 
 
 def _latest(metadata: DataFrame, moment: str) -> Row | None:
-    latest = metadata.agg(F.max_by(F.struct("*"), moment).alias("latest")).first().latest
-    return latest
+    return metadata.agg(F.max_by(F.struct("*"), moment).alias("latest")).first().latest
 
 
 def train_models(spark: SparkSession, layout: Layout, cfg: EngineConfig) -> als.GridResult:

@@ -99,7 +99,7 @@ MODEL_RUN = _struct(
     ("best", T.BooleanType(), False),
 )
 
-#: Listens of the second data set, keyed by MusicBrainz-style ids.
+#: Listens of the second data set, keyed by mbid.
 MBID_LISTEN = _struct(
     ("listened_at", _TIMESTAMP, True),
     ("user_name", _STRING, False),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 from collections.abc import Callable, Mapping
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ OK = "ok"
 _OUTCOME = "result_key string, outcome string, result_rows bigint"
 
 
-def default_registry(listens: DataFrame, as_of, cfg: EngineConfig) -> Registry:
+def default_registry(listens: DataFrame, as_of: datetime, cfg: EngineConfig) -> Registry:
     """The per-user statistics, for all users or for one."""
 
     def for_user(counts: Callable[[DataFrame], DataFrame]) -> Callable[..., DataFrame]:
