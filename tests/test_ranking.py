@@ -56,6 +56,16 @@ def test_top_n_breaks_ties_and_keeps_short_groups(spark):
     assert sorted((r.g, r.name, r["rank"]) for r in top.collect()) == [("a", "x", 2), ("a", "z", 1), ("b", "q", 1)]
 
 
+def test_top_n_beyond_the_group_limit(spark, many_tasks):
+    rows = skewed(spark)
+    order = [F.desc("v"), F.asc("name")]
+    window = Window.partitionBy("g").orderBy(*order)
+    expected = rows.withColumn("rank", F.row_number().over(window)).where("rank <= 1200")
+    top = ranking.top_n(rows, ["g"], order, 1200)
+    assert top.dtypes == expected.dtypes
+    assert top.exceptAll(expected).isEmpty() and expected.exceptAll(top).isEmpty()
+
+
 @pytest.mark.parametrize("left_hot, right_hot", [(900, 500), (5, 3000), (3000, 2), (0, 0)])
 def test_fan_out_join_is_the_join(spark, many_tasks, left_hot, right_hot):
     def side(hot, column, keys):

@@ -211,3 +211,16 @@ def test_months_do_not_depend_on_the_session_time_zone(spark, tmp_path):
         assert table.listens_of_year(stored.withColumn("recording_mbid", F.lit("m")), 2020).count() == 1
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_month_files_are_sorted_by_user(spark, tmp_path):
+    rows = spark.range(3000).select(
+        F.format_string("user %05d", F.pmod(F.xxhash64("id"), F.lit(700))).alias("user_name"),
+        F.timestamp_seconds(1570000000 + F.col("id") * 3600).alias("listened_at"),
+    )
+    table.write_listens(table.with_month(rows.repartition(5)), str(tmp_path / "t"))
+    files = list((tmp_path / "t").glob("year=*/month=*/*.parquet"))
+    assert len(files) > 4
+    for file in files:
+        users = [row.user_name for row in spark.read.parquet(str(file)).coalesce(1).collect()]
+        assert users == sorted(users)

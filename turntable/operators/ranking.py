@@ -19,9 +19,12 @@ def top_n(df: DataFrame, group: Sequence[str], order: Sequence[Column], n: int,
     """The first `n` rows of each group by a total `order`, with their rank from 1.
 
     Spark cuts every group to `n` rows before the shuffle (WindowGroupLimit), so a hot group
-    costs its reducer at most `n` rows per input partition. Spark does that up to
-    `spark.sql.optimizer.windowGroupLimitThreshold` (1000 by default).
+    costs its reducer at most `n` rows per input partition. Where `n` is above what Spark does
+    that for, a group is sorted over many tasks instead.
     """
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        placed = positions(df, group, order, rank, "_size").where(F.col(rank) <= n)
+        return placed.withColumn(rank, F.col(rank).cast("int")).drop("_size")
     window = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n)
 

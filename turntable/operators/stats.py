@@ -58,20 +58,19 @@ def nest_by_user(counts: DataFrame, entries: str, size: str, page_size: int = 10
         placed = F.sort_array(F.collect_list(F.struct(*sort_key, F.struct(*columns, "listen_count").alias("entry"))))
         return F.transform(placed, lambda item: item["entry"]).alias(entries)
 
-    is_long = F.col("user_name").eqNullSafe(F.col("_user"))
-    whole = (
-        counts.join(long_lists, is_long, "left_anti")
-        .groupBy("user_name")
-        .agg(one_list((-F.col("listen_count")).alias("_less"), *columns), F.count("*").alias(size))
-        .select("user_name", F.lit(0).alias("page"), entries, size)
-    )
+    def whole(rows: DataFrame) -> DataFrame:
+        nested = one_list((-F.col("listen_count")).alias("_less"), *columns)
+        lists = rows.groupBy("user_name").agg(nested, F.count("*").alias(size))
+        return lists.select("user_name", F.lit(0).alias("page"), entries, size)
+
     if long_lists.isEmpty():
-        return whole
+        return whole(counts)
+    is_long = F.col("user_name").eqNullSafe(F.col("_user"))
     order = [F.desc("listen_count"), *[F.asc(name) for name in columns]]
     placed = positions(counts.join(long_lists, is_long, "left_semi"), ["user_name"], order, size=size)
     page = F.floor((F.col("position") - 1) / page_size).cast("int").alias("page")
     paged = placed.groupBy("user_name", page).agg(one_list(F.col("position")), F.first(size).alias(size))
-    return whole.unionByName(paged)
+    return whole(counts.join(long_lists, is_long, "left_anti")).unionByName(paged)
 
 
 def user_artist_summary(listens: DataFrame) -> DataFrame:

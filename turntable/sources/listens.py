@@ -96,9 +96,13 @@ def write_listens(listens: DataFrame, path: str, mode: str = "errorifexists") ->
     `mode="overwrite"` reloads the whole table; `mode="replace_months"` replaces only the months
     present in `listens`. Rows without a month are kept in the table's null partition, which
     `scan_months` prunes and `read_invalid` returns. The rebalance groups each month's rows for
-    the writer and splits a month that is too large for one task.
+    the writer and splits a month that is too large for one task. Within a file, rows are sorted
+    by user, so that a query for one user skips most row groups; the writer has to sort by month
+    anyway.
     """
-    writer = listens.hint("rebalance", "year", "month").write.partitionBy("year", "month")
+    order = ["year", "month", *[name for name in ("user_name",) if name in listens.columns]]
+    balanced = listens.hint("rebalance", "year", "month").sortWithinPartitions(*order)
+    writer = balanced.write.partitionBy("year", "month")
     if mode == "replace_months":
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     elif mode == "overwrite":
