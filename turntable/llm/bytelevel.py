@@ -45,7 +45,7 @@ class Merges:
         self.merge: dict[tuple[int, int], int] = {}
         for place, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            made = self.id_of[left + right if not self.suffix else left.removesuffix(self.suffix) + right]
+            made = self.id_of[left + right]
             key = self.id_of[left], self.id_of[right]
             self.merge.setdefault(key, place)
             if made not in self.parts:

@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turntable.llm.bpe_stream import digests, encode_documents
 from turntable.llm.token_counts import count_tokens
 
 TOKEN_LIMIT = 1024
@@ -21,8 +22,14 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through the word transducer and back."""
+    return digests(encode_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
+
+
 QUERIES = {
     "op4_token_counts": op4_token_counts,
+    "op9_bpe_stream": op9_bpe_stream,
 }
 
 ORACLES: dict[str, str] = {}
