@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 from turntable.llm.bytelevel import BYTE_OF, Merges, merges, spelled
 from turntable.llm.common import map_batches
@@ -236,7 +237,7 @@ def encode_documents(df: DataFrame, file: str, text: str = "text") -> DataFrame:
         return pa.record_batch([*own, _lists([ids for ids, _ in pairs]), decoded], [*kept, "ids", "decoded"])
 
     kept = [name for name in df.columns if name.lower() not in ("ids", "decoded")]
-    schema = df.select(*[F.col(f"`{name}`") for name in kept]).schema.add("ids", "array<int>").add("decoded", "string")
+    schema = df.select(*[F.col(f"`{name}`") for name in kept]).schema.add("ids", ArrayType(IntegerType())).add("decoded", StringType())
     return map_batches(df, work, schema)
 
 
@@ -249,7 +250,7 @@ def decode_documents(df: DataFrame, file: str, ids: str = "ids", decoded: str =
         return pa.record_batch([*[batch.column(name) for name in kept], pa.array(texts, pa.string())], [*kept, decoded])
 
     kept = [name for name in df.columns if name.lower() != decoded.lower()]
-    return map_batches(df, work, df.select(*[F.col(f"`{name}`") for name in kept]).schema.add(decoded, "string"))
+    return map_batches(df, work, df.select(*[F.col(f"`{name}`") for name in kept]).schema.add(decoded, StringType()))
 
 
 def digests(encoded: DataFrame, id_column: str = "doc_id") -> DataFrame:

@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turntable.llm.bpe_stream import digests, encode_documents
+from turntable.llm.records import read_records, write_records
 from turntable.llm.token_counts import count_tokens
+from turntable.sources.tables import scratch_path
 
 TOKEN_LIMIT = 1024
+END_ID = 1
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +25,18 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document written as a record of token ids and read back."""
+    path = scratch_path(spark)
+    write_records(_documents(spark, sf_dir), path, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return read_records(spark, path).select(
+        "doc_id",
+        "start",
+        (F.octet_length("tokens") / 4).cast("bigint").alias("n_tokens"),
+        F.crc32("tokens").alias("ids_crc32"),
+    )
+
+
 def op9_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document through the word transducer and back."""
     return digests(encode_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
@@ -29,6 +44,7 @@ def op9_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_token_counts": op4_token_counts,
+    "op8_binary_records": op8_binary_records,
     "op9_bpe_stream": op9_bpe_stream,
 }
 
