@@ -7,18 +7,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turntable.llm.bpe_stream import digests, encode_documents
+from turntable.llm.hilbert import hilbert_shards
+from turntable.llm.html_text import extract_text
 from turntable.llm.records import read_records, write_records
 from turntable.llm.token_counts import count_tokens
 from turntable.sources.tables import scratch_path
 
 TOKEN_LIMIT = 1024
 END_ID = 1
+SHARDS = 24
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return extract_text(pages).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and byte-level tokens of every document."""
     counted = count_tokens(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
@@ -42,10 +51,18 @@ def op9_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards of equally many rows along language, source and length."""
+    assigned = hilbert_shards(_documents(spark, sf_dir), ["lang", "source", "n_chars"], SHARDS)
+    return assigned.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
 QUERIES = {
+    "op3_html_text": op3_html_text,
     "op4_token_counts": op4_token_counts,
     "op8_binary_records": op8_binary_records,
     "op9_bpe_stream": op9_bpe_stream,
+    "op10_hilbert_shards": op10_hilbert_shards,
 }
 
 ORACLES: dict[str, str] = {}
