@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from turntable.llm.bpe_stream import digests, encode_documents
 from turntable.llm.hilbert import hilbert_shards
 from turntable.llm.html_text import extract_text
+from turntable.llm.quality import quality_rules
 from turntable.llm.records import read_records, write_records
 from turntable.llm.token_counts import count_tokens
 from turntable.sources.tables import scratch_path
@@ -22,6 +23,17 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that the labels call good."""
+    return spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1").select("doc_id")
+
+
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, score and verdict of every document."""
+    judged = quality_rules(_documents(spark, sf_dir), trusted_ids(spark, sf_dir))
+    return judged.select("doc_id", "quality.*")
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
@@ -58,6 +70,7 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op3_html_text": op3_html_text,
     "op4_token_counts": op4_token_counts,
     "op8_binary_records": op8_binary_records,
