@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from turntable.llm import toxicity
 from turntable.llm.bpe_stream import digests, encode_documents
 from turntable.llm.hilbert import hilbert_shards
 from turntable.llm.html_text import extract_text
@@ -34,6 +35,18 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "quality.*")
 
 
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    return toxicity.fit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by a network trained on labelled rows that are not held out."""
+    texts = _documents(spark, sf_dir).select("doc_id", "text")
+    scored = toxicity.score(texts, toxicity_model(spark, sf_dir))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
@@ -71,6 +84,7 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_toxicity": op2_toxicity,
     "op3_html_text": op3_html_text,
     "op4_token_counts": op4_token_counts,
     "op8_binary_records": op8_binary_records,
