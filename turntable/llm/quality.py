@@ -20,6 +20,8 @@ MAX_REPEATED_PERCENT = 50
 
 _BLANKS = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
+_PLACE_BITS = 12
+_FEW = 32  # so many repeated windows are looked up one by one; more are found in sorted order
 _TOKENS = r"[\p{L}\p{M}\p{N}]+|[^\s\p{L}\p{M}\p{N}]+"
 
 
@@ -28,50 +30,75 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def _spaced(text: Column) -> Column:
+    """The text with a space for each other ASCII white space. Plain replacements pass over what they do not find."""
+    for blank in _BLANKS[1:]:
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return text
 
 
-def _words(text: Column) -> Column:
-    return F.array_remove(F.split(F.translate(text, _BLANKS[1:], " " * 5), " "), "")
+def _symbols(text: Column) -> Column:
+    rest = text
+    for symbol in _SYMBOLS:
+        rest = F.replace(rest, F.lit(symbol), F.lit(""))
+    return F.char_length(text) - F.char_length(rest)
+
+
+def _twice(ordered: Column, key: Callable[[Column], Column], place: Callable[[Column], Column]) -> Column:
+    """Places of the entries of a sorted array that share their key with a neighbour, in ascending order."""
+    # get() gives null beyond the ends, which is equal to nothing.
+    met = F.transform(
+        ordered,
+        lambda x, i: F.when((key(F.get(ordered, i - 1)) == key(x)) | (key(F.get(ordered, i + 1)) == key(x)), place(x)),
+    )
+    return F.sort_array(F.filter(met, lambda i: i.isNotNull()))
 
 
 def _repeated(words: Column, n: Column) -> Column:
     """Words that lie in a window of three found twice or more."""
 
-    def positions(hashes: Column) -> Column:
-        placed = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-
-        def twice(ordered: Column) -> Column:
-            # get() gives null beyond the ends, which is equal to nothing.
-            met = F.filter(
-                F.transform(
-                    ordered,
-                    lambda x, i: F.when(
-                        (F.get(ordered, i - 1)["h"] == x["h"]) | (F.get(ordered, i + 1)["h"] == x["h"]), x["i"]
-                    ),
-                ),
-                lambda i: i.isNotNull(),
-            )
-            return F.array_sort(met)
+    def packed(hashes: Column) -> Column:
+        """Hash and place in one number, as far as places fit below the hash bits that tell windows apart."""
+        one = F.transform(hashes, lambda h, i: F.shiftleft(h, _PLACE_BITS).bitwiseOR(i.cast("bigint")))
+        low = F.lit((1 << _PLACE_BITS) - 1)
+        return _let(
+            F.sort_array(one),
+            lambda ordered: _twice(
+                ordered, lambda x: F.shiftright(x, _PLACE_BITS), lambda x: x.bitwiseAND(low).cast("int")
+            ),
+        )
+
+    def paired(hashes: Column) -> Column:
+        both = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
+        return _let(F.array_sort(both), lambda ordered: _twice(ordered, lambda x: x["h"], lambda x: x["i"]))
 
-        return _let(placed, twice)
+    def few(hashes: Column, again: Column) -> Column:
+        return F.filter(F.sequence(F.lit(0), n - 3), lambda i: F.array_contains(again, F.get(hashes, i)))
 
-    def covered(hashes: Column) -> Column:
+    def covered(hashes: Column, again: Column) -> Column:
         start = F.struct(F.lit(-3).alias("last"), F.lit(0).cast("bigint").alias("n"))
-        total = F.aggregate(
-            positions(hashes),
+        places = (
+            F.when(F.size(again) <= _FEW, few(hashes, again))
+            .when(n <= 1 << _PLACE_BITS, packed(hashes))
+            .otherwise(paired(hashes))
+        )
+        return F.aggregate(
+            places,
             start,
             lambda so_far, i: F.struct(
                 i.alias("last"), (so_far["n"] + F.least(F.lit(3), i - so_far["last"])).alias("n")
             ),
         )["n"]
+
+    def counted(hashes: Column) -> Column:
+        again = _let(F.sort_array(hashes), lambda s: F.filter(s, lambda x, i: x == F.get(s, i - 1)))
+        total = _let(again, lambda values: covered(hashes, values))
         return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), total).otherwise(F.lit(0).cast("bigint"))
 
     windows = F.transform(
         F.sequence(F.lit(0), n - 3), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2))
     )
-    return F.when(n > 3, _let(windows, covered)).otherwise(F.lit(0).cast("bigint"))
+    return F.when(n > 3, _let(windows, counted)).otherwise(F.lit(0).cast("bigint"))
 
 
 def _bucket(*tokens: Column) -> Column:
@@ -94,7 +121,9 @@ def bucket_weights(df: DataFrame, trusted: DataFrame, text: str = "text", id_col
         known.hint("shuffle_hash"), F.col("_id") == F.col("_trusted"), "left"
     )
     tokens = marked.select(F.col("_trusted").isNotNull().cast("bigint").alias("_own"), _tokens(F.col("_text")).alias("_tokens"))
-    placed = tokens.select("_own", "_tokens", F.posexplode("_tokens").alias("_at", "_token"))
+    # The outer form keeps Spark from cutting the texts a first time to see whether there is a token.
+    placed = tokens.select("_own", "_tokens", F.posexplode_outer("_tokens").alias("_at", "_token"))
+    placed = placed.where(F.col("_token").isNotNull())
     pair = _bucket(F.col("_token"), F.get(F.col("_tokens"), F.col("_at") + 1))
     hashed = placed.select("_own", F.explode(F.array(_bucket(F.col("_token")), pair)).alias("_bucket"))
     counts = hashed.groupBy("_bucket").agg(F.count("*").alias("_all"), F.sum("_own").alias("_good"))
@@ -146,20 +175,23 @@ def quality_rules(
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
 
     def judged(text: Column) -> Column:
-        lines = F.filter(F.split(text, "\n"), lambda line: _without(line, _BLANKS) != "")
+        lines = F.filter(F.split(text, "\n"), lambda line: F.trim(_spaced(line)) != "")
 
-        def rules(words: Column) -> Column:
+        def rules(spaced: Column, words: Column) -> Column:
             n = F.size(words)
             return F.struct(
                 n.cast("bigint").alias("n_words"),
-                F.char_length(_without(text, _BLANKS)).cast("bigint").alias("word_chars"),
-                (F.char_length(text) - F.char_length(_without(text, _SYMBOLS))).cast("bigint").alias("n_symbols"),
+                F.char_length(F.replace(spaced, F.lit(" "), F.lit(""))).cast("bigint").alias("word_chars"),
+                _symbols(text).cast("bigint").alias("n_symbols"),
                 _let(lines, lambda own: F.size(own) - F.size(F.array_distinct(own))).cast("bigint").alias("n_dup_lines"),
                 _repeated(words, n).alias("n_repeat_words"),
                 _let(_tokens(text), lambda tokens: _score(tokens, weights)).alias("score"),
             )
 
-        return _let(_words(text), rules)
+        return _let(
+            _spaced(text),
+            lambda spaced: _let(F.array_remove(F.split(spaced, " "), ""), lambda words: rules(spaced, words)),
+        )
 
     plain = df.withColumn(output, _let(content, judged))
     failed = (F.col(output)["n_words"] < MIN_WORDS) | (
