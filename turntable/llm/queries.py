@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turntable.llm import toxicity
+from turntable.llm import language, toxicity
 from turntable.llm.bpe_stream import digests, encode_documents
 from turntable.llm.hilbert import hilbert_shards
 from turntable.llm.html_text import extract_text
@@ -59,6 +59,13 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main language of every document, learnt from documents that are not held out."""
+    documents = _documents(spark, sf_dir)
+    found = language.identify(documents.select("doc_id", "text"), language.fit(documents))
+    return found.select("doc_id", toxicity.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_binary_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document written as a record of token ids and read back."""
     path = scratch_path(spark)
@@ -87,6 +94,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_html_text": op3_html_text,
     "op4_token_counts": op4_token_counts,
+    "op7_language": op7_language,
     "op8_binary_records": op8_binary_records,
     "op9_bpe_stream": op9_bpe_stream,
     "op10_hilbert_shards": op10_hilbert_shards,
