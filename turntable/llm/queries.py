@@ -10,6 +10,7 @@ from turntable.llm import language, toxicity
 from turntable.llm.bpe_stream import digests, encode_documents
 from turntable.llm.hilbert import hilbert_shards
 from turntable.llm.html_text import extract_text
+from turntable.llm.near_duplicates import near_duplicates
 from turntable.llm.quality import quality_rules
 from turntable.llm.records import read_records, write_records
 from turntable.llm.token_counts import count_tokens
@@ -59,6 +60,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the group of near copies it belongs to."""
+    return near_duplicates(_documents(spark, sf_dir))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main language of every document, learnt from documents that are not held out."""
     documents = _documents(spark, sf_dir)
@@ -94,6 +100,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_html_text": op3_html_text,
     "op4_token_counts": op4_token_counts,
+    "op5_near_duplicates": op5_near_duplicates,
     "op7_language": op7_language,
     "op8_binary_records": op8_binary_records,
     "op9_bpe_stream": op9_bpe_stream,
