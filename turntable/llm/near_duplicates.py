@@ -1,9 +1,10 @@
 """Near-duplicate texts by MinHash bands, Bayesian pruning of candidates, and exact verification.
 
 Texts with the same set of word shingles are one class. Classes that agree in a whole band of their signature
-meet in a bucket. A bucket does not compare all its pairs: its members are compared with one pivot, linked ones
-become one component, and only buckets that still hold several components go on, with another pivot, until none
-is left. A candidate's signatures are compared batch by batch, and it is dropped as soon as the posterior
+meet in a bucket. A large bucket does not compare all its pairs: its members are compared with a pivot, linked ones
+become one component, and only buckets that still hold several components go on, with other pivots. What is still
+open after TURNS (texts around a passage that very many share) meets by its rarest shingles instead, which loses no
+pair and leaves such passages out. A candidate's signatures are compared batch by batch, and it is dropped as soon as the posterior
 probability of a similarity of SIMILARITY is below MISS. What remains is verified on the full sets.
 """
 
@@ -31,6 +32,7 @@ HASHES = ROWS * BANDS
 BATCH = 40
 MISS = 1e-5
 SMALL = 16  # buckets of so few members compare their pairs at once
+TURNS = 2  # of pivots for the buckets of bands, before sets are met by their rarest shingles
 CACHED_WORDS = 400_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd constant that spreads bits
@@ -175,38 +177,92 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return counted.where(100 * F.col("_shared") >= round(100 * SIMILARITY) * union).select("a", "b")
 
 
-def _pairs(members: DataFrame) -> DataFrame:
-    """Candidates of this round among members (bucket, id, component) of buckets that hold several components.
+def _pairs(members: DataFrame, turn: int) -> DataFrame:
+    """Candidates of a round among members (bucket, id, component) of buckets that hold several components.
 
-    Small buckets give their pairs across components; large ones give each member with the pivot, the member
-    with the smallest id.
+    Small buckets give their pairs across components; large ones give each member with the pivots.
     """
     small = members.where(F.col("_size") <= SMALL)
     other = small.select("bucket", F.col("id").alias("_id2"), F.col("component").alias("_component2"))
     met = small.join(other, "bucket").where("id < _id2 AND component <> _component2")
-    star = members.where((F.col("_size") > SMALL) & (F.col("component") != F.col("_pivot")["component"]))
-    return (
-        met.select(F.col("id").alias("a"), F.col("_id2").alias("b"))
-        .union(star.select(F.col("_pivot")["id"].alias("a"), F.col("id").alias("b")))
-        .distinct()
-    )
+    pivots = members.where(_is_pivot(turn)).select("bucket", F.col("id").alias("_id2"), F.col("component").alias("_component2"))
+    large = members.where(F.col("_size") > SMALL)
+    star = large.join(pivots, "bucket").where("component <> _component2")
+    both = met.union(star).select("id", "_id2")
+    return both.select(F.least("id", "_id2").alias("a"), F.greatest("id", "_id2").alias("b")).distinct()
+
+
+def _is_pivot(turn: int) -> F.Column:
+    """The first member of a large bucket, and in each turn twice as many others as in the turn before."""
+    drawn = F.pmod(F.xxhash64("id", F.lit(turn)), F.col("_size")) < (1 << turn) - 1
+    return (F.col("_size") > SMALL) & (drawn | (F.col("id") == F.col("_first")))
 
 
 def _unresolved(members: DataFrame) -> DataFrame:
-    """Members (bucket, id, component) of buckets with several components, with size and pivot of the bucket."""
+    """Members (bucket, id, component) of buckets with several components, with size and first id of the bucket."""
     found = members.groupBy("bucket").agg(
         F.count("*").alias("_size"),
-        F.min(F.struct("id", "component")).alias("_pivot"),
+        F.min("id").alias("_first"),
         F.min("component").alias("_low"),
         F.max("component").alias("_high"),
     )
-    open_ones = found.where("_low < _high").select("bucket", "_size", "_pivot")
+    open_ones = found.where("_low < _high").select("bucket", "_size", "_first")
     return members.select("bucket", "id", "component").join(open_ones, "bucket")
 
 
 def _relabelled(members: DataFrame, merged: DataFrame) -> DataFrame:
     own = merged.select(F.col("node").alias("component"), F.col("component").alias("_new"))
-    return members.join(own, "component", "left").withColumn("component", F.coalesce("_new", "component")).drop("_new")
+    joined = members.join(own, "component", "left").withColumn("component", F.coalesce("_new", "component"))
+    return joined.select(*members.columns)
+
+
+class _Groups:
+    """The components so far, and how the members of buckets join them."""
+
+    def __init__(self, texts: DataFrame, signatures: DataFrame) -> None:
+        self.texts, self._signatures = texts, signatures
+        self.labels: DataFrame | None = None
+
+    def resolve(self, members: DataFrame, turns: int | None) -> DataFrame | None:
+        """Work on buckets until each holds one component, or for some turns; what is left then, if anything."""
+        turn = 0
+        while True:
+            members = materialise(_unresolved(members))
+            if members.isEmpty():
+                return None
+            if turn == turns:
+                return members
+            likely = materialise(_likely(_pairs(members, turn), self._signatures))
+            links = materialise(_linked(likely, self.texts))
+            # A pivot has met all the others of its bucket, and so have the members of small buckets.
+            left = members.where((F.col("_size") > SMALL) & ~_is_pivot(turn)).select("bucket", "id", "component")
+            members = left if links.isEmpty() else _relabelled(left, self._merge(links))
+            turn += 1
+
+    def _merge(self, links: DataFrame) -> DataFrame:
+        if self.labels is not None:
+            for side in ("a", "b"):
+                links = _relabelled(links.withColumnRenamed(side, "component"), self.labels).withColumnRenamed("component", side)
+        merged = materialise(components(links))
+        if self.labels is None:
+            self.labels = merged
+        else:
+            moved = _relabelled(self.labels, merged)
+            self.labels = materialise(moved.union(merged.join(self.labels.select("node"), "node", "left_anti")))
+        return merged
+
+
+def _prefixes(values: DataFrame) -> DataFrame:
+    """Buckets (bucket, id) by which sets that are similar enough must meet, however common their other parts are.
+
+    With the values of each set in order of how many sets hold them, rarest first, two sets of SIMILARITY share
+    a value among the first n - ceil(SIMILARITY * n) + 1 of each. Passages that many texts share come last.
+    """
+    each = values.select("id", F.size("values").alias("_n"), F.explode("values").alias("bucket"))
+    held = each.groupBy("bucket").agg(F.count("*").alias("_held"))
+    placed = each.join(held, "bucket").groupBy("id", "_n").agg(F.array_sort(F.collect_list(F.struct("_held", "bucket"))).alias("_all"))
+    first = F.slice("_all", F.lit(1), F.col("_n") - F.ceil(F.col("_n") * SIMILARITY).cast("int") + 1)
+    return placed.select("id", F.explode(first).alias("_one")).where("_one._held > 1").select("id", "_one.bucket")
 
 
 def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -230,25 +286,13 @@ def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id"
     shared = banded.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket")
     members = materialise(banded.join(shared, "bucket").select("bucket", "id", F.col("id").alias("component")))
     origin = texts.join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
-    labels = None
-    while True:
-        members = materialise(_unresolved(members))
-        if members.isEmpty():
-            break
-        likely = materialise(_likely(_pairs(members), signatures.select("id", "signature")))
-        links = materialise(_linked(likely, origin))
-        # A pivot has met all the others of its bucket, and so have the members of small buckets.
-        left = members.where((F.col("_size") > SMALL) & (F.col("id") != F.col("_pivot")["id"])).select("bucket", "id", "component")
-        if links.isEmpty():
-            members = left
-            continue
-        if labels is not None:
-            labels_now = labels
-            links = _relabelled(_renamed(links, "a"), labels_now).select(F.col("component").alias("a"), "b")
-            links = _relabelled(_renamed(links, "b"), labels_now).select("a", F.col("component").alias("b"))
-        merged = materialise(components(links))
-        labels = merged if labels is None else materialise(_joined(labels, merged))
-        members = _relabelled(left, merged)
+    state = _Groups(origin, signatures.select("id", "signature"))
+    rest = state.resolve(members, TURNS)
+    if rest is not None:
+        wanted = rest.select("id", "component").distinct()
+        values = materialise(_sets(origin.join(wanted, "id", "left_semi")))
+        state.resolve(materialise(_prefixes(values).join(wanted, "id")), None)
+    labels = state.labels
     result = documents.join(classes.select("set", F.col("id").alias("_class")), "set", "left")
     result = result.withColumn("_class", F.coalesce("_class", "id"))
     if labels is not None:
@@ -260,13 +304,3 @@ def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id"
     nameless = sketch.where("id IS NULL").select("id", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     named = result.select("id", "n", component.alias("component_id"), (F.col("id") == component).alias("kept"))
     return named.union(nameless).select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id", "kept")
-
-
-def _renamed(links: DataFrame, side: str) -> DataFrame:
-    return links.withColumnRenamed(side, "component")
-
-
-def _joined(labels: DataFrame, merged: DataFrame) -> DataFrame:
-    """Labels (node, component) after some components were merged."""
-    moved = _relabelled(labels, merged)
-    return moved.union(merged.join(labels.select("node"), "node", "left_anti"))
