@@ -304,3 +304,14 @@ def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id"
     nameless = sketch.where("id IS NULL").select("id", "n", F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     named = result.select("id", "n", component.alias("component_id"), (F.col("id") == component).alias("kept"))
     return named.union(nameless).select(F.col("id").alias(id_column), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def drop_near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+    """The rows of `df` with one document of each group of near duplicates, the one with the smallest id.
+
+    Rows of the same id are one document, of which one row stays. Rows with a null id all stay.
+    """
+    kept = near_duplicates(df, text, id_column).where(F.col("kept") & F.col(id_column).isNotNull())
+    ids = materialise(kept.select(F.col(id_column).alias("_kept_id")).distinct())
+    named = df.join(ids, F.col(id_column) == F.col("_kept_id"), "left_semi").dropDuplicates([id_column])
+    return named.union(df.where(F.col(id_column).isNull()))

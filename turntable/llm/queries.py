@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turntable.llm import language, toxicity
 from turntable.llm.bpe_stream import digests, encode_documents
+from turntable.llm.decontaminate import find_passages
 from turntable.llm.hilbert import hilbert_shards
 from turntable.llm.html_text import extract_text
 from turntable.llm.near_duplicates import near_duplicates
@@ -65,6 +67,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_documents(spark, sf_dir))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of benchmark items."""
+    return find_passages(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main language of every document, learnt from documents that are not held out."""
     documents = _documents(spark, sf_dir)
@@ -101,10 +108,12 @@ QUERIES = {
     "op3_html_text": op3_html_text,
     "op4_token_counts": op4_token_counts,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_decontamination": op6_decontamination,
     "op7_language": op7_language,
     "op8_binary_records": op8_binary_records,
     "op9_bpe_stream": op9_bpe_stream,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
