@@ -33,7 +33,8 @@ _HEAD = struct.Struct("<QI")
 _OWN = struct.Struct("<qB")
 _BLOCK = 4096
 READ_BYTES = 4 << 20
-CACHED = 400_000
+CACHED_CHUNKS = 1_000_000
+CACHED_PARTS = 700_000
 CACHED_BYTES = 48
 INDEX = "doc_id bigint, part int, file string, place bigint, offset bigint, size bigint, n_tokens bigint"
 
@@ -91,8 +92,9 @@ _ROWS = 256 * np.arange(_BLOCK - 1, -1, -1, dtype=np.int32)
 class Encoder:
     """A library tokenizer that keeps the ids of chunks it has met.
 
-    No token, special string or composed character of these vocabularies crosses ASCII white space, nor
-    the end of a run of letters that no mark follows, so a text is encoded from such parts.
+    Where a vocabulary drops white space, no token, special string or composed character crosses it, nor the
+    end of a run of letters that no mark follows, so a text is encoded from such parts; where it also folds
+    case, A-Z may be folded before. For other vocabularies the library encodes whole texts.
     """
 
     def __init__(self, file: str) -> None:
@@ -104,6 +106,10 @@ class Encoder:
         self._library.no_padding()
         self.width = 2 if self._library.get_vocab_size() <= 1 << 16 else 4
         self._special = [token.content for token in self._library.get_added_tokens_decoder().values()]
+        ends = [self._ids([text])[0] for text in ("a", "b", " a\n  b ")]
+        self._by_chunk = ends[0] + ends[1] == ends[2]
+        normal = self._library.normalizer
+        self._folds = normal is not None and normal.normalize_str("AZ") == "az"
         self._chunks: dict[bytes, bytes] = {}
         self._parts: dict[str, bytes] = {}
 
@@ -127,20 +133,25 @@ class Encoder:
         new = [part for part in own if part not in self._parts]
         ids = dict(zip(new, self._ids(new), strict=True))
         ids.update({part: self._parts[part] for part in own if part in self._parts})
-        if len(self._parts) + len(new) > CACHED:
+        if len(self._parts) + len(new) > CACHED_PARTS:
             self._parts.clear()
-        self._parts.update((part, ids[part]) for part in new[:CACHED] if len(part) <= CACHED_BYTES)
+        self._parts.update((part, ids[part]) for part in new[:CACHED_PARTS] if len(part) <= CACHED_BYTES)
         return {chunk: b"".join([ids[part] for part in parts]) for chunk, parts in split.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, `width` bytes each."""
-        split = [text.encode().split() for text in texts]
+        if not self._by_chunk:
+            return self._ids(texts)
+        raw = [text.encode() for text in texts]
+        if self._folds:  # special strings would come to be by folding
+            raw = [one if b"<|" in one else one.lower() for one in raw]
+        split = [one.split() for one in raw]
         known = self._chunks
         out = []
         for chunks in split:
             missing = set(chunks).difference(known)
             if missing:
-                if len(known) + len(missing) > CACHED:
+                if len(known) + len(missing) > CACHED_CHUNKS:
                     known.clear()
                     missing = set(chunks)
                 known.update(self._fill(list(missing)))
