@@ -163,6 +163,31 @@ def test_reload_and_month_replacement(spark, tmp_path):
     assert ids() == [7]
 
 
+def test_replacing_months_keeps_undated_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def imported(name, invalid, mode):
+        write_lines(tmp_path / name / "2019" / "9.json", [{**FLAT, "user_name": name}])
+        write_lines(tmp_path / name / "invalid.json", [{**FLAT, "user_name": user} for user in invalid])
+        table.write_listens(table.read_dump(spark, str(tmp_path / name)), path, mode)
+
+    imported("first", ["bad1", "bad2"], "replace_months")
+    imported("second", ["bad3"], "replace_months")
+    imported("second", ["bad3"], "replace_months")
+    assert sorted(row.user_name for row in table.read_listens(spark, path).collect()) == ["bad1", "bad2", "bad3", "second"]
+
+
+def test_flat_times_are_utc_in_any_session_zone(spark, tmp_path):
+    write_lines(tmp_path / "2019" / "1.json", [{**FLAT, "listened_at": "2019-01-31T23:30:00"}])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        listens = table.read_dump(spark, str(tmp_path))
+        recent = table.recent_listens(listens, datetime(2019, 2, 1), 1)
+        assert recent.count() == 1
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def raw(additional=None, **extra):
     meta = {"artist_name": "A", "track_name": "T", "additional_info": {"artist_msid": "a", **(additional or {})}}
     return {"listened_at": 0, "user_name": "u", "recording_msid": "r", "track_metadata": {**meta, **extra}}

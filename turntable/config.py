@@ -17,7 +17,6 @@ class EngineConfig:
     seed: int = 45
     train_window_days: int = 180
     generation_window_days: int = 7
-    stats_window_months: int = 1
     top_artists_limit: int = 20
     similar_artists_limit: int = 10
     top_artist_recommendations: int = 30
@@ -25,7 +24,7 @@ class EngineConfig:
     stats_epoch: datetime = datetime(2002, 1, 1)
 
     model_id_prefix: str = "turntable-model"
-    # ALS user and item blocks; None derives them from the number of ratings and cores.
+    # ALS user and item blocks; None derives them from the number of ratings.
     als_blocks: int | None = None
     # Fits of the grid that run at the same time.
     grid_parallelism: int = 4

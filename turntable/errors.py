@@ -17,5 +17,9 @@ class WriteError(TurntableError):
     """A table could not be written."""
 
 
+class NotReady(TurntableError):
+    """A job needs what another job has not made yet."""
+
+
 class InvalidWindow(TurntableError, ValueError):
     """A time window ends before it starts."""

@@ -101,9 +101,9 @@ class GridResult(NamedTuple):
     runs: DataFrame
 
 
-def als_blocks(n_ratings: int, cores: int, cfg: EngineConfig) -> int:
-    """User and item blocks of a fit: about a million ratings each, and no more than the cores."""
-    return cfg.als_blocks or min(cores, 1 + n_ratings // 1_000_000)
+def als_blocks(n_ratings: int, cfg: EngineConfig) -> int:
+    """User and item blocks of a fit: about a million ratings each, whatever the size of the cluster."""
+    return cfg.als_blocks or 1 + n_ratings // 1_000_000
 
 
 def fit_grid(training: DataFrame, validation: DataFrame, cfg: EngineConfig, model_id: str | None = None) -> GridResult:
@@ -116,7 +116,7 @@ def fit_grid(training: DataFrame, validation: DataFrame, cfg: EngineConfig, mode
     spark = training.sparkSession
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
-    blocks = als_blocks(training.count(), spark.sparkContext.defaultParallelism, cfg)
+    blocks = als_blocks(training.count(), cfg)
 
     def fit(combination: tuple[int, float, int]) -> tuple[ALSModel, RmseResult, list]:
         rank, lmbda, iterations = combination

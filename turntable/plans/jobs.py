@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from turntable.config import EngineConfig, Layout
+from turntable.errors import NotReady
 from turntable.functions.dates import month_aligned_window
 from turntable.operators import als, candidates, dimensions, stats
 from turntable.schemas import MBID_LISTEN, MODEL_METADATA
@@ -78,6 +79,12 @@ def latest_model(spark: SparkSession, layout: Layout) -> Row | None:
     return _latest(trained, "model_created")
 
 
+def _made(latest: Row | None, job: str) -> Row:
+    if latest is None:
+        raise NotReady(f"run {job} first")
+    return latest
+
+
 def _latest(metadata: DataFrame, moment: str) -> Row | None:
     return metadata.agg(F.max_by(F.struct("*"), moment).alias("latest")).first().latest
 
@@ -87,7 +94,7 @@ def train_models(spark: SparkSession, layout: Layout, cfg: EngineConfig) -> als.
     # Collected timestamps are in the local zone of the driver.
     built = {
         name: value.astimezone(timezone.utc) if isinstance(value, datetime) else value
-        for name, value in latest_dataframes(spark, layout).asDict().items()
+        for name, value in _made(latest_dataframes(spark, layout), "create_dataframes").asDict().items()
     }
     split = als.hash_split(read_table(spark, layout.playcounts), cfg)
     parts = {
@@ -159,7 +166,7 @@ def build_recommendations(
     spark: SparkSession, layout: Layout, cfg: EngineConfig, requested: DataFrame | None = None
 ) -> None:
     """Write ranked playlists by the latest model, for all users with candidates or those requested."""
-    model = als.load_model(layout.model(latest_model(spark, layout).model_id))
+    model = als.load_model(layout.model(_made(latest_model(spark, layout), "train_models").model_id))
     users, recordings = read_table(spark, layout.users), read_table(spark, layout.recordings)
     artists = read_table(spark, layout.candidate_artists)
     if requested is None:

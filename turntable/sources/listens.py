@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turntable.errors import InvalidWindow, WriteError
+from turntable.errors import InvalidWindow, PathNotFound, WriteError
 from turntable.schemas import LISTEN, LISTEN_TABLE, RAW_LISTEN
 from turntable.sources.tables import read_table
 
@@ -73,12 +73,13 @@ def read_dump(spark: SparkSession, json_dir: str) -> DataFrame:
     """Flat listens of a dump, bucketed by file name as `<year>/<month>.json`.
 
     Rows of any other file, such as `invalid.json`, and rows without a readable time get no year
-    and month.
+    and month. Times without a zone are UTC, whatever the session's zone.
     """
     rows = (
         spark.read.schema(LISTEN)
         .option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", True)
+        .option("timeZone", "UTC")
         .json(json_dir)
         .select("*", F.col("_metadata.file_path").alias("_file"))
     )
@@ -95,11 +96,29 @@ def write_listens(listens: DataFrame, path: str, mode: str = "errorifexists") ->
 
     `mode="overwrite"` reloads the whole table; `mode="replace_months"` replaces only the months
     present in `listens`. Rows without a month are kept in the table's null partition, which
-    `scan_months` prunes and `read_invalid` returns. The rebalance groups each month's rows for
+    `scan_months` prunes and `read_invalid` returns; replacing months adds those that the table
+    does not hold yet, so that neither earlier ones are lost nor a repeated import doubles them. The rebalance groups each month's rows for
     the writer and splits a month that is too large for one task. Within a file, rows are sorted
     by user, so that a query for one user skips most row groups; the writer has to sort by month
     anyway.
     """
+    if mode == "replace_months":
+        undated = F.col("year").isNull() | F.col("month").isNull()
+        _write_months(listens.where(~undated), path, mode)
+        _write_months(_not_held(listens.where(undated), path), path, "append")
+    else:
+        _write_months(listens, path, mode)
+
+
+def _not_held(undated: DataFrame, path: str) -> DataFrame:
+    try:
+        held = read_table(undated.sparkSession, path, undated.schema)
+    except PathNotFound:
+        return undated
+    return undated.exceptAll(held.where(F.col("year").isNull() | F.col("month").isNull()))
+
+
+def _write_months(listens: DataFrame, path: str, mode: str) -> None:
     order = ["year", "month", *[name for name in ("user_name",) if name in listens.columns]]
     balanced = listens.hint("rebalance", "year", "month").sortWithinPartitions(*order)
     writer = balanced.write.partitionBy("year", "month")
