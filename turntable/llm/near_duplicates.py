@@ -128,7 +128,8 @@ def _sketch(df: DataFrame) -> DataFrame:
                 continue
             digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
             least = signature(values)
-            signatures.append(least.tobytes())
+            # One byte of each minimum: unequal ones agree once in 256, which lets a candidate stay, never go.
+            signatures.append((least & np.uint32(0xFF)).astype(np.uint8).tobytes())
             buckets.append(_buckets(least))
         columns = [batch.column(0), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())]
         columns += [pa.array(signatures, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))]
@@ -142,7 +143,7 @@ def _likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     needed = least_agreements()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint32).reshape(-1, HASHES) for i in (2, 3))
+        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, HASHES) for i in (2, 3))
         alive = np.arange(batch.num_rows)
         agreed = np.zeros(batch.num_rows, dtype=np.int64)
         for i, least in enumerate(needed):
@@ -152,8 +153,12 @@ def _likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
         rows = pa.array(alive)
         return pa.record_batch([batch.column(0).take(rows), batch.column(1).take(rows)], ["a", "b"])
 
-    own = lambda name: signatures.select(F.col("id").alias(name), F.col("signature").alias(f"_{name}"))
-    both = pairs.join(own("b"), "b").join(own("a"), "a").select("a", "b", "_a", "_b")
+    def own(name: str) -> DataFrame:
+        return signatures.select(F.col("id").alias(name), F.col("signature").alias(f"_{name}"), F.col("n").alias(f"_n{name}"))
+
+    # Sets can overlap by no more than the share of the smaller in the larger.
+    sized = F.least("_na", "_nb") >= SIMILARITY * F.greatest("_na", "_nb")
+    both = pairs.join(own("b"), "b").join(own("a"), "a").where(sized).select("a", "b", "_a", "_b")
     return map_batches(both, work, "a bigint, b bigint")
 
 
@@ -281,12 +286,12 @@ def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id"
     classes = materialise(documents.where("set IS NOT NULL").groupBy("set").agg(F.min("id").alias("id")))
     # Of an id with several texts, only the row of its class counts.
     chosen = sketch.join(classes.select("id", "set"), ["id", "set"], "left_semi").dropDuplicates(["id"])
-    signatures = chosen.select("id", "signature", "buckets")
+    signatures = chosen.select("id", "n", "signature", "buckets")
     banded = signatures.select("id", F.explode("buckets").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket")
     members = materialise(banded.join(shared, "bucket").select("bucket", "id", F.col("id").alias("component")))
     origin = texts.join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
-    state = _Groups(origin, signatures.select("id", "signature"))
+    state = _Groups(origin, signatures.select("id", "n", "signature"))
     rest = state.resolve(members, TURNS)
     if rest is not None:
         wanted = rest.select("id", "component").distinct()
