@@ -12,8 +12,10 @@ import os
 import struct
 import unicodedata
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -114,14 +116,15 @@ class Encoder:
         self._parts: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
+        kind = "H" if self.width == 2 else "I"
         encoded = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(one.ids, dtype=kind).tobytes() for one in encoded]
+        return [array(kind, one.ids).tobytes() for one in encoded]
 
     def _divisible(self, text: str) -> bool:
         """Whether a letter without a mark ends a piece, also after normalisation and in lower case."""
-        special = any(one in text for one in self._special)
-        return not special and (text.isascii() or ("İ" not in text and unicodedata.is_normalized("NFC", text)))
+        if "<" in text and any(one in text for one in self._special):
+            return False
+        return text.isascii() or ("İ" not in text and unicodedata.is_normalized("NFC", text))
 
     def _fill(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         """Ids of chunks not met before."""
@@ -129,10 +132,10 @@ class Encoder:
         for chunk in chunks:
             text = chunk.decode()
             split[chunk] = _PART.findall(text) if self._divisible(text) else [text]
-        own = {part for parts in split.values() for part in parts}
-        new = [part for part in own if part not in self._parts]
-        ids = dict(zip(new, self._ids(new), strict=True))
-        ids.update({part: self._parts[part] for part in own if part in self._parts})
+        own = set(chain.from_iterable(split.values()))
+        new = list(own.difference(self._parts))
+        ids = {part: self._parts[part] for part in own.difference(new)}
+        ids.update(zip(new, self._ids(new), strict=True))
         if len(self._parts) + len(new) > CACHED_PARTS:
             self._parts.clear()
         self._parts.update((part, ids[part]) for part in new[:CACHED_PARTS] if len(part) <= CACHED_BYTES)
