@@ -17,10 +17,10 @@ def registry(spark):
     listens = spark.createDataFrame([(*row, datetime(2019, 5, 1)) for row in rows], LISTENS)
     known = requests.default_registry(listens, datetime(2019, 6, 1), EngineConfig())
 
-    def broken():
-        return listens.selectExpr("raise_error('no')")
+    def broken(asked):
+        return listens.crossJoin(asked).selectExpr("result_key", "raise_error('no')")
 
-    return {**known, "broken": broken}
+    return {**known, "broken": requests.Handler((), broken)}
 
 
 MESSAGES = {
@@ -94,3 +94,33 @@ def test_replayed_batch_replaces_its_output(spark, registry, tmp_path):
         requests.dispatch(frame, registry, out, batch_id=4)
     assert requests.read_responses(spark, out).count() == len(MESSAGES)
     assert requests.read_results(spark, out).count() == 2 + 2
+
+
+def test_jobs_do_not_grow_with_the_requests(spark, registry, tmp_path):
+    """Many users are answered together; counted by the job ids of the status tracker."""
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(users, name):
+        spark.sparkContext.setJobGroup(name, name)
+        try:
+            message = '{"query": "stats.user.artists", "params": {"user_name": "u%d"}}'
+            frame = spark.createDataFrame([(i, message % i) for i in range(users)], "request_id long, message string")
+            found = requests.dispatch(frame, registry, str(tmp_path / name)).collect()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert {row.request_id: row.result_rows for row in found} == {i: {1: 2, 2: 1}.get(i, 0) for i in range(users)}
+        return len(tracker.getJobIdsForGroup(name))
+
+    assert jobs(60, "many") <= jobs(3, "few") + 2
+
+
+def test_tables_and_time_are_fresh_in_each_batch(spark, tmp_path):
+    now = [0]
+    rows = [("u", "A", "a", ["m"], datetime(2019, 5, 1)), ("u", "B", "b", ["m"], datetime(2019, 5, 2))]
+    known = requests.default_registry(
+        lambda: spark.createDataFrame(rows[: now[0] + 1], LISTENS), lambda: datetime(2019, 6, 1), EngineConfig()
+    )
+    frame = spark.createDataFrame([(1, '{"query": "stats.user.artists", "params": {"user_name": "u"}}')], "request_id long, message string")
+    for batch in range(2):
+        now[0] = batch
+        assert requests.dispatch(frame, known, str(tmp_path / "out"), batch).first().result_rows == batch + 1

@@ -337,9 +337,10 @@ buckets AS (
        CASE event_type WHEN 'view' THEN 'ok' WHEN 'purchase' THEN 'ok' WHEN 'signup' THEN 'failed'
                        WHEN 'click' THEN 'unknown_query' ELSE 'bad_request' END AS status,
        CASE event_type WHEN 'view' THEN (SELECT count(DISTINCT user_name) FROM listens)
-                       WHEN 'purchase' THEN (SELECT count(DISTINCT artist_msid) FROM listens WHERE user_name = 'user_1')
+                       WHEN 'purchase' THEN coalesce(artists, 0)
                        ELSE 0 END AS result_rows
-  FROM events""",
+  FROM events LEFT JOIN (SELECT user_name, count(DISTINCT artist_msid) AS artists FROM listens GROUP BY user_name)
+    ON user_name = 'user_' || CAST(user_id AS VARCHAR)""",
     "published_user_stats": _with(_EVENT_LISTENS)
     + f""",
 counted AS ({_counts(_ARTIST, "artist_name")})

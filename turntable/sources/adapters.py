@@ -142,12 +142,12 @@ def mbid_listens_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One request message per event; the event type decides what kind of request it is."""
+    """One request message per event; the event type decides what kind of request it is, its user about whom."""
     message = (
         F.when(F.col("event_type") == "view", F.lit('{"query": "stats.user.all"}'))
         .when(
             F.col("event_type") == "purchase",
-            F.lit('{"query": "stats.user.artists", "params": {"user_name": "user_1"}}'),
+            F.concat(F.lit('{"query": "stats.user.artists", "params": {"user_name": "user_'), "user_id", F.lit('"}}')),
         )
         .when(F.col("event_type") == "click", F.lit('{"query": "stats.unknown"}'))
         .when(F.col("event_type") == "signup", F.lit('{"query": "stats.user.all", "params": {"bogus": "1"}}'))
