@@ -24,29 +24,33 @@ def _words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.lower(text), F.lit(_TOKENS), F.lit(0)), lambda word: F.xxhash64(word))
 
 
-def _seeds(words: Column, at: Column, whole_only: bool) -> Column:
-    """The hashes of all masks laid at a place; for items, only of masks that end within the item."""
-    made = []
-    for i, mask in enumerate(MASKS):
-        seed = F.xxhash64(F.lit(i), *[F.get(words, at + k) for k, bit in enumerate(mask) if bit == "1"])
-        made.append(F.when(at + len(mask) <= F.size(words), seed) if whole_only else seed)
-    return F.array(*made)
+def _seeds(words: Column, whole_only: bool) -> Column:
+    """The hashes of all masks laid at each place in turn; for items, null where a mask does not end within the item."""
 
+    def at(place: Column) -> Column:
+        made = []
+        for i, mask in enumerate(MASKS):
+            seed = F.xxhash64(F.lit(i), *[F.get(words, place + k) for k, bit in enumerate(mask) if bit == "1"])
+            made.append(F.when(place + len(mask) <= F.size(words), seed) if whole_only else seed)
+        return F.array(*made)
 
-def _placed(df: DataFrame, whole_only: bool) -> DataFrame:
-    """One row for each seed of rows (…, words): place and seed."""
+    places = F.sequence(F.lit(0), F.size(words) - _SHORTEST)
+    return F.when(F.size(words) >= _SHORTEST, F.flatten(F.transform(places, at)))
+
+
+def _placed(df: DataFrame, key: str, whole_only: bool) -> DataFrame:
+    """Rows (key, at, seed) of the seeds of (key, words). The words stay behind: a long text has as many rows as words."""
+    seeds = df.select(key, _seeds(F.col("words"), whole_only).alias("seeds"))
     # Outer: Spark would otherwise cut the texts into words a first time to see which are long enough.
-    places = F.when(F.size("words") >= _SHORTEST, F.sequence(F.lit(0), F.size("words") - _SHORTEST))
-    each = df.select("*", F.explode_outer(places).alias("at"))
-    seeds = each.select("*", F.explode_outer(_seeds(F.col("words"), F.col("at"), whole_only)).alias("seed"))
-    return seeds.where("at IS NOT NULL AND seed IS NOT NULL")
+    each = seeds.select(key, F.posexplode_outer("seeds").alias("place", "seed")).where("seed IS NOT NULL")
+    return each.select(key, F.expr(f"place div {len(MASKS)}").cast("int").alias("at"), "seed")
 
 
 def _equal_words() -> tuple[Column, Column]:
-    """Of a hit (words, at, item_words, item_at): equal words in the window at the hit, and its length."""
+    """Of a hit (words, item_words, item_at, shift): equal words in the window at the hit, and its length."""
     length = F.least(F.lit(WINDOW), F.size("item_words"))
     start = F.greatest(F.lit(0), F.least(F.col("item_at"), F.size("item_words") - length))
-    shift = F.col("at") - F.col("item_at") + start
+    shift = F.col("shift") + start
     same = F.aggregate(
         F.sequence(F.lit(0), length - 1),
         F.lit(0),
@@ -62,26 +66,31 @@ def find_passages(
     """Rows (id, item_id, n_equal, n_hits, first_word): the items of which each text holds a passage.
 
     A passage is WINDOW words of an item (or the whole item if it is shorter), in their order, of which EQUAL
-    are the same, with at least one seed among them. n_equal is the most equal words in a window, first_word the
-    place of the first hit's window start in the text. Case and signs between words do not matter. Null and empty texts
+    are the same, with at least one seed among them. n_equal is the most equal words in a window, n_hits how many windows were found, first_word the
+    place in the text of the earliest item start laid there, 0 at least. Case and signs between words do not matter. Null and empty texts
     hold nothing; items of fewer words than the shortest mask are not found. Rows with null ids are grouped
     under null; repeated rows count as one text, repeated items as one item.
 
-    The seeds of the benchmark are counted first: up to BROADCAST_SEEDS are sent to all tasks and texts stay where
-    they are; more are joined by shuffling (seed, id, place), and texts are joined again for their hits.
+    The seeds of the benchmark are counted first: up to BROADCAST_SEEDS are sent to all tasks, more are joined by
+    shuffling (id, place, seed). Texts are joined with their hits by id, a hit being a place in an item and how far
+    the text is shifted against it.
     """
-    items = benchmark.select(F.col(item_id).alias("item_id"), _words(F.col(item_text)).alias("words"))
-    of_items = _placed(items, True).select("seed", "item_id", F.col("at").alias("item_at"), F.col("words").alias("item_words")).distinct()
+    items = benchmark.select(F.col(item_id).alias("item_id"), _words(F.col(item_text)).alias("words")).distinct()
+    of_items = _placed(items, "item_id", True).withColumnRenamed("at", "item_at").distinct()
     texts = df.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
-    hashed = texts.select("id", _words(F.col("text")).alias("words"))
-    if of_items.count() <= BROADCAST_SEEDS:
-        hits = _placed(hashed, False).join(F.broadcast(of_items), "seed")
-    else:
-        places = _placed(hashed, False).select("seed", "id", "at").join(of_items.drop("item_words"), "seed").drop("seed").distinct()
-        hits = places.join(hashed, places["id"].eqNullSafe(hashed["id"])).drop(hashed["id"])
-        hits = hits.join(items.select("item_id", F.col("words").alias("item_words")).distinct(), "item_id")
+    of_texts = _placed(texts.select("id", _words(F.col("text")).alias("words")), "id", False)
+    of_items = F.broadcast(of_items) if of_items.count() <= BROADCAST_SEEDS else of_items
+    hits = of_texts.join(of_items, "seed")
+    hits = hits.select(F.col("id").alias("hit_id"), "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
+    # Hits side by side look at nearly the same words: the first of each half window stands for them.
+    near = F.expr(f"item_at div {WINDOW // 2}").alias("near")
+    hits = hits.groupBy("hit_id", "item_id", "shift", near).agg(F.min("item_at").alias("item_at"))
+    hits = hits.groupBy("hit_id").agg(F.collect_list(F.struct("item_id", "item_at", "shift")).alias("hits"))
+    met = texts.join(hits, F.col("id").eqNullSafe(F.col("hit_id"))).select("id", _words(F.col("text")).alias("words"), "hits")
     same, length = _equal_words()
-    found = hits.select("id", "item_id", (F.col("at") - F.col("item_at")).alias("_first"), same.alias("_same"), length.alias("_length"))
+    each = met.select("id", "words", F.explode("hits").alias("hit")).select("id", "words", "hit.*")
+    each = each.join(items.withColumnRenamed("words", "item_words"), "item_id")
+    found = each.select("id", "item_id", F.col("shift").alias("_first"), same.alias("_same"), length.alias("_length"))
     passages = found.where(F.col("_same") >= F.ceil(EQUAL * F.col("_length"))).groupBy("id", "item_id")
     counted = passages.agg(F.max("_same").alias("n_equal"), F.count("*").alias("n_hits"), F.greatest(F.min("_first"), F.lit(0)).alias("first_word"))
     return counted.withColumnRenamed("id", id_column)
