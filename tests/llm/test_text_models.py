@@ -53,7 +53,7 @@ def test_toxicity_learns_and_handles_edges(spark):
     rows = [(i, text(i % 3 == 0), int(i % 3 == 0)) for i in range(240)]
     df = spark.createDataFrame([(n, t) for n, t, _ in rows], "doc_id bigint, text string")
     model = toxicity.fit(df, spark.createDataFrame([(n, label) for n, _, label in rows], "doc_id bigint, toxic int"))
-    new = [(1, text(False) + " vexum " + text(False)), (2, " ".join(text(False) for _ in range(20))), (None, None), (4, ""), (4, "")]
+    new = [(1, text(False) + " vexon " + text(False)), (2, " ".join(text(False) for _ in range(20))), (None, None), (4, ""), (4, "")]
     scored = toxicity.score(spark.createDataFrame(new, "doc_id bigint, text string").selectExpr("*", "'s' AS score"), model)
     found = scored.collect()
     assert len(found) == len(new) and scored.columns == ["doc_id", "text", "score"]
