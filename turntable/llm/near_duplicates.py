@@ -32,7 +32,7 @@ HASHES = ROWS * BANDS
 BATCH = 40
 MISS = 1e-5
 SMALL = 16  # buckets of so few members compare their pairs at once
-TURNS = 2  # of pivots for the buckets of bands, before sets are met by their rarest shingles
+TURNS = 1  # of pivots for the buckets of bands, before sets are met by their rarest shingles
 CACHED_WORDS = 400_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd constant that spreads bits
@@ -183,28 +183,37 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Candidates of a round among members (bucket, id, component) of buckets that hold several components.
+    """Candidates of a round among members of buckets that hold several components.
 
-    Small buckets give their pairs across components; large ones give each member with the pivots.
+    Small buckets give their pairs across components; large ones give each member with the pivots. A pair is
+    left out if the values it can still share, counted from the bucket's place in each set, are too few.
     """
+
+    def others(rows: DataFrame) -> DataFrame:
+        return rows.select("bucket", *[F.col(name).alias(f"_{name}2") for name in ("id", "component", "n", "room")])
+
+    shared = F.least("room", "_room2") * (1 + SIMILARITY) >= SIMILARITY * (F.col("n") + F.col("_n2")) - 1e-6
+    apart = (F.col("component") != F.col("_component2")) & shared
     small = members.where(F.col("_size") <= SMALL)
-    other = small.select("bucket", F.col("id").alias("_id2"), F.col("component").alias("_component2"))
-    met = small.join(other, "bucket").where("id < _id2 AND component <> _component2")
-    pivots = members.where(_is_pivot(turn)).select("bucket", F.col("id").alias("_id2"), F.col("component").alias("_component2"))
+    met = small.join(others(small), "bucket").where(apart & (F.col("id") < F.col("_id2")))
     large = members.where(F.col("_size") > SMALL)
-    star = large.join(pivots, "bucket").where("component <> _component2")
+    star = large.join(others(members.where(_is_pivot(turn))), "bucket").where(apart)
     both = met.union(star).select("id", "_id2")
     return both.select(F.least("id", "_id2").alias("a"), F.greatest("id", "_id2").alias("b")).distinct()
 
 
 def _is_pivot(turn: int) -> F.Column:
-    """The first member of a large bucket, and in each turn twice as many others as in the turn before."""
-    drawn = F.pmod(F.xxhash64("id", F.lit(turn)), F.col("_size")) < (1 << turn) - 1
+    """The first member of a large bucket, and in each turn about four times as many others as in the turn before."""
+    drawn = F.pmod(F.xxhash64("id", F.lit(turn)), F.col("_size")) < 4**turn - 1
     return (F.col("_size") > SMALL) & (drawn | (F.col("id") == F.col("_first")))
 
 
+#: Columns of a member of a bucket: n is the size of its set, room how many of its values can be shared with others there.
+MEMBER = ("bucket", "id", "component", "n", "room")
+
+
 def _unresolved(members: DataFrame) -> DataFrame:
-    """Members (bucket, id, component) of buckets with several components, with size and first id of the bucket."""
+    """Members of buckets with several components, with size and first id of the bucket."""
     found = members.groupBy("bucket").agg(
         F.count("*").alias("_size"),
         F.min("id").alias("_first"),
@@ -212,7 +221,7 @@ def _unresolved(members: DataFrame) -> DataFrame:
         F.max("component").alias("_high"),
     )
     open_ones = found.where("_low < _high").select("bucket", "_size", "_first")
-    return members.select("bucket", "id", "component").join(open_ones, "bucket")
+    return members.select(*MEMBER).join(open_ones, "bucket")
 
 
 def _relabelled(members: DataFrame, merged: DataFrame) -> DataFrame:
@@ -240,7 +249,7 @@ class _Groups:
             likely = materialise(_likely(_pairs(members, turn), self._signatures))
             links = materialise(_linked(likely, self.texts))
             # A pivot has met all the others of its bucket, and so have the members of small buckets.
-            left = members.where((F.col("_size") > SMALL) & ~_is_pivot(turn)).select("bucket", "id", "component")
+            left = members.where((F.col("_size") > SMALL) & ~_is_pivot(turn)).select(*MEMBER)
             members = left if links.isEmpty() else _relabelled(left, self._merge(links))
             turn += 1
 
@@ -258,16 +267,19 @@ class _Groups:
 
 
 def _prefixes(values: DataFrame) -> DataFrame:
-    """Buckets (bucket, id) by which sets that are similar enough must meet, however common their other parts are.
+    """Buckets (bucket, id, n, room) by which sets that are similar enough must meet, however common their other parts are.
 
     With the values of each set in order of how many sets hold them, rarest first, two sets of SIMILARITY share
-    a value among the first n - ceil(SIMILARITY * n) + 1 of each. Passages that many texts share come last.
+    a value among the first n - ceil(SIMILARITY * n) + 1 of each. Passages that many texts share come last, and
+    what the sets do not share mostly comes before: few values are left from the first shared one on unless the
+    sets are similar.
     """
     each = values.select("id", F.size("values").alias("_n"), F.explode("values").alias("bucket"))
     held = each.groupBy("bucket").agg(F.count("*").alias("_held"))
     placed = each.join(held, "bucket").groupBy("id", "_n").agg(F.array_sort(F.collect_list(F.struct("_held", "bucket"))).alias("_all"))
     first = F.slice("_all", F.lit(1), F.col("_n") - F.ceil(F.col("_n") * SIMILARITY).cast("int") + 1)
-    return placed.select("id", F.explode(first).alias("_one")).where("_one._held > 1").select("id", "_one.bucket")
+    each = placed.select("id", F.col("_n").alias("n"), F.posexplode(first).alias("_place", "_one")).where("_one._held > 1")
+    return each.select("id", "n", (F.col("n") - F.col("_place")).alias("room"), "_one.bucket")
 
 
 def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
@@ -287,16 +299,16 @@ def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id"
     # Of an id with several texts, only the row of its class counts.
     chosen = sketch.join(classes.select("id", "set"), ["id", "set"], "left_semi").dropDuplicates(["id"])
     signatures = chosen.select("id", "n", "signature", "buckets")
-    banded = signatures.select("id", F.explode("buckets").alias("bucket"))
+    banded = signatures.select("id", "n", F.col("n").alias("room"), F.explode("buckets").alias("bucket"))
     shared = banded.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket")
-    members = materialise(banded.join(shared, "bucket").select("bucket", "id", F.col("id").alias("component")))
+    members = materialise(banded.join(shared, "bucket").withColumn("component", F.col("id")).select(*MEMBER))
     origin = texts.join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
     state = _Groups(origin, signatures.select("id", "n", "signature"))
     rest = state.resolve(members, TURNS)
     if rest is not None:
         wanted = rest.select("id", "component").distinct()
         values = materialise(_sets(origin.join(wanted, "id", "left_semi")))
-        state.resolve(materialise(_prefixes(values).join(wanted, "id")), None)
+        state.resolve(materialise(_prefixes(values).join(wanted, "id").select(*MEMBER)), None)
     labels = state.labels
     result = documents.join(classes.select("set", F.col("id").alias("_class")), "set", "left")
     result = result.withColumn("_class", F.coalesce("_class", "id"))
