@@ -124,6 +124,46 @@ def test_passages(spark, monkeypatch, broadcast):
     assert find_passages(df.limit(0), items).count() == find_passages(df, items.limit(0)).count() == 0
 
 
+def brute_passages(words, item):
+    """(n_equal, n_hits, first_word) over all windows of the item at all places of the text, or None."""
+    length = min(decontaminate.WINDOW, len(item))
+    found = []
+    for shift in range(-len(item) + 1, len(words)):
+        same = [0 <= shift + k < len(words) and words[shift + k] == item[k] for k in range(len(item))]
+        for start in range(len(item) - length + 1 if sum(same) >= 6 else 0):
+            window = same[start : start + length]
+            seeded = any(
+                all(window[at + k] for k, bit in enumerate(mask) if bit == "1")
+                for mask in decontaminate.MASKS
+                for at in range(length - len(mask) + 1)
+            )
+            if seeded and 4 * sum(window) >= 3 * length:
+                found.append((sum(window), shift))
+    return (max(same for same, _ in found), len(found), max(0, min(shift for _, shift in found))) if found else None
+
+
+def test_passages_brute_force(spark):
+    draw = random.Random(16)
+    items = {i: draw.choices(WORDS, k=size) for i, size in enumerate([8, 11, 15, 16, 17, 25, 40, 70])}
+    items[8] = items[6][:20] + items[6][:20]
+    texts = {}
+    for number in range(900):
+        item = items[number % 9]
+        size = min(len(item), draw.randint(12, 20) if number % 5 else 70)
+        at = draw.randint(0, len(item) - size)
+        quoted = item[at : at + size]
+        for place in draw.sample(range(size), min(size, draw.randint(1, 4) if number % 5 else size // 5)):
+            quoted[place] = "other"
+        texts[number] = draw.choices(WORDS, k=draw.randint(0, 20)) + quoted + draw.choices(WORDS, k=draw.randint(0, 20))
+    rows = [(number, " ".join(words)) for number, words in texts.items()]
+    df = spark.createDataFrame(rows + rows[:50], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame([(i, " ".join(words)) for i, words in items.items()], "item_id bigint, text string")
+    found = {(row.doc_id, row.item_id): (row.n_equal, row.n_hits, row.first_word) for row in find_passages(df, benchmark).collect()}
+    wanted = {(n, i): brute_passages(words, item) for n, words in texts.items() for i, item in items.items()}
+    assert found == {pair: held for pair, held in wanted.items() if held}
+    assert 100 < len(found)
+
+
 def test_passages_query(spark, sf_dir):
     grams = defaultdict(set)
     for row in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect():

@@ -1,12 +1,14 @@
 """Benchmark passages in training texts by spaced seeds, from SQL functions alone.
 
 A seed is a run of words of which only those at the mask's ones are hashed, so a changed word between them does
-not matter. Seeds of texts and of benchmark items are joined; around each hit the words are laid side by side,
-and a passage counts if enough of them are equal, whatever stands at the others.
+not matter. Seeds of texts and of benchmark items are joined; all windows around the hits are laid side by side,
+and a passage counts if enough of its words are equal, whatever stands at the others.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,18 +48,27 @@ def _placed(df: DataFrame, key: str, whole_only: bool) -> DataFrame:
     return each.select(key, F.expr(f"place div {len(MASKS)}").cast("int").alias("at"), "seed")
 
 
-def _equal_words() -> tuple[Column, Column]:
-    """Of a hit (words, item_words, item_at, shift): equal words in the window at the hit, and its length."""
-    length = F.least(F.lit(WINDOW), F.size("item_words"))
-    start = F.greatest(F.lit(0), F.least(F.col("item_at"), F.size("item_words") - length))
-    shift = F.col("shift") + start
-    same = F.aggregate(
-        F.sequence(F.lit(0), length - 1),
-        F.lit(0),
-        lambda n, k: n
-        + F.when((shift + k >= 0) & (F.get(F.col("words"), shift + k) == F.get(F.col("item_words"), start + k)), 1).otherwise(0),
-    )
-    return same, length
+def _windows(words: Column, shift: Column, item: Column, low: Column, high: Column) -> Column:
+    """Of the windows within an item's places `low` to `high`, laid at `shift` in `words`: (n_equal, n_windows) of those that are passages.
+
+    The bits of one number are the last WINDOW places, set where the words are equal; each is judged at the place after it.
+    """
+    length = F.least(F.lit(WINDOW), F.size(item))
+    laid = [int(mask, 2) << left for mask in MASKS for left in range(WINDOW - len(mask) + 1)]
+
+    def step(seen: Column, place: Column) -> Column:
+        bits, same = seen["bits"], F.bit_count(seen["bits"])
+        seeded = reduce(Column.__or__, [bits.bitwiseAND(F.lit(one)) == one for one in laid])
+        passage = (same >= F.ceil(EQUAL * length)) & (place >= low + length) & seeded
+        equal = F.when(F.get(words, shift + place) == F.get(item, place), 1).otherwise(0)
+        return F.struct(
+            F.shiftleft(bits, 1).bitwiseAND(F.lit((1 << WINDOW) - 1)).bitwiseOR(equal).alias("bits"),
+            F.greatest(seen["n_equal"], F.when(passage, same).otherwise(0)).alias("n_equal"),
+            (seen["n_windows"] + F.when(passage, 1).otherwise(0)).alias("n_windows"),
+        )
+
+    none = F.struct(F.lit(0).alias("bits"), F.lit(0).alias("n_equal"), F.lit(0).alias("n_windows"))
+    return F.aggregate(F.sequence(low, high + 1), none, step)
 
 
 def find_passages(
@@ -66,7 +77,8 @@ def find_passages(
     """Rows (id, item_id, n_equal, n_hits, first_word): the items of which each text holds a passage.
 
     A passage is WINDOW words of an item (or the whole item if it is shorter), in their order, of which EQUAL
-    are the same, with at least one seed among them. n_equal is the most equal words in a window, n_hits how many windows were found, first_word the
+    are the same, with at least one seed among them, wherever it stands; all windows of an item are laid everywhere.
+    n_equal is the most equal words in a window, n_hits how many windows are passages, first_word the
     place in the text of the earliest item start laid there, 0 at least. Case and signs between words do not matter. Null and empty texts
     hold nothing; items of fewer words than the shortest mask are not found. Rows with null ids are grouped
     under null; repeated rows count as one text, repeated items as one item.
@@ -82,17 +94,27 @@ def find_passages(
     of_items = F.broadcast(of_items) if of_items.count() <= BROADCAST_SEEDS else of_items
     hits = of_texts.join(of_items, "seed")
     hits = hits.select(F.col("id").alias("hit_id"), "item_id", "item_at", (F.col("at") - F.col("item_at")).alias("shift"))
-    # Hits side by side look at nearly the same words: the first of each half window stands for them.
-    near = F.expr(f"item_at div {WINDOW // 2}").alias("near")
-    hits = hits.groupBy("hit_id", "item_id", "shift", near).agg(F.min("item_at").alias("item_at"))
-    hits = hits.groupBy("hit_id").agg(F.collect_list(F.struct("item_id", "item_at", "shift")).alias("hits"))
+    # All windows with a seed lie between those that end with the first hit and those that begin with the last.
+    hits = hits.groupBy("hit_id", "item_id", "shift").agg(F.min("item_at").alias("first_at"), F.max("item_at").alias("last_at"))
+    hits = hits.groupBy("hit_id").agg(F.collect_list(F.struct("item_id", "shift", "first_at", "last_at")).alias("hits"))
     met = texts.join(hits, F.col("id").eqNullSafe(F.col("hit_id"))).select("id", _words(F.col("text")).alias("words"), "hits")
-    same, length = _equal_words()
     each = met.select("id", "words", F.explode("hits").alias("hit")).select("id", "words", "hit.*")
+    # Only the words that those windows can reach go on; the first of them is at `part_at`.
+    part_at = F.greatest(F.lit(0), F.col("shift") + F.col("first_at") - (WINDOW - 1))
+    each = each.withColumn("part_at", part_at)
+    part = F.slice("words", F.col("part_at") + 1, F.col("shift") + F.col("last_at") + WINDOW - F.col("part_at"))
+    each = each.select("id", "item_id", "shift", "first_at", "last_at", "part_at", part.alias("part"))
     each = each.join(items.withColumnRenamed("words", "item_words"), "item_id")
-    found = each.select("id", "item_id", F.col("shift").alias("_first"), same.alias("_same"), length.alias("_length"))
-    passages = found.where(F.col("_same") >= F.ceil(EQUAL * F.col("_length"))).groupBy("id", "item_id")
-    counted = passages.agg(F.max("_same").alias("n_equal"), F.count("*").alias("n_hits"), F.greatest(F.min("_first"), F.lit(0)).alias("first_word"))
+    low = F.greatest(F.lit(0), F.col("first_at") - (WINDOW - 1))
+    high = F.least(F.size("item_words") - 1, F.col("last_at") + (WINDOW - 1))
+    found = _windows(F.col("part"), F.col("shift") - F.col("part_at"), F.col("item_words"), low, high)
+    # Repeated rows of a text find the same windows, which count once.
+    passages = each.select("id", "item_id", "shift", found.alias("_found")).where("_found.n_windows > 0").distinct().groupBy("id", "item_id")
+    counted = passages.agg(
+        F.max("_found.n_equal").alias("n_equal"),
+        F.sum("_found.n_windows").alias("n_hits"),
+        F.greatest(F.min("shift"), F.lit(0)).alias("first_word"),
+    )
     return counted.withColumnRenamed("id", id_column)
 
 
