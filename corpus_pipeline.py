@@ -35,7 +35,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without documents that hold a passage of the benchmark."""
-    return without_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep_nameless=False)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

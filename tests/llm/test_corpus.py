@@ -164,6 +164,24 @@ def test_passages_brute_force(spark):
     assert 100 < len(found)
 
 
+def test_short_items_and_null_ids(spark):
+    draw = random.Random(7)
+    item = draw.choices(WORDS, k=30)
+    noise = " ".join(draw.choices(WORDS, k=30))
+    texts = [
+        (1, f"{noise} Forty-two apples fell {noise}"), (2, f"{noise} forty-two pears fell"), (3, noise), (None, noise), (None, " ".join(item)),
+        (None, f"{noise} 東京は日本の首都です。{noise}"), (4, "東京は日本の首都です"), (5, "東京は日本の都です"), (6, "two"), (6, " ".join(item)),
+    ]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    rows = [(1, "forty two apples fell"), (2, "東京は日本の首都です"), (None, " ".join(item)), (3, " "), (None, " ".join(reversed(item)))]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    found = {(row.doc_id, row.item_id): (row.n_equal, row.n_hits) for row in find_passages(df, items).collect()}
+    assert found == {(1, 1): (4, 1), (4, 2): (1, 1), (None, 2): (1, 1), (None, None): (16, 15), (6, None): (16, 15)}
+    kept = [row.text for row in without_passages(df, items, keep_nameless=False).collect()]
+    assert sorted(kept) == sorted([noise, noise, texts[1][1], texts[7][1]])
+    assert without_passages(df, items).where("doc_id IS NULL").count() == 3
+
+
 def test_passages_query(spark, sf_dir):
     grams = defaultdict(set)
     for row in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect():
