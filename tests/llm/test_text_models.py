@@ -151,6 +151,16 @@ def test_quality_edges(spark):
     assert {row.score for row in quality.quality_rules(df, trusted.limit(0)).select("quality.score").collect()} == {0.0}
 
 
+def test_page_text_outside_article():
+    clause = "Under section (c) of the act the owner of a house has to pay for the repair of the road that is in front of it."
+    long = f"{clause} The sign © stands for a claim of the author, and it is of no use to those who have not read the law. {clause}"
+    assert main_text(f"<body><p>{clause}</p><p>{long}</p><p>© 2024 the owners of it</p></body>") == f"{clause} {long}"
+    assert main_text(f"<body><p>{clause}</p><p>Copyright (c) the owners of it</p><p>(c) 2024 and all of us</p></body>") == clause
+    finnish = "Vanha kalastaja lähti aamulla järvelle, jossa tuuli puhalsi hiljaa ja aallot keinuttivat pientä venettä pitkään."
+    page = f'<body><nav><a href="/">Etusivu</a></nav><div><p>{finnish}</p><p>{finnish}</p></div></body>'
+    assert main_text(page) == f"{finnish} {finnish}"
+
+
 def test_page_text(spark, sf_dir):
     page = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style><script>var t="</p>";</script></head><body>
     <nav><ul><li><a href="/">Home</a></li></ul></nav><!-- <p>no</p> --><div class="cookie-notice">We use cookies</div>

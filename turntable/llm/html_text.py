@@ -77,6 +77,8 @@ _MARKUP = re.compile(
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"\w+")
+# The sign, or "(c)" with a year or the word; not the "(c)" of a list.
+_COPYRIGHT = re.compile(r"©|\(c\)(?=\s*(?:copyright\b\s*)?(?:19|20)\d\d)|\bcopyright\s*\(c\)|^\(c\)\s*copyright\b", re.I)
 
 
 @dataclass
@@ -182,15 +184,17 @@ def blocks_of(page: str) -> list[Block]:
     return [block for block in blocks if block.text]
 
 
-def _decide(block: Block) -> bool | None:
+def _decide(block: Block, by_stop_words: bool = True) -> bool | None:
     """Pass one: wanted, unwanted, or None where the block alone does not tell."""
     size = len(block.text)
     if block.unwanted or (block.linked and block.linked > MAX_LINK_DENSITY * size):
         return False
-    if not block.article and ("©" in block.text or "(c)" in block.text.lower()):
+    if not block.article and size < LONG and _COPYRIGHT.search(block.text):
         return False
     if size < SHORT:
         return None
+    if not by_stop_words:
+        return True
     words = _WORD.findall(block.text.lower())
     stop_words = sum(word in STOP_WORDS for word in words)
     if stop_words >= HIGH_STOP_WORDS * len(words) or (size >= LONG and stop_words >= LOW_STOP_WORDS * len(words)):
@@ -238,6 +242,10 @@ def main_text(page: str) -> str:
     blocks = blocks_of(page)
     for block in blocks:
         block.good = _decide(block)
+    if not any(block.good or block.article for block in blocks):
+        # No article element, and nothing in a language with stop words: long blocks are judged without them.
+        for block in blocks:
+            block.good = _decide(block, by_stop_words=False)
     _settle(blocks)
     return " ".join(block.text for block in blocks if block.good)
 
