@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from turntable.llm import language, toxicity
 from turntable.llm.bpe_stream import digests, encode_documents
 from turntable.llm.decontaminate import find_passages
+from turntable.llm.divergence import divergence
 from turntable.llm.hilbert import hilbert_shards
 from turntable.llm.html_text import extract_text
 from turntable.llm.near_duplicates import near_duplicates
@@ -102,6 +103,11 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assigned.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the others of its language, and the terms it uses more than the language does."""
+    return divergence(_documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -113,7 +119,47 @@ QUERIES = {
     "op8_binary_records": op8_binary_records,
     "op9_bpe_stream": op9_bpe_stream,
     "op10_hilbert_shards": op10_hilbert_shards,
+    "op11_source_divergence": op11_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
+_DIVERGENCE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t FROM documents),
+w AS (
+    SELECT id, lang, source, unnest(regexp_extract_all(
+        translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM d
+),
+k AS (SELECT lang, term, count(*) AS total FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+v AS (SELECT lang, count(*) AS kept, sum(total) AS whole FROM k GROUP BY lang),
+s AS (
+    SELECT g.lang, g.source, any_value(coalesce(v.kept, 0)) AS kept, any_value(coalesce(v.whole, 0)) AS whole, coalesce(sum(c.n), 0) AS size
+    FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN v USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source
+    GROUP BY g.lang, g.source
+),
+p AS (
+    SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+        1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (s.size + 2 * s.kept) AS p,
+        1 + 1000000000::HUGEINT * (k.total + 2) // (s.whole + 2 * s.kept) AS q
+    FROM s JOIN k USING (lang) LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term
+),
+parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+        coalesce(sum((pa.p - pb.p) * (pa.p - pb.p) // (pa.p + pb.p)), 0)::BIGINT AS value
+    FROM s a JOIN s b ON b.lang = a.lang AND b.source <> a.source
+    LEFT JOIN p pa ON pa.lang = a.lang AND pa.source = a.source
+    LEFT JOIN p pb ON pb.lang = b.lang AND pb.source = b.source AND pb.term = pa.term
+    GROUP BY a.lang, a.source, b.source
+    UNION ALL
+    SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p WHERE n > 0 AND p > q
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLES: dict[str, str] = {"op11_source_divergence": _DIVERGENCE_SQL}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
