@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 from pathlib import Path
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,10 @@ from pyspark.sql.types import StructType
 
 BATCH_ROWS = 2_000
 BATCH_BYTES = 8 << 20
+KNOWN_BYTES = 64 << 20
+ENTRY_BYTES = 180  # of a dictionary's entry beside the contents of its key and value
+
+_held: dict[tuple, Any] = {}
 
 
 def ready_workers(spark: SparkSession) -> None:
@@ -28,6 +34,38 @@ def ready_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
+def of_worker(build: Callable[..., Any], *key: Any) -> Any:
+    """`build(*key)`, kept in this worker until another operator asks for something else.
+
+    Spark uses its Python workers again for later stages; what one operator has learnt there would
+    otherwise stay beside what the next one learns.
+    """
+    if (build, *key) not in _held:
+        _held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        _held[build, *key] = build(*key)
+    return _held[build, *key]
+
+
+class Known(dict):
+    """Results by text, emptied by `trim` once they hold more than `limit` bytes."""
+
+    def __init__(self, limit: int = KNOWN_BYTES) -> None:
+        super().__init__()
+        self._limit, self._size = limit, 0
+
+    def add(self, made: dict[Any, Any]) -> None:
+        """Keep new results, whose keys and values have a length in bytes or characters."""
+        self._size += sum(len(key) + len(value) for key, value in made.items()) + ENTRY_BYTES * len(made)
+        self.update(made)
+
+    def trim(self) -> None:
+        if self._size > self._limit:
+            self.clear()
+            self._size = 0
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: StructType | str) -> DataFrame:
     """`work` over each Arrow batch of `df`; it returns a batch of `schema`, or None for no rows."""
     ready_workers(df.sparkSession)

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turntable.llm import language, toxicity
+from turntable.llm import language, recursive_bpe, toxicity
 from turntable.llm.bpe_stream import digests, encode_documents
 from turntable.llm.decontaminate import find_passages
 from turntable.llm.divergence import divergence
@@ -108,6 +108,13 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(_documents(spark, sf_dir))
 
 
+def op13_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through the byte-level merges of recursive queries and back."""
+    texts = _documents(spark, sf_dir).select("doc_id", "text")
+    file = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return recursive_bpe.digests(recursive_bpe.encode_documents(texts, file, public_tokenizers.PATTERN, decoded=True))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -120,6 +127,7 @@ QUERIES = {
     "op9_bpe_stream": op9_bpe_stream,
     "op10_hilbert_shards": op10_hilbert_shards,
     "op11_source_divergence": op11_source_divergence,
+    "op13_recursive_bpe": op13_recursive_bpe,
     "pipeline": corpus_pipeline.run,
 }
 
