@@ -17,6 +17,7 @@ from turntable.llm.near_duplicates import near_duplicates
 from turntable.llm.quality import quality_rules
 from turntable.llm.records import read_records, write_records
 from turntable.llm.token_counts import count_tokens
+from turntable.llm.whitening import whiten
 from turntable.sources.tables import scratch_path
 
 TOKEN_LIMIT = 1024
@@ -108,6 +109,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence(_documents(spark, sf_dir))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding along the principal components of all, each with variance one."""
+    return whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document through the byte-level merges of recursive queries and back."""
     texts = _documents(spark, sf_dir).select("doc_id", "text")
@@ -127,6 +133,7 @@ QUERIES = {
     "op9_bpe_stream": op9_bpe_stream,
     "op10_hilbert_shards": op10_hilbert_shards,
     "op11_source_divergence": op11_source_divergence,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_recursive_bpe": op13_recursive_bpe,
     "pipeline": corpus_pipeline.run,
 }
