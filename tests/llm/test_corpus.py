@@ -80,6 +80,38 @@ def test_near_duplicates_of_edited_copies(spark):
     same_as_brute(spark, texts)
 
 
+def test_near_duplicates_across_cells(spark, monkeypatch):
+    """Buckets cut into many cells and pivots copied to many parts give the same components."""
+    monkeypatch.setattr(near_duplicates, "CELL_MEMBERS", 5)
+    monkeypatch.setattr(near_duplicates, "CELL_SHINGLES", 900)
+    draw = random.Random(14)
+    base = draw.choices(WORDS, k=80)
+    texts = {}
+    for i in range(150):
+        words = list(base)
+        for _ in range(draw.randint(0, 5)):
+            words[draw.randrange(80)] = draw.choice(WORDS)
+        texts[i] = " ".join(words)
+    same_as_brute(spark, texts)
+
+
+def test_several_texts_under_one_id(spark):
+    """The text that the id stands for is the one it is compared by and the one that stays, on every run."""
+    draw = random.Random(15)
+    texts = [" ".join(draw.choices(WORDS, k=30)) for _ in range(6)]
+    rows = [(n, text) for n, text in enumerate(texts)] + [(9, text) for text in texts] + [(9, texts[0])] * 3 + [(8, ""), (8, texts[1])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    taken = set()
+    for partitions in (1, 5):
+        found = {row.doc_id: row for row in near_duplicates.near_duplicates(df.repartition(partitions, "text")).collect()}
+        assert len(found) == 8 and found[8].n_shingles == 0 and found[8].component_id == 8
+        taken.add(found[9].component_id)
+        assert all(found[n].component_id == n for n in range(6)) and not found[9].kept
+        alone = df.where("doc_id > 5").repartition(partitions)
+        assert sorted(row.text for row in drop_near_duplicates(alone).collect()) == ["", texts[found[9].component_id]]
+    assert len(taken) == 1
+
+
 def test_near_duplicate_edges(spark):
     df = spark.createDataFrame([(None, "a b"), (None, "a b"), (3, "a b"), (3, "a b"), (2, "A\tb ")], "doc_id bigint, text string")
     found = near_duplicates.near_duplicates(df).collect()

@@ -1,26 +1,27 @@
 """Near-duplicate texts by MinHash bands, Bayesian pruning of candidates, and exact verification.
 
 Texts with the same set of word shingles are one class. Classes that agree in a whole band of their signature
-meet in a bucket. A large bucket does not compare all its pairs: its members are compared with a pivot, linked ones
-become one component, and only buckets that still hold several components go on, with other pivots. What is still
-open after TURNS (texts around a passage that very many share) meets by its rarest shingles instead, which loses no
-pair and leaves such passages out. A candidate's signatures are compared batch by batch, and it is dropped as soon as the posterior
-probability of a similarity of SIMILARITY is below MISS. What remains is verified on the full sets.
+meet in a bucket. First each member of a bucket is compared with the bucket's pivot, its smallest id; members are dealt over
+tasks and the pivot is copied to them. Linked members become one component. Buckets that then still hold several
+components are cut into cells of bounded size, and within a cell all members of different components are compared, which
+gives no pairs but the few links that join components. A candidate's signatures are compared batch by batch, and
+it is dropped as soon as the posterior probability of a similarity of SIMILARITY is below MISS. What remains is verified on the full sets.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turntable.llm.common import map_batches
+from turntable.llm.common import ENTRY_BYTES, KNOWN_BYTES, map_batches, of_worker, ready_workers
 from turntable.llm.components import components
 from turntable.sources.tables import materialise
 
@@ -31,9 +32,10 @@ BANDS = 40
 HASHES = ROWS * BANDS
 BATCH = 40
 MISS = 1e-5
-SMALL = 16  # buckets of so few members compare their pairs at once
-TURNS = 1  # of pivots for the buckets of bands, before sets are met by their rarest shingles
-CACHED_WORDS = 400_000
+CELL_MEMBERS = 1024  # of a side of a cell
+CELL_SHINGLES = 200_000  # of the sets of a side together, unless a single one has more
+_PAIRS = 100_000  # compared at once
+_WORD_BYTES = 64  # longer words are not kept
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd constant that spreads bits
 
@@ -42,21 +44,20 @@ class _Words(dict):
     """64-bit hashes of words."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        made = self[word] = xxhash.xxh3_64_intdigest(word)
+        made = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= _WORD_BYTES:
+            if len(self) >= KNOWN_BYTES // (ENTRY_BYTES + _WORD_BYTES):
+                self.clear()
+            self[word] = made
         return made
 
 
-_words = _Words()
-
-
 def shingles(text: str | None) -> np.ndarray:
     """Sorted distinct hashes of the shingles of a text (see near_duplicates)."""
     words = text.encode().lower().split() if text else []
     if not words:
         return np.zeros(0, dtype=np.uint64)
-    hashes = np.fromiter(map(_words.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashes = np.fromiter(map(of_worker(_Words).__getitem__, words), dtype=np.uint64, count=len(words))
     size = min(SHINGLE, len(words))
     out = np.full(len(words) - size + 1, size if size < SHINGLE else 0, dtype=np.uint64)
     for i in range(size):
@@ -97,6 +98,7 @@ def _buckets(least: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
+@lru_cache(maxsize=1)
 def least_agreements() -> np.ndarray:
     """For each batch, how many of the hashes up to its end must agree for a candidate to stay.
 
@@ -113,6 +115,11 @@ def least_agreements() -> np.ndarray:
     return np.array(out)
 
 
+def _digest(values: np.ndarray) -> bytes | None:
+    """Of a set; null of the empty one."""
+    return hashlib.blake2b(values.tobytes(), digest_size=16).digest() if len(values) else None
+
+
 def _sketch(df: DataFrame) -> DataFrame:
     """Per row of (id, text): id, set (its digest, null if empty), n, signature and buckets."""
 
@@ -121,12 +128,11 @@ def _sketch(df: DataFrame) -> DataFrame:
         for text in batch.column(1).to_pylist():
             values = shingles(text)
             sizes.append(len(values))
+            digests.append(_digest(values))
             if not len(values):
-                digests.append(None)
                 signatures.append(None)
                 buckets.append(None)
                 continue
-            digests.append(hashlib.blake2b(values.tobytes(), digest_size=16).digest())
             least = signature(values)
             # One byte of each minimum: unequal ones agree once in 256, which lets a candidate stay, never go.
             signatures.append((least & np.uint32(0xFF)).astype(np.uint8).tobytes())
@@ -138,183 +144,235 @@ def _sketch(df: DataFrame) -> DataFrame:
     return map_batches(df, work, "id bigint, set binary, n bigint, signature binary, buckets array<bigint>")
 
 
-def _likely(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """The pairs (a, b) that the posterior does not rule out."""
-    needed = least_agreements()
+def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, n, signature, values) of the wanted (id, set, n, signature), from the text of the id that has this set."""
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), dtype=np.uint8).reshape(-1, HASHES) for i in (2, 3))
-        alive = np.arange(batch.num_rows)
-        agreed = np.zeros(batch.num_rows, dtype=np.int64)
-        for i, least in enumerate(needed):
+        values = [shingles(text) for text in batch.column("text").to_pylist()]
+        own = [i for i, (set_, digest) in enumerate(zip(values, batch.column("set").to_pylist(), strict=True)) if _digest(set_) == digest]
+        rows = pa.array(own, pa.int64())
+        kept = pa.array([values[i].view(np.int64) for i in own], pa.list_(pa.int64()))
+        return pa.record_batch([*(batch.column(name).take(rows) for name in ("id", "n", "signature")), kept], ["id", "n", "signature", "values"])
+
+    found = map_batches(texts.join(wanted, "id"), work, "id bigint, n bigint, signature binary, values array<bigint>")
+    return found.dropDuplicates(["id"])
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """The rows of sorted batches, regrouped so that no two tables share a key."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy()
+        first = int(np.searchsorted(keys, keys[-1]))  # of the last key, which may go on
+        if held and held[-1].column(key)[-1].as_py() != keys[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        if first:
+            yield pa.Table.from_batches([*held, batch.slice(0, first)])
+            held = []
+        held.append(batch.slice(first))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+class _Rows:
+    """Members of some groups: sizes of their sets, signatures, and the sets if they are at hand."""
+
+    def __init__(self, table: pa.Table) -> None:
+        self.ids = table.column("id").to_numpy()
+        self.n = table.column("n").to_numpy()
+        self.signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), dtype=np.uint8).reshape(-1, HASHES)
+        if "values" in table.column_names:
+            lists = table.column("values").combine_chunks()
+            self._values, self._ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+
+    def likely(self, x: np.ndarray, y: np.ndarray, bands: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of rows that size and posterior do not rule out; with `bands`, those that agree in no whole band before it."""
+        # Sets can overlap by no more than the share of the smaller in the larger.
+        alive = np.minimum(self.n[x], self.n[y]) >= SIMILARITY * np.maximum(self.n[x], self.n[y])
+        x, y = x[alive], y[alive]
+        if bands is not None:
+            bands = bands[alive]
+        agreed = np.zeros(len(x), dtype=np.int64)
+        for i, least in enumerate(least_agreements()):
             part = slice(i * BATCH, (i + 1) * BATCH)
-            agreed[alive] += (a[alive, part] == b[alive, part]).sum(axis=1)
-            alive = alive[agreed[alive] >= least]
-        rows = pa.array(alive)
-        return pa.record_batch([batch.column(0).take(rows), batch.column(1).take(rows)], ["a", "b"])
-
-    def own(name: str) -> DataFrame:
-        return signatures.select(F.col("id").alias(name), F.col("signature").alias(f"_{name}"), F.col("n").alias(f"_n{name}"))
-
-    # Sets can overlap by no more than the share of the smaller in the larger.
-    sized = F.least("_na", "_nb") >= SIMILARITY * F.greatest("_na", "_nb")
-    both = pairs.join(own("b"), "b").join(own("a"), "a").where(sized).select("a", "b", "_a", "_b")
-    return map_batches(both, work, "a bigint, b bigint")
-
-
-def _sets(df: DataFrame) -> DataFrame:
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        values = [shingles(text).view(np.int64) for text in batch.column(1).to_pylist()]
-        return pa.record_batch([batch.column(0), pa.array(values, pa.list_(pa.int64()))], ["id", "values"])
-
-    return map_batches(df, work, "id bigint, values array<bigint>")
-
-
-def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    sets = materialise(_sets(texts.join(wanted, "id", "left_semi")))
-    own = lambda name: sets.select(F.col("id").alias(name), F.col("values").alias(f"_{name}"))
-    both = pairs.join(own("b"), "b").join(own("a"), "a")
-    shared = F.size(F.array_intersect("_a", "_b"))
-    union = F.size("_a") + F.size("_b") - F.col("_shared")
-    counted = both.select("a", "b", "_a", "_b", shared.alias("_shared"))
-    return counted.where(100 * F.col("_shared") >= round(100 * SIMILARITY) * union).select("a", "b")
-
-
-def _pairs(members: DataFrame, turn: int) -> DataFrame:
-    """Candidates of a round among members of buckets that hold several components.
-
-    Small buckets give their pairs across components; large ones give each member with the pivots. A pair is
-    left out if the values it can still share, counted from the bucket's place in each set, are too few.
-    """
-
-    def others(rows: DataFrame) -> DataFrame:
-        return rows.select("bucket", *[F.col(name).alias(f"_{name}2") for name in ("id", "component", "n", "room")])
-
-    shared = F.least("room", "_room2") * (1 + SIMILARITY) >= SIMILARITY * (F.col("n") + F.col("_n2")) - 1e-6
-    apart = (F.col("component") != F.col("_component2")) & shared
-    small = members.where(F.col("_size") <= SMALL)
-    met = small.join(others(small), "bucket").where(apart & (F.col("id") < F.col("_id2")))
-    large = members.where(F.col("_size") > SMALL)
-    star = large.join(others(members.where(_is_pivot(turn))), "bucket").where(apart)
-    both = met.union(star).select("id", "_id2")
-    return both.select(F.least("id", "_id2").alias("a"), F.greatest("id", "_id2").alias("b")).distinct()
-
-
-def _is_pivot(turn: int) -> F.Column:
-    """The first member of a large bucket, and in each turn about four times as many others as in the turn before."""
-    drawn = F.pmod(F.xxhash64("id", F.lit(turn)), F.col("_size")) < 4**turn - 1
-    return (F.col("_size") > SMALL) & (drawn | (F.col("id") == F.col("_first")))
-
-
-#: Columns of a member of a bucket: n is the size of its set, room how many of its values can be shared with others there.
-MEMBER = ("bucket", "id", "component", "n", "room")
-
-
-def _unresolved(members: DataFrame) -> DataFrame:
-    """Members of buckets with several components, with size and first id of the bucket."""
-    found = members.groupBy("bucket").agg(
-        F.count("*").alias("_size"),
-        F.min("id").alias("_first"),
-        F.min("component").alias("_low"),
-        F.max("component").alias("_high"),
-    )
-    open_ones = found.where("_low < _high").select("bucket", "_size", "_first")
-    return members.select(*MEMBER).join(open_ones, "bucket")
-
-
-def _relabelled(members: DataFrame, merged: DataFrame) -> DataFrame:
-    own = merged.select(F.col("node").alias("component"), F.col("component").alias("_new"))
-    joined = members.join(own, "component", "left").withColumn("component", F.coalesce("_new", "component"))
-    return joined.select(*members.columns)
-
-
-class _Groups:
-    """The components so far, and how the members of buckets join them."""
-
-    def __init__(self, texts: DataFrame, signatures: DataFrame) -> None:
-        self.texts, self._signatures = texts, signatures
-        self.labels: DataFrame | None = None
-
-    def resolve(self, members: DataFrame, turns: int | None) -> DataFrame | None:
-        """Work on buckets until each holds one component, or for some turns; what is left then, if anything."""
-        turn = 0
-        while True:
-            members = materialise(_unresolved(members))
-            if members.isEmpty():
-                return None
-            if turn == turns:
-                return members
-            likely = materialise(_likely(_pairs(members, turn), self._signatures))
-            links = materialise(_linked(likely, self.texts))
-            # A pivot has met all the others of its bucket, and so have the members of small buckets.
-            left = members.where((F.col("_size") > SMALL) & ~_is_pivot(turn)).select(*MEMBER)
-            members = left if links.isEmpty() else _relabelled(left, self._merge(links))
-            turn += 1
-
-    def _merge(self, links: DataFrame) -> DataFrame:
-        if self.labels is not None:
-            for side in ("a", "b"):
-                links = _relabelled(links.withColumnRenamed(side, "component"), self.labels).withColumnRenamed("component", side)
-        merged = materialise(components(links))
-        if self.labels is None:
-            self.labels = merged
-        else:
-            moved = _relabelled(self.labels, merged)
-            self.labels = materialise(moved.union(merged.join(self.labels.select("node"), "node", "left_anti")))
-        return merged
-
-
-def _prefixes(values: DataFrame) -> DataFrame:
-    """Buckets (bucket, id, n, room) by which sets that are similar enough must meet, however common their other parts are.
-
-    With the values of each set in order of how many sets hold them, rarest first, two sets of SIMILARITY share
-    a value among the first n - ceil(SIMILARITY * n) + 1 of each. Passages that many texts share come last, and
-    what the sets do not share mostly comes before: few values are left from the first shared one on unless the
-    sets are similar.
-    """
-    each = values.select("id", F.size("values").alias("_n"), F.explode("values").alias("bucket"))
-    held = each.groupBy("bucket").agg(F.count("*").alias("_held"))
-    placed = each.join(held, "bucket").groupBy("id", "_n").agg(F.array_sort(F.collect_list(F.struct("_held", "bucket"))).alias("_all"))
-    first = F.slice("_all", F.lit(1), F.col("_n") - F.ceil(F.col("_n") * SIMILARITY).cast("int") + 1)
-    each = placed.select("id", F.col("_n").alias("n"), F.posexplode(first).alias("_place", "_one")).where("_one._held > 1")
-    return each.select("id", "n", (F.col("n") - F.col("_place")).alias("room"), "_one.bucket")
+            same = self.signatures[x, part] == self.signatures[y, part]
+            agreed += same.sum(axis=1)
+            alive = agreed >= least
+            if bands is not None:
+                whole = same.reshape(len(x), BATCH // ROWS, ROWS).all(axis=2)
+                before = np.arange(i * BATCH // ROWS, (i + 1) * BATCH // ROWS) < bands[:, None]
+                alive &= ~(whole & before).any(axis=1)
+                bands = bands[alive]
+            x, y, agreed = x[alive], y[alive], agreed[alive]
+        return x, y
+
+    def linked(self, x: int, y: int) -> bool:
+        """Whether the full sets of two rows are similar enough."""
+        a, b = (self._values[self._ends[row] : self._ends[row + 1]] for row in (x, y))
+        shared = len(np.intersect1d(a, b, assume_unique=True))
+        return 100 * shared >= round(100 * SIMILARITY) * (len(a) + len(b) - shared)
+
+
+LINK = "a bigint, b bigint"
+
+
+def _links(x: list[int], y: list[int]) -> pa.RecordBatch:
+    low, high = np.minimum(x, y), np.maximum(x, y)
+    return pa.record_batch([pa.array(low, pa.int64()), pa.array(high, pa.int64())], ["a", "b"])
+
+
+def _verify_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of members with the pivot that was copied to them."""
+    for table in _whole_groups(batches, "cell"):
+        rows = _Rows(table)
+        pivots = table.column("pivot").to_numpy()
+        own = {number: row for row, number in enumerate(rows.ids.tolist()) if number == pivots[row]}
+        x = np.flatnonzero(rows.ids != pivots)
+        x, y = rows.likely(x, np.array([own[number] for number in pivots[x].tolist()], dtype=np.int64))
+        found = [(a, b) for a, b in zip(x.tolist(), y.tolist(), strict=True) if rows.linked(a, b)]
+        if found:
+            a, b = np.array(found).T
+            yield _links(rows.ids[a], rows.ids[b])
+
+
+def _slot(number: str, shingles_: str) -> Column:
+    """Parts that a group of so many members with so many shingles is cut into."""
+    return F.greatest(F.ceil(F.col(number) / CELL_MEMBERS), F.ceil(F.col(shingles_) / CELL_SHINGLES), F.lit(1)).cast("bigint")
+
+
+def _star_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the members of buckets and the pivots of these."""
+    near = F.least("n", "pivot_n") >= SIMILARITY * F.greatest("n", "pivot_n")
+    stars = members.where((F.col("id") != F.col("pivot")) & near).select("pivot", "id", "n").distinct()
+    slots = stars.groupBy("pivot").agg(F.count("*").alias("_m"), F.sum("n").alias("_n")).select("pivot", _slot("_m", "_n").alias("_slots"))
+    dealt = stars.join(slots, "pivot").select("pivot", "id", F.pmod(F.xxhash64("id"), "_slots").alias("_slot"))
+    copied = slots.select("pivot", F.col("pivot").alias("id"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_slots") - 1)).alias("_slot"))
+    rows = dealt.union(copied).join(sets, "id").withColumn("cell", F.xxhash64("pivot", "_slot"))
+    return rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(_verify_stars, LINK)
+
+
+def _candidates(table: pa.Table, rows: _Rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one cell and different components that remain after pruning, each in one cell only."""
+    cells, sides, bands, labels = (table.column(name).to_numpy() for name in ("cell", "side", "band", "component"))
+    parted = np.flatnonzero(np.diff(cells)) + 1
+    starts = np.concatenate([[0], parted])
+    before = np.arange(len(cells)) - np.repeat(starts, np.diff(np.append(starts, len(cells))))
+    ends = np.cumsum(before)
+    at = 0
+    while at < len(cells):
+        done = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, done + _PAIRS, side="right")))
+        n = before[at:stop]
+        x = np.repeat(np.arange(at, stop), n)
+        y = x - 1 - (np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n))
+        met = (labels[x] != labels[y]) & ((sides[x] != sides[y]) | (sides[x] == _WITHIN))
+        x, y = x[met], y[met]
+        yield rows.likely(x, y, bands[x])
+        at = stop
+
+
+_WITHIN = 2  # side of the members of a cell that is not crossed by another part of its bucket
+
+
+def _open_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The members of cells that have a candidate there."""
+    for table in _whole_groups(batches, "cell"):
+        rows, some = _Rows(table), np.zeros(table.num_rows, dtype=bool)
+        for x, y in _candidates(table, rows):
+            some[x] = some[y] = True
+        if some.any():
+            yield from table.select(["cell", "side", "band", "id", "component"]).filter(pa.array(some)).combine_chunks().to_batches()
+
+
+def _verify_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between components that meet in a cell, no more than join them."""
+    for table in _whole_groups(batches, "cell"):
+        rows, labels = _Rows(table), table.column("component").to_pylist()
+        least: dict[int, int] = {}
+
+        def root(label: int) -> int:
+            while (above := least.get(label, label)) != label:
+                label = above
+            return label
+
+        found = []
+        for x, y in _candidates(table, rows):
+            for a, b in zip(x.tolist(), y.tolist(), strict=True):
+                one, other = root(labels[a]), root(labels[b])
+                if one != other and rows.linked(a, b):
+                    least[max(one, other)] = min(one, other)
+                    found.append((a, b))
+        if found:
+            a, b = np.array(found).T
+            yield _links(rows.ids[a], rows.ids[b])
+
+
+def _cell_links(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between different components of (bucket, band, id, n, component) rows with their bucket's size."""
+    parts = _slot("_m", "_total")
+    cut = members.withColumn("_parts", parts).withColumn("_part", F.pmod(F.xxhash64("id"), F.col("_parts")))
+    cut = cut.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)))
+    cell = F.xxhash64("bucket", F.least("_part", "_other"), F.greatest("_part", "_other"))
+    side = F.when(F.col("_part") == F.col("_other"), _WITHIN).otherwise((F.col("_part") > F.col("_other")).cast("int"))
+    placed = cut.select(cell.alias("cell"), side.alias("side"), "band", "id", "component")
+    signed = placed.join(sets.select("id", "n", "signature"), "id").repartition("cell").sortWithinPartitions("cell")
+    shape = "cell bigint, side int, band int, id bigint, component bigint"
+    some = materialise(signed.mapInArrow(_open_cells, shape))
+    whole = some.join(sets, "id").repartition("cell").sortWithinPartitions("cell")
+    return whole.mapInArrow(_verify_cells, LINK)
+
+
+def _labels(members: DataFrame, sets: DataFrame) -> DataFrame | None:
+    """(node, component) of ids that are linked with others, or None if none are."""
+    stars = materialise(_star_links(members, sets))
+    if stars.isEmpty():
+        labelled = members.withColumn("component", F.col("id"))
+    else:
+        own = components(stars).select(F.col("node").alias("id"), "component")
+        labelled = members.join(own, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    labelled = materialise(labelled)
+    several = labelled.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    several = several.where("_low < _high").select("bucket")
+    more = materialise(_cell_links(labelled.join(several, "bucket", "left_semi"), sets))
+    links = stars.union(more)
+    return None if links.isEmpty() else components(links)
 
 
 def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Per id: n_shingles, component_id and kept.
 
     A-Z are lower-cased, words end at ASCII white space. The set of a text is its distinct runs of SHINGLE
-    words; with fewer words, all of them as one. Without words the set is empty and linked with nothing. Texts
+    words; with fewer words, all of them as one. Without words (also null or empty) the set is empty and linked with nothing. Texts
     are linked if their sets overlap by SIMILARITY of their union or more; component_id is the smallest id
     reachable by links, kept marks that one. Ids are bigint; of rows with the same id the one with the smallest
-    set digest counts, and rows with a null id give one row each with their own null component, kept.
+    set digest counts, empty sets first, and rows with a null id give one row each with their own null component, kept. Other columns
+    are not read; an empty table gives no rows.
     """
-    texts = df.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
+    ready_workers(df.sparkSession)
+    texts = df.select(F.col(f"`{id_column}`").cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
     sketch = materialise(_sketch(texts))
     documents = sketch.where("id IS NOT NULL").groupBy("id").agg(F.min(F.struct("set", "n")).alias("_own"))
     documents = documents.select("id", "_own.set", "_own.n")
     classes = materialise(documents.where("set IS NOT NULL").groupBy("set").agg(F.min("id").alias("id")))
     # Of an id with several texts, only the row of its class counts.
-    chosen = sketch.join(classes.select("id", "set"), ["id", "set"], "left_semi").dropDuplicates(["id"])
-    signatures = chosen.select("id", "n", "signature", "buckets")
-    banded = signatures.select("id", "n", F.col("n").alias("room"), F.explode("buckets").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("_n")).where("_n > 1").select("bucket")
-    members = materialise(banded.join(shared, "bucket").withColumn("component", F.col("id")).select(*MEMBER))
-    origin = texts.join(classes.select("id"), "id", "left_semi").dropDuplicates(["id"])
-    state = _Groups(origin, signatures.select("id", "n", "signature"))
-    rest = state.resolve(members, TURNS)
-    if rest is not None:
-        wanted = rest.select("id", "component").distinct()
-        values = materialise(_sets(origin.join(wanted, "id", "left_semi")))
-        state.resolve(materialise(_prefixes(values).join(wanted, "id").select(*MEMBER)), None)
-    labels = state.labels
+    chosen = sketch.join(classes, ["id", "set"], "left_semi").dropDuplicates(["id", "set"])
+    banded = chosen.select("id", "n", F.posexplode("buckets").alias("band", "bucket"))
+    shared = banded.groupBy("bucket").agg(
+        F.count("*").alias("_m"), F.sum("n").alias("_total"), F.min(F.struct("id", "n")).alias("_first")
+    )
+    shared = shared.where("_m > 1").select("bucket", "_m", "_total", F.col("_first.id").alias("pivot"), F.col("_first.n").alias("pivot_n"))
+    members = materialise(banded.join(shared, "bucket"))
+    wanted = chosen.select("id", "set", "n", "signature").join(members.select("id").distinct(), "id", "left_semi")
+    sets = materialise(_sets(texts, wanted))
+    labels = _labels(members, sets)
+
     result = documents.join(classes.select("set", F.col("id").alias("_class")), "set", "left")
     result = result.withColumn("_class", F.coalesce("_class", "id"))
     if labels is not None:
-        own = labels.select(F.col("node").alias("_class"), "component")
-        result = result.join(own, "_class", "left")
+        result = result.join(labels.select(F.col("node").alias("_class"), "component"), "_class", "left")
     else:
         result = result.withColumn("component", F.lit(None).cast("bigint"))
     component = F.coalesce("component", "_class")
@@ -326,9 +384,29 @@ def near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id"
 def drop_near_duplicates(df: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
     """The rows of `df` with one document of each group of near duplicates, the one with the smallest id.
 
-    Rows of the same id are one document, of which one row stays. Rows with a null id all stay.
+    Rows of the same id are one document, of which the row stays whose text near_duplicates took (of several such rows, the same
+    one on every run). Rows with a null id all stay.
     """
-    kept = near_duplicates(df, text, id_column).where(F.col("kept") & F.col(id_column).isNotNull())
-    ids = materialise(kept.select(F.col(id_column).alias("_kept_id")).distinct())
-    named = df.join(ids, F.col(id_column) == F.col("_kept_id"), "left_semi").dropDuplicates([id_column])
-    return named.union(df.where(F.col(id_column).isNull()))
+    named = F.col(f"`{id_column}`")
+    kept = near_duplicates(df, text, id_column).where(F.col("kept") & named.isNotNull())
+    ids = materialise(kept.select(named.alias("_kept_id")))
+    stays = df.join(ids, named.cast("bigint") == F.col("_kept_id"), "left_semi")
+    repeated = materialise(df.where(named.isNotNull()).groupBy(named.cast("bigint").alias("_kept_id")).count().where("count > 1").select("_kept_id"))
+    if not repeated.isEmpty():
+        again = named.cast("bigint") == F.col("_kept_id")
+        several = stays.join(repeated, again, "left_semi")
+        row = several.select(F.struct(*[F.col(f"`{name}`") for name in df.columns]).alias("_row"), named.cast("bigint").alias("id"), F.col(f"`{text}`").alias("text"))
+        row = row.withColumn("_hash", F.xxhash64(F.to_json("_row")))
+        one = _with_digest(row).groupBy("id").agg(F.min_by("_row", F.struct("set", "_hash")).alias("_row")).select("_row.*")
+        stays = stays.join(repeated, again, "left_anti").union(one)
+    return stays.union(df.where(named.isNull()))
+
+
+def _with_digest(rows: DataFrame) -> DataFrame:
+    """Rows of (_row, id, text, _hash) with the digest of their set, empty bytes for the empty one."""
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        digests = [_digest(shingles(text)) or b"" for text in batch.column("text").to_pylist()]
+        return pa.record_batch([*batch.columns, pa.array(digests, pa.binary())], [*batch.schema.names, "set"])
+
+    return map_batches(rows, work, rows.select("*").schema.add("set", "binary"))
