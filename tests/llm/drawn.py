@@ -24,7 +24,12 @@ def drawn_texts(n, seed=1):
 
 
 def all_code_points():
-    """Texts that hold each code point alone, between letters, and before an elision."""
-    characters = [chr(code) for code in range(0x110000) if not 0xD800 <= code < 0xE000]
+    """Texts that hold each code point alone, between letters, and before an elision.
+
+    Planes 4 to 13 are empty and the last two for private use: of these, some at both ends stand for all.
+    """
+    codes = [*range(0x40000), *range(0xE0000, 0xF0000)]
+    codes += [code for plane in (*range(4, 14), 15, 16) for end in (plane << 16, (plane << 16) + 0xFF00) for code in range(end, end + 256)]
+    characters = [chr(code) for code in codes if not 0xD800 <= code < 0xE000]
     blocks = [characters[at : at + 20_000] for at in range(0, len(characters), 20_000)]
     return [text for block in blocks for text in ("\n".join(block), "".join(f"a{one}b " for one in block), "".join(f"{one}'re " for one in block))]

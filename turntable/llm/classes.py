@@ -92,18 +92,12 @@ class Folding:
 
     def __init__(self, library: Callable[[str], str]) -> None:
         self._library = library
-        apart = "\n"  # composes with nothing
-        whole = library(apart.join(every_character()))
-        # The normalizer may turn white space into a space, the mark itself included.
-        single = whole.split(apart) if whole.count(apart) >= 0x10F7FF else whole.split(" ")
-        if len(single) != len(every_character()):
-            single = [library(one) for one in every_character()]
-        differing = set()
-        for one, made in zip(every_character(), single, strict=True):
-            new = unicodedata.category(one) == "Cn"
-            if not one.isascii() and (new or (made != self._plain(one) and not one.isspace())):
-                differing.add(one)
-        self.differs = holds_any(differing)
+        # Code points that Python's tables do not know yet may also compose with others in the library's.
+        self.differs = holds_any(
+            one
+            for one in every_character()
+            if not one.isascii() and (unicodedata.category(one) == "Cn" or (library(one) != self._plain(one) and not one.isspace()))
+        )
 
     @staticmethod
     def _plain(text: str) -> str:
@@ -111,4 +105,6 @@ class Folding:
         return unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
 
     def __call__(self, text: str) -> str:
+        if text.isascii():
+            return text.lower()
         return self._library(text) if self.differs(text) else self._plain(text)

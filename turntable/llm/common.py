@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from pathlib import Path
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -34,6 +36,16 @@ def ready_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, which counts it against the executor otherwise."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # an allocator without it
+        pass
+
+
 def of_worker(build: Callable[..., Any], *key: Any) -> Any:
     """`build(*key)`, kept in this worker until another operator asks for something else.
 
@@ -42,30 +54,92 @@ def of_worker(build: Callable[..., Any], *key: Any) -> Any:
     """
     if (build, *key) not in _held:
         _held.clear()
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        _give_back()
         _held[build, *key] = build(*key)
     return _held[build, *key]
 
 
 class Known(dict):
-    """Results by text, emptied by `trim` once they hold more than `limit` bytes."""
+    """Results by text, made by `work` when they are looked up first.
 
-    def __init__(self, limit: int = KNOWN_BYTES) -> None:
+    Beyond `limit` bytes a new generation begins, into which those of the last one are taken that are asked for.
+    """
+
+    def __init__(self, work: Callable[[Any], Any] | None = None, limit: int = KNOWN_BYTES) -> None:
         super().__init__()
-        self._limit, self._size = limit, 0
+        self._work, self._limit, self._size, self._last = work, limit, 0, {}
+
+    def __missing__(self, key: Any) -> Any:
+        if self._work is None:
+            raise KeyError(key)
+        value = self._last[key] if key in self._last else self._work(key)
+        self._size += len(key) + len(value) + ENTRY_BYTES
+        self[key] = value
+        return value
+
+    def unknown(self, keys: Iterable[Any]) -> list[Any]:
+        """Those of different keys that neither generation has; the others can now be looked up."""
+        asked = set(keys).difference(self)
+        again = asked.intersection(self._last)
+        self.add({key: self._last[key] for key in again})
+        return list(asked.difference(again))
 
     def add(self, made: dict[Any, Any]) -> None:
         """Keep new results, whose keys and values have a length in bytes or characters."""
-        self._size += sum(len(key) + len(value) for key, value in made.items()) + ENTRY_BYTES * len(made)
+        self._size += sum(map(len, made)) + sum(map(len, made.values())) + ENTRY_BYTES * len(made)
         self.update(made)
 
     def trim(self) -> None:
+        """To be called between batches, whose keys must all be known together."""
         if self._size > self._limit:
+            self._last = dict(self)
             self.clear()
             self._size = 0
 
 
+class WordTable:
+    """Rows of numbers for words, each worked out once, in a table that is emptied when it is full.
+
+    `work` gives the rows of a list of words. The table grows in place; it holds `limit` bytes, or
+    the words of one call if these need more.
+    """
+
+    def __init__(self, width: int, work: Callable[[list[str]], np.ndarray], limit: int = KNOWN_BYTES) -> None:
+        self._work, self._number = work, {}
+        self._most = max(1, limit // (4 * width + ENTRY_BYTES))
+        self.rows = np.empty((1024, width), dtype=np.float32)
+
+    def numbers(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """The rows of the table that belong to the words of each text. Rows of earlier calls may be gone."""
+        number = self._number
+        words = set().union(*texts)
+        new = list(words.difference(number))
+        if new and len(number) + len(new) > self._most:
+            number.clear()
+            new = list(words)
+        if new:
+            first, last = len(number), len(number) + len(new)
+            if last > len(self.rows):
+                grown = np.empty((max(last, min(2 * last, self._most)), self.rows.shape[1]), dtype=np.float32)
+                grown[:first] = self.rows[:first]
+                self.rows = grown
+            self.rows[first:last] = self._work(new)
+            number.update(zip(new, range(first, last), strict=True))
+        return [np.fromiter(map(number.__getitem__, words), dtype=np.int64, count=len(words)) for words in texts]
+
+
+def blocks_of(sizes: Sequence[int], most: int) -> Iterator[slice]:
+    """Runs of items whose sizes add up to `most` at most; an item larger than that is a run of its own."""
+    at = 0
+    while at < len(sizes):
+        stop, total = at + 1, sizes[at]
+        while stop < len(sizes) and total + sizes[stop] <= most:
+            total += sizes[stop]
+            stop += 1
+        yield slice(at, stop)
+        at = stop
+
+
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: StructType | str) -> DataFrame:
     """`work` over each Arrow batch of `df`; it returns a batch of `schema`, or None for no rows."""
     ready_workers(df.sparkSession)

@@ -31,22 +31,22 @@ TOKENS = 500_000  # tokens of one decoding query
 _STEP = LONG // 2
 
 _PAIRS = """
-    SELECT s.*, m.id FROM (SELECT *, lead(token) OVER (PARTITION BY word ORDER BY pos) AS following FROM state WHERE NOT done) s
+    SELECT s.*, m.id, m.size FROM (SELECT *, lead(token) OVER (PARTITION BY word ORDER BY pos) AS following FROM state WHERE NOT done) s
     LEFT JOIN merges m ON m.a = s.token AND m.b = s.following
 """
 
-#: One contraction a step: `place` is where the leftmost pair of minimum rank `made` stands.
+#: One contraction a step. `best` of a word is its leftmost pair of minimum rank: rank, place and size of the left half in one number.
 LEFTMOST = f"""
 WITH RECURSIVE state(word, pos, token, done, highest) AS (
     SELECT word, pos, token, false, -1 FROM symbols
-    UNION ALL
-    SELECT word, pos, CASE WHEN pos = place THEN made ELSE token END, made IS NULL, greatest(highest, coalesce(made, -1))
-    FROM (
-        SELECT *, lag(pos) OVER (PARTITION BY word ORDER BY pos) AS previous, min(id) OVER (PARTITION BY word) AS made,
-            min(id::BIGINT << 31 | pos) OVER (PARTITION BY word) & 2147483647 AS place
-        FROM ({_PAIRS})
+    UNION ALL (
+        WITH pairs AS (SELECT *, id::BIGINT * 549755813888 + pos::BIGINT * 256 + size AS pair FROM ({_PAIRS})),
+        bests AS (SELECT word, min(pair) AS best FROM pairs GROUP BY word),
+        named AS (SELECT word, best >> 39 AS made, (best >> 8) & 2147483647 AS place, best & 255 AS size FROM bests)
+        SELECT word, pos, CASE WHEN pos = place THEN made::INTEGER ELSE token END, made IS NULL, greatest(highest, coalesce(made, -1)::INTEGER)
+        FROM pairs JOIN named USING (word)
+        WHERE made IS NULL OR pos <> place + named.size
     )
-    WHERE place IS NULL OR previous IS NULL OR previous <> place
 )
 SELECT word, list(token ORDER BY pos) AS tokens, max(highest) AS highest FROM state WHERE done GROUP BY word ORDER BY word
 """
@@ -92,9 +92,11 @@ class RecursiveBpe:
         self._bytes = np.array([ranks[bytes([byte])] for byte in range(256)], dtype=np.int32)
         self._spelling = {rank: token for token, rank in ranks.items()}
         self._duck = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
-        halves = [(ranks.get(token[:i]), ranks.get(token[i:]), rank) for token, rank in ranks.items() for i in range(1, len(token))]
-        a, b, made = (pa.array(column, pa.int32()) for column in zip(*[pair for pair in halves if None not in pair], strict=True))
-        self._table("merges", {"a": a, "b": b, "id": made})
+        if max(map(len, ranks)) > 255:
+            raise ValueError(f"{file} has a token of more than 255 bytes")
+        halves = [(ranks.get(token[:i]), ranks.get(token[i:]), rank, i) for token, rank in ranks.items() for i in range(1, len(token))]
+        a, b, made, size = (pa.array(column, pa.int32()) for column in zip(*[pair for pair in halves if None not in pair], strict=True))
+        self._table("merges", {"a": a, "b": b, "id": made, "size": size})
         # Bytes as the characters of the same number: the text type takes them all.
         spelled = pa.array([token.decode("latin-1") for token in ranks], pa.string())
         self._table("vocabulary", {"id": pa.array(ranks.values(), pa.int32()), "spelling": spelled})
@@ -187,7 +189,7 @@ class RecursiveBpe:
         """Ids of each text, as int32."""
         split = [self._pieces.of(text).findall(text) for text in texts]
         known = self._known
-        new = list(set().union(*split).difference(known))
+        new = known.unknown(set().union(*split))
         known.add(dict(zip(new, [own.tobytes() for own in self._encoded([piece.encode() for piece in new])], strict=True)))
         out = [b"".join([known[piece] for piece in pieces]) for pieces in split]
         known.trim()
