@@ -5,11 +5,12 @@ of two smoothed shares over all terms, and most terms are absent from most sourc
 absence everywhere at first, then corrected per source for the counts it has, then per pair of sources for
 terms that both have. The pairs come from a prefix tree: rows are inserted with their multiplicity, rows that begin alike share
 nodes, and a node's count corrects each (node, ancestor) combination once. Sorted rows are the tree in
-depth-first order, so a task holds one path of it at a time.
+depth-first order, so a task builds it block by block; a node that two blocks share is counted in parts.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,9 +26,11 @@ from turntable.sources.tables import materialise
 MIN_DOCUMENTS = 10
 TOP = 10
 SCALE = 1_000_000_000
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_HELD = 500_000  # pairs whose sums a task holds before it hands them on
+# Bytes of terms, A-Z as a-z; what is no letter of ASCII and no part of other characters separates them.
+_LETTERS = bytes(byte + 32 if 65 <= byte <= 90 else byte if 97 <= byte <= 122 or byte > 127 else 32 for byte in range(256))
+ENTRIES = 500_000  # (language, source, term) counts that a task holds before it hands them on
+NODES = 400_000  # entries of paths that are inserted into a tree at once
+_COMBINATIONS = 250_000  # nodes and ancestors that are worked on at once
 
 
 def _quotient(a: Column, b: Column) -> Column:
@@ -50,94 +53,150 @@ def _apart_whole(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // (p + q)
 
 
+class _Counts:
+    """Occurrences and documents of terms by language and source."""
+
+    def __init__(self) -> None:
+        self._groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        self.entries = 0
+
+    def add(self, lang: str, source: str, text: str) -> None:
+        terms = text.encode().translate(_LETTERS).split()
+        occurrences, documents = self._groups.setdefault((lang, source), (Counter(), Counter()))
+        before = len(occurrences)
+        occurrences.update(terms)
+        documents.update(set(terms))
+        self.entries += len(occurrences) - before
+
+    def rows(self) -> pa.RecordBatch:
+        """What has been counted since the last call."""
+        langs, sources, terms, n, documents = [], [], [], [], []
+        for (lang, source), (occurrences, held) in self._groups.items():
+            langs += [lang] * len(occurrences)
+            sources += [source] * len(occurrences)
+            terms += occurrences
+            n += occurrences.values()
+            documents += map(held.__getitem__, occurrences)
+        self._groups, self.entries = {}, 0
+        return pa.record_batch(
+            [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(terms, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()),
+             pa.array(documents, pa.int64())], ["lang", "source", "term", "n", "documents"],
+        )
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = _Counts()
+    for batch in batches:
+        for row in zip(*(batch.column(name).to_pylist() for name in ("lang", "source", "text")), strict=True):
+            counts.add(*row)
+            if counts.entries > ENTRIES:
+                yield counts.rows()
+    yield counts.rows()
+
+
 def term_rows(texts: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """Per (lang, term) of at least `min_documents` rows of (lang, source, text): total and path, its (source, n) in order.
 
-    Counts are combined in each task before they move, first by source, then by language.
+    Counts are combined in each task before they move. They move once: dealt by language and term, the sources of a term lie together.
     """
-    words = F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(TERM), F.lit(0))
-    # The list of all words counts occurrences, that of its distinct words counts documents.
-    lists = texts.select("lang", "source", words.alias("_words")).select(
-        "lang", "source", F.posexplode(F.array("_words", F.array_distinct("_words"))).alias("_kind", "_terms")
-    )
-    each = lists.select("lang", "source", "_kind", F.explode("_terms").alias("term"))
-    counted = each.groupBy("lang", "source", "term").agg(
-        F.sum((F.col("_kind") == 0).cast("bigint")).alias("n"), F.sum((F.col("_kind") == 1).cast("bigint")).alias("_documents")
-    )
+    ready_workers(texts.sparkSession)
+    each = texts.mapInArrow(_count, "lang string, source string, term string, n bigint, documents bigint")
+    counted = each.repartition("lang", "term").groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("documents").alias("_documents"))
     rows = counted.groupBy("lang", "term").agg(
         F.sum("_documents").alias("_documents"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("_path")
     )
     return rows.where(F.col("_documents") >= min_documents).select("lang", "term", "total", F.sort_array("_path").alias("path"))
 
 
-class _Tree:
-    """The open path of the tree of one language, and sums of closed nodes by pair of sources."""
+class Tree:
+    """A prefix tree of sorted paths, as arrays over the entries of all paths one after another.
 
-    def __init__(self) -> None:
-        self.lang: str | None = None
-        self.path: list[tuple] = []
-        self._counts: list[int] = []  # rows that end in or below each open node and are closed
-        self._p = np.empty((2, 64), dtype=np.int64)  # shares of the open nodes, and of absence from their sources
-        self._sums: dict[str, dict[str, int]] = {}
-        self.held = 0
-
-    def insert(self, path: list[tuple], count: int) -> None:
-        """Add `count` rows of a path that is not below any inserted before."""
-        shared = 0
-        for old, new in zip(self.path, path):
-            if old != new:
-                break
-            shared += 1
-        self.close(shared)
-        if len(path) > self._p.shape[1]:
-            self._p = np.concatenate([self._p, np.empty((2, 2 * len(path)), dtype=np.int64)], axis=1)
-        for at in range(shared, len(path)):
-            self.path.append(path[at])
-            self._counts.append(0)
-            self._p[:, at] = path[at][2:]
-        self._counts[-1] += count
-
-    def close(self, depth: int = 0) -> None:
-        """Close the nodes from `depth` on, deepest first: each corrects its source against those of its ancestors."""
-        while len(self.path) > depth:
-            source, _, p, absent = self.path.pop()
-            count, k = self._counts.pop(), len(self.path)
-            if not k:
-                continue
-            self._counts[-1] += count
-            above, above_absent = self._p[:, :k]
-            both = _apart_whole(above, p) - _apart_whole(above, absent)
-            both += _apart_whole(above_absent, absent) - _apart_whole(above_absent, p)
-            own = self._sums.setdefault(source, {})
-            size = len(own)
-            for (other, *_), value in zip(self.path, (both * count).tolist(), strict=True):
-                own[other] = own.get(other, 0) + value
-            self.held += len(own) - size
-
-    def sums(self) -> pa.RecordBatch:
-        """What has been summed since the last call."""
-        pairs = [(other, source, value) for source, own in self._sums.items() for other, value in own.items()]
-        self._sums, self.held = {}, 0
-        a, b, value = zip(*pairs) if pairs else ((), (), ())
-        return pa.record_batch([
-            pa.array([self.lang] * len(pairs), pa.string()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(value, pa.int64())
-        ], ["lang", "a", "b", "value"])
+    The entry at depth d of a path is a node of its own if the path parts from the one before at d or
+    above; its ancestors are the entries before it in the same path, and its count is that of all rows until a path parts
+    there again.
+    """
+
+    def __init__(self, starts: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> None:
+        """`starts` has the first entry of each path and the end of the last; `keys` tell entries apart; `counts` are of paths."""
+        first, lengths = starts[:-1], np.diff(starts)
+        shared = np.zeros(len(first), dtype=np.int64)
+        alive = np.arange(1, len(first))
+        depth = 0
+        while len(alive):
+            alive = alive[(lengths[alive] > depth) & (lengths[alive - 1] > depth)]
+            alive = alive[keys[first[alive] + depth] == keys[first[alive - 1] + depth]]
+            depth += 1
+            shared[alive] = depth
+        until = np.concatenate([[0], np.cumsum(counts)])
+        nodes, depths, totals = [], [], []
+        for depth in range(int(lengths.max(initial=0))):
+            parted = np.flatnonzero(shared <= depth)
+            own = np.diff(until[np.append(parted, len(first))])
+            there = lengths[parted] > depth
+            nodes.append(first[parted[there]] + depth)
+            totals.append(own[there])
+            depths.append(np.full(len(totals[-1]), depth))
+        none = np.zeros(0, dtype=np.int64)
+        self.nodes, self.depths, self.counts = (np.concatenate([none, *parts]).astype(np.int64) for parts in (nodes, depths, totals))
+
+    def combinations(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Blocks of entries of nodes, entries of their ancestors, and the nodes' counts: each combination once."""
+        ends = np.cumsum(self.depths)
+        at = 0
+        while at < len(ends):
+            done = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, done + _COMBINATIONS, side="right")))
+            depths = self.depths[at:stop]
+            node = np.repeat(self.nodes[at:stop], depths)
+            above = np.arange(len(node)) - np.repeat(np.cumsum(depths) - depths, depths)
+            yield node, node - np.repeat(depths, depths) + above, np.repeat(self.counts[at:stop], depths)
+            at = stop
+
+
+def _corrections(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Sums by language and pair of sources over the tree of some sorted rows."""
+    table = pa.Table.from_batches(batches).combine_chunks()
+    paths = table.column("path").combine_chunks()
+    starts = paths.offsets.to_numpy().astype(np.int64)
+    source, n, p, absent = paths.values.flatten()
+    names = source.dictionary_encode()
+    source, n, p, absent = (column.to_numpy() for column in (names.indices, n, p, absent))
+    langs = table.column("lang").combine_chunks().dictionary_encode()
+    of_row = langs.indices.to_numpy().astype(np.int64)
+    lang = np.repeat(of_row, np.diff(starts))
+    source = lang * len(names.dictionary) + source
+    keys = np.unique(np.stack([source, n]), axis=1, return_inverse=True)[1].ravel() if len(n) else source
+    tree = Tree(starts, keys, table.column("rows").to_numpy())
+    pairs, sums = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for node, above, count in tree.combinations():
+        if not len(node):
+            continue
+        both = _apart_whole(p[above], p[node]) - _apart_whole(p[above], absent[node])
+        both += _apart_whole(absent[above], absent[node]) - _apart_whole(absent[above], p[node])
+        pair = source[above] * (len(names.dictionary) * len(langs.dictionary)) + source[node]
+        found, place = np.unique(pair, return_inverse=True)
+        order = np.argsort(place, kind="stable")
+        pairs.append(found)
+        sums.append(np.add.reduceat((both * count)[order], np.searchsorted(place[order], np.arange(len(found)))))
+    pair, value = np.concatenate(pairs), np.concatenate(sums)
+    a, b = np.divmod(pair, max(1, len(names.dictionary) * len(langs.dictionary)))
+    own, a = np.divmod(a, max(1, len(names.dictionary)))
+    b = b % max(1, len(names.dictionary))
+    columns = [langs.dictionary.take(pa.array(own)), names.dictionary.take(pa.array(a)), names.dictionary.take(pa.array(b)), pa.array(value)]
+    return pa.record_batch(columns, ["lang", "a", "b", "value"])
 
 
 def _grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    tree = _Tree()
+    held: list[pa.RecordBatch] = []
+    entries = 0
     for batch in batches:
-        nodes = batch.column("path")
-        ends = nodes.offsets.to_pylist()
-        flat = list(zip(*(column.to_pylist() for column in nodes.values.flatten()), strict=True))
-        for row, (lang, count) in enumerate(zip(batch.column("lang").to_pylist(), batch.column("rows").to_pylist(), strict=True)):
-            if lang != tree.lang or tree.held > _HELD:
-                tree.close()
-                yield tree.sums()
-                tree.lang = lang
-            tree.insert(flat[ends[row] : ends[row + 1]], count)
-    tree.close()
-    yield tree.sums()
+        held.append(batch)
+        entries += len(batch.column("path").flatten())
+        if entries > NODES:
+            yield _corrections(held)
+            held, entries = [], 0
+    if held:
+        yield _corrections(held)
 
 
 def _shared_terms(placed: DataFrame) -> DataFrame:
@@ -182,7 +241,7 @@ def divergence(
     nowhere = fan_out_join(groups.select("lang", "source", "absent", "kept"), others, "lang").where("source <> item")
     nowhere = nowhere.select("lang", "source", "item", F.coalesce(F.col("kept") * _apart(F.col("absent"), F.col("_absent")), F.lit(0)).alias("value"))
     levels = materialise(placed.groupBy("lang", "source", "p", "absent").agg(F.count("*").alias("_terms")))
-    own = fan_out_join(levels, others, "lang").where("source <> item")
+    own = fan_out_join(levels, others, "lang", pairs_per_cell=50_000).where("source <> item")
     gain = F.col("_terms") * (_apart(F.col("p"), F.col("_absent")) - _apart(F.col("absent"), F.col("_absent")))
     own = own.select("lang", F.col("source").alias("a"), F.col("item").alias("b"), gain.alias("value"))
     corrections = materialise(own.union(_shared_terms(placed)).groupBy("lang", "a", "b").agg(F.sum("value").alias("value")))
