@@ -9,6 +9,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from tests.llm.drawn import all_code_points, drawn_texts
 from turntable.llm.bpe_stream import Transducer, Word, decode_documents, digests, encode_documents
 from turntable.llm.queries import QUERIES
 from turntable.llm.records import Encoder, RecordError, masked_crc32c, read_at, read_index, read_records, write_records
@@ -31,6 +32,38 @@ def library():
     return Tokenizer.from_file(WORDS)
 
 
+def test_every_code_point_as_the_library_has_it(library):
+    """Letters, numbers and folding are those of the library, whatever Unicode version the other modules have."""
+    some, of_bytes = all_code_points() + drawn_texts(4000), Tokenizer.from_file(BYTES)
+    wanted = [one.ids for one in library.encode_batch(some, add_special_tokens=False)]
+    transducer, counts = Transducer(WORDS), PrefixCounts(BYTES)
+    assert [text[:50] for text, ids in zip(some, wanted, strict=True) if transducer.encode(text) != ids] == []
+    found = [np.frombuffer(ids, "<u2").tolist() for ids in Encoder(WORDS).encode(some)]
+    assert [text[:50] for text, a, b in zip(some, found, wanted, strict=True) if a != b] == []
+    n = [len(one.ids) for one in of_bytes.encode_batch(some, add_special_tokens=False)]
+    assert [text[:50] for text, one in zip(some, n, strict=True) if counts.total(text) != one] == []
+
+
+def test_lookahead_is_enough():
+    """Nothing that follows changes the boundaries in front of the lookahead, and words of any length keep to it."""
+    transducer, draw = Transducer(WORDS), random.Random(8)
+    assert transducer.reach < transducer.lookahead < 1000
+    for letters in ("aeinrst", "abab", "xyzq", "aaab"):
+        word = "".join(draw.choices(letters, k=3000))
+        ends = np.cumsum([len(transducer.merges.spelling[token].removesuffix("</w>")) for token in transducer.word(word)]).tolist()
+        for cut in (1000, 1700, 2400):
+            final = cut - 1 - transducer.lookahead
+            own = np.cumsum([len(transducer.merges.spelling[token].removesuffix("</w>")) for token in transducer.word(word[:cut])]).tolist()
+            assert [end for end in own if end <= final] == [end for end in ends if end <= final]
+
+
+def test_long_texts_are_cut_at_white_space(library):
+    transducer = Transducer(WORDS)
+    long = " ".join(drawn_texts(9000, seed=4)) + " " + "y" * 200_000 + " <|endoftext|> end"
+    assert len(list(transducer._segments(long))) > 2 and "".join(transducer._segments(long)) == long
+    assert transducer.encode(long) == library.encode(long, add_special_tokens=False).ids
+
+
 def test_counts_at_every_prefix():
     counts, library = PrefixCounts(BYTES), Tokenizer.from_file(BYTES)
     for text in texts(300):

@@ -1,19 +1,18 @@
 """Word BPE as a streaming transducer: tokens leave as soon as no later symbol can change them.
 
-Each prefix of a word has one last token (`Merges.beside`), so the prefixes form a tree in which a
-prefix points to what lies before its last token. Whatever follows, the next boundary is one of the
-last `reach` positions, `reach` being the longest token. Tokens before the point where the ways back
-from all these positions meet are therefore final and leave at once. How far behind that point can
-lie depends on the merge list alone (`Transducer.lookahead`), not on the text.
+A merge can only be undone from the right, by a merge of lower rank that takes its last symbols first. That one may be
+undone in the same way by one of still lower rank, and so on. The longest such chain follows from the merge list
+(`lookahead`): with so many symbols read after it, a boundary is final, whatever comes. Each prefix of a
+word has one last token (`Merges.beside`), so the boundaries are found by walking back from the last symbol read.
+Tokens in front of the lookahead leave, most of them sooner; a word of any length needs room for the lookahead and a block.
 """
 
 from __future__ import annotations
 
 import codecs
-import unicodedata
+import re
 from array import array
-from collections.abc import Callable, Iterable, Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
 
 import ahocorasick
 import numpy as np
@@ -23,16 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType
 
-from turntable.llm.bytelevel import BYTE_OF, Merges, merges, spelled
-from turntable.llm.common import map_batches
+from turntable.llm.bytelevel import BYTE_OF, Merges, spelled
+from turntable.llm.classes import Folding, Pieces, tokenizers_members
+from turntable.llm.common import Known, map_batches, of_worker
 
-# White space and pieces as the vocabulary's file defines them.
-_SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
-_PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACE}\p{{L}}\p{{N}}]+")
+# Fixed value: the pieces of a text as the vocabulary's file defines them.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
-CACHED = 600_000
-CACHED_CHARACTERS = 40
 BLOCK = 256
+SEGMENT = 1 << 16  # characters of a text that are cut into pieces at once, up to the next white space
+_BLANK = re.compile(r"\s")
 
 
 class Word:
@@ -68,8 +67,10 @@ class Word:
             size.append(n)
             done = at
         self._read += len(symbols)
+        if len(last) != self._read - left + 1:
+            raise AssertionError("a prefix without a last token")
         self._tail = (self._tail + symbols)[-self._of.reach :]
-        return self._stable() if self._read - self._left > 2 * self._of.reach else []
+        return self._stable()
 
     def _way(self, position: int) -> list[int]:
         """Boundaries from a position back to the last token that left, nearest first."""
@@ -80,11 +81,19 @@ class Word:
         return way
 
     def _stable(self) -> list[int]:
-        alive = range(max(self._left, self._read - self._of.reach + 1), self._read + 1)
-        common = set(self._way(alive[0]))
-        for position in alive[1:]:
+        """The tokens that nothing can change any more.
+
+        Those are all that end before the lookahead. Whatever follows, the next boundary is one of the last `reach` positions:
+        where the ways back from all of these have met already, tokens are stable sooner.
+        """
+        if self._read - self._left <= 2 * self._of.reach:
+            return []
+        way = self._way(self._read)
+        final = self._read - 1 - self._of.lookahead  # the last symbol read may turn out to end the word
+        common = set(way)
+        for position in range(max(self._left, self._read - self._of.reach + 1), self._read):
             common.intersection_update(self._way(position))
-        return self._leave(max(common))
+        return self._leave(max(max(common), next((b for b in way if b <= final), self._left)))
 
     def _leave(self, boundary: int) -> list[int]:
         out = [self._last[end - self._left] for end in reversed(self._way(boundary)[:-1])]
@@ -93,8 +102,6 @@ class Word:
             shift = boundary - self._left
             del self._last[1 : shift + 1], self._size[1 : shift + 1]
             self._left = boundary
-        if self._read - self._left > self._of.lookahead:
-            raise AssertionError("the lookahead of the merge list does not suffice")
         return out
 
     def finish(self) -> list[int]:
@@ -111,27 +118,13 @@ class Word:
         raise AssertionError("no token ends this word")
 
 
-class _Known(dict):
-    """What `work` gives for a piece; up to CACHED short pieces are kept."""
-
-    def __init__(self, work: Callable[[str], tuple[bytes, bytes]]) -> None:
-        super().__init__()
-        self._work = work
-
-    def __missing__(self, piece: str) -> tuple[bytes, bytes]:
-        made = self._work(piece)
-        if len(piece) <= CACHED_CHARACTERS:
-            if len(self) >= CACHED:
-                self.clear()
-            self[piece] = made
-        return made
-
-
 class Transducer:
     """Text to token ids and back for one vocabulary file."""
 
     def __init__(self, file: str) -> None:
-        self.merges: Merges = merges(file)
+        from tokenizers import Tokenizer
+
+        self.merges = Merges(file)
         suffix = self.merges.suffix
         self.final: dict[str, int] = {}
         self.ending = ahocorasick.Automaton()
@@ -146,12 +139,43 @@ class Transducer:
                 if not suffix:
                     self.final[spelling] = token
         self.ending.make_automaton()
-        # A merge can only be undone by one of lower rank that overlaps it, which is at most `reach`
-        # symbols away; such a chain has at most one link for each merge of the list.
-        self.lookahead = self.reach * (len(self.merges.merge) + 2)
+        self.lookahead = self._lookahead()
         special = sorted(self.merges.special, key=len, reverse=True)
         self._special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
-        self._known = _Known(self._pair)
+        self._fold = Folding(Tokenizer.from_file(file).normalizer.normalize_str)
+        self._pieces = Pieces(PATTERN, tokenizers_members)
+        self._known = Known(self._piece)
+        raw = {number: self._raw(number) for number in self.merges.spelling}
+        self._bytes = [raw.get(number, b"") for number in range(max(raw) + 1)]
+        self._spelled = [self.merges.spelling.get(number, "").encode() for number in range(max(raw) + 1)]
+
+    def _size(self, token: int) -> int:
+        return len(self.merges.spelling[token].removesuffix(self.merges.suffix) if self.merges.suffix else self.merges.spelling[token])
+
+    def _lookahead(self) -> int:
+        """Symbols after a boundary that decide whether it stays, at most.
+
+        A merge that crosses the end of another one first joins a token that ends there, a suffix of it, with one that begins
+        there. Going through the merges by rank, `beyond` has for each left half how far its merges so far can
+        make a difference after its end: the right half, and what can undo that merge in turn.
+        """
+        beyond: dict[int, int] = {}
+        most = 0
+        for (left, right), _ in sorted(self.merges.merge.items(), key=lambda pair: pair[1]):
+            made = self.merges.spelling[left] + self.merges.spelling[right]
+            suffixes = (self.merges.id_of.get(made[at:]) for at in range(1, len(made)))
+            own = max((beyond[token] for token in suffixes if token in beyond), default=0)
+            beyond[left] = max(beyond.get(left, 0), self._size(right) + own)
+            most = max(most, self._size(left) + self._size(right) - 1 + own)
+        return most
+
+    def _raw(self, number: int) -> bytes:
+        """The bytes that a token stands for, with a space after a word."""
+        spelling, suffix = self.merges.spelling[number], self.merges.suffix
+        if spelling in self.merges.special:
+            return spelling.encode()
+        ends = bool(suffix) and spelling.endswith(suffix)
+        return bytes(BYTE_OF[c] for c in (spelling.removesuffix(suffix) if ends else spelling)) + b" " * ends
 
     def word(self, symbols: str) -> list[int]:
         """Tokens of one word, fed in blocks."""
@@ -160,59 +184,58 @@ class Transducer:
             out += state.feed(symbols[at : at + BLOCK])
         return out + state.finish()
 
-    def _pair(self, piece: str) -> tuple[bytes, bytes]:
-        """Ids (as int32) of a piece, and their spelling with a space between two."""
-        ids = self.word(spelled(piece.encode()))
-        return array("i", ids).tobytes(), "".join(self.decode(ids, separated=True)).encode()
-
-    def _plain(self, text: str) -> Iterable[tuple[bytes, bytes]]:
-        """The pieces of a text without special strings. White space only separates them, of whatever kind."""
-        # Python's lower() looks at what follows a sigma; the vocabulary's rule goes by characters.
-        folded = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        return map(self._known.__getitem__, _PIECE.findall(folded))
-
-    def both(self, text: str) -> tuple[bytes, bytes]:
-        """Ids (as int32) of a text, and their spelling; strings of special tokens give their ids."""
-        parts = self._special.split(text) if self._special and "<" in text else [text]
-        pairs = []
-        for at, part in enumerate(parts):
-            if at % 2:
-                pairs.append((array("i", [self.merges.special[part]]).tobytes(), part.encode()))
-            else:
-                pairs.extend(self._plain(part))
-        return b"".join([ids for ids, _ in pairs]), b" ".join([spelling for _, spelling in pairs])
+    def _piece(self, piece: str) -> bytes:
+        return array("i", self.word(spelled(piece.encode()))).tobytes()
+
+    def _segments(self, text: str) -> Iterator[str]:
+        """The text in parts that end before white space, across which nothing composes or merges."""
+        at = 0
+        while at < len(text):
+            blank = _BLANK.search(text, at + SEGMENT) if at + SEGMENT < len(text) else None
+            stop = blank.start() if blank else len(text)
+            yield text[at:stop]
+            at = stop
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without special strings. White space only separates pieces, of whatever kind."""
+        folded = self._fold(text)
+        known = self._known
+        return b"".join([known[piece] for piece in self._pieces.of(folded).findall(folded)])
+
+    def ids(self, text: str) -> bytes:
+        """Token ids of a text, as int32; strings of special tokens give their ids."""
+        out = bytearray()
+        for segment in self._segments(text):
+            parts = self._special.split(segment) if self._special and "<" in segment else [segment]
+            for at, part in enumerate(parts):
+                out += array("i", [self.merges.special[part]]).tobytes() if at % 2 else self._plain(part)
+        self._known.trim()
+        return bytes(out)
 
     def encode(self, text: str) -> list[int]:
         """Token ids of a text."""
-        return array("i", self.both(text)[0]).tolist()
+        return array("i", self.ids(text)).tolist()
 
     def decode(self, ids: Iterable[int], separated: bool = False) -> Iterator[str]:
-        """Text of token ids, piece by piece; incomplete characters wait for their last byte.
+        """Text of token ids, block by block; incomplete characters wait for their last byte.
 
         `separated` spells tokens as the vocabulary does, with a space between two of them, which is
         how its library decodes. Otherwise the bytes that tokens stand for come out, and a space after
         each word.
         """
         machine = codecs.getincrementaldecoder("utf-8")("replace")
-        suffix, gap = self.merges.suffix, b""
-        for number in ids:
-            spelling = self.merges.spelling[number]
-            if separated:
-                raw, gap = gap + spelling.encode(), b" "
-            elif spelling in self.merges.special:
-                raw = spelling.encode()
-            else:
-                ends = bool(suffix) and spelling.endswith(suffix)
-                raw = bytes(BYTE_OF[c] for c in (spelling.removesuffix(suffix) if ends else spelling)) + b" " * ends
-            if text := machine.decode(raw):
+        table, gap = (self._spelled, b" ") if separated else (self._bytes, b"")
+        ids = ids if isinstance(ids, list) else list(ids)
+        for at in range(0, len(ids), BLOCK):
+            raw = gap.join([table[number] for number in ids[at : at + BLOCK]])
+            if text := machine.decode(gap + raw if at else raw):
                 yield text
         if text := machine.decode(b"", final=True):
             yield text
 
 
-@lru_cache(maxsize=2)
 def transducer(file: str) -> Transducer:
-    return Transducer(file)
+    return of_worker(Transducer, file)
 
 
 def _lists(values: list[bytes]) -> pa.Array:
@@ -230,11 +253,11 @@ def encode_documents(df: DataFrame, file: str, text: str = "text") -> DataFrame:
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        both = transducer(file).both
-        pairs = [both(value or "") for value in batch.column(text).to_pylist()]
+        coder = transducer(file)
+        ids = [coder.ids(value or "") for value in batch.column(text).to_pylist()]
+        decoded = ["".join(coder.decode(array("i", own).tolist(), separated=True)) for own in ids]
         own = [batch.column(name) for name in kept]
-        decoded = pa.array([spelling for _, spelling in pairs], pa.binary()).cast(pa.string())
-        return pa.record_batch([*own, _lists([ids for ids, _ in pairs]), decoded], [*kept, "ids", "decoded"])
+        return pa.record_batch([*own, _lists(ids), pa.array(decoded, pa.string())], [*kept, "ids", "decoded"])
 
     kept = [name for name in df.columns if name.lower() not in ("ids", "decoded")]
     schema = df.select(*[F.col(f"`{name}`") for name in kept]).schema.add("ids", ArrayType(IntegerType())).add("decoded", StringType())

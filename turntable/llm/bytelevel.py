@@ -86,7 +86,7 @@ class Merges:
                 if place is not None and place < a_ends and place <= b_ends and place < below:
                     apart = False
         if below is _ALWAYS:
-            if len(self.known_beside) > 500_000:
+            if len(self.known_beside) > 200_000:
                 self.known_beside.clear()
             self.known_beside[key] = apart
         return apart
@@ -103,8 +103,3 @@ class Merges:
                 spelling = self.spelling[token].removesuffix(self.suffix) if self.suffix else self.spelling[token]
                 reached[token] = len(spelling) == 1
         return {self.spelling[token]: token for token, ok in reached.items() if ok}
-
-
-@lru_cache(maxsize=4)
-def merges(file: str) -> Merges:
-    return Merges(file)

@@ -25,7 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turntable.llm.common import ready_workers
+from turntable.llm.classes import Pieces, tokenizers_members
+from turntable.llm.common import ENTRY_BYTES, KNOWN_BYTES, of_worker, ready_workers
 
 # Fixed values of the record format: the reversed polynomial of CRC-32C, and the mask of stored checksums.
 _POLYNOMIAL = 0x82F63B78
@@ -35,9 +36,9 @@ _HEAD = struct.Struct("<QI")
 _OWN = struct.Struct("<qB")
 _BLOCK = 4096
 READ_BYTES = 4 << 20
-CACHED_CHUNKS = 1_000_000
-CACHED_PARTS = 700_000
 CACHED_BYTES = 48
+CACHED_CHUNKS = KNOWN_BYTES // (ENTRY_BYTES + CACHED_BYTES)
+CACHED_PARTS = KNOWN_BYTES // (ENTRY_BYTES + CACHED_BYTES)
 INDEX = "doc_id bigint, part int, file string, place bigint, offset bigint, size bigint, n_tokens bigint"
 
 _PART = regex.compile(r"(?s)(?:\P{L}*+\p{L}++)+?(?!\p{M})|.+")
@@ -112,6 +113,8 @@ class Encoder:
         self._by_chunk = ends[0] + ends[1] == ends[2]
         normal = self._library.normalizer
         self._folds = normal is not None and normal.normalize_str("AZ") == "az"
+        # What is a letter here need not be one to the library, whose Unicode version is its own.
+        self._differs = Pieces(r"\p{L}", tokenizers_members).differs
         self._chunks: dict[bytes, bytes] = {}
         self._parts: dict[str, bytes] = {}
 
@@ -124,7 +127,7 @@ class Encoder:
         """Whether a letter without a mark ends a piece, also after normalisation and in lower case."""
         if "<" in text and any(one in text for one in self._special):
             return False
-        return text.isascii() or ("İ" not in text and unicodedata.is_normalized("NFC", text))
+        return text.isascii() or ("İ" not in text and unicodedata.is_normalized("NFC", text) and not self._differs(text))
 
     def _fill(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         """Ids of chunks not met before."""
@@ -165,9 +168,8 @@ class Encoder:
         return out
 
 
-@lru_cache(maxsize=1)
 def _encoder(file: str) -> Encoder:
-    return Encoder(file)
+    return of_worker(Encoder, file)
 
 
 def _place(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:

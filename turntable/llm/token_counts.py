@@ -7,8 +7,6 @@ does. count[i] = count[i - |t|] + 1 then holds the number of tokens at every pre
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import ahocorasick
 import numpy as np
 import pyarrow as pa
@@ -16,25 +14,27 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turntable.llm.bytelevel import merges, spelled
-from turntable.llm.common import map_batches, texts_of
+from turntable.llm.bytelevel import Merges, spelled
+from turntable.llm.classes import Pieces, tokenizers_members
+from turntable.llm.common import ENTRY_BYTES, KNOWN_BYTES, map_batches, of_worker, texts_of
 
 # The pieces that a byte-level vocabulary of this kind never merges across, and the white
 # space its pattern means (Python's own class also holds U+001C to U+001F).
 _SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
 _RUN = regex.compile(rf" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 _BLANKS = regex.compile(rf"[{_SPACE}]+")
-_PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+|[{_SPACE}]+")
+_PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
-CACHED = 400_000
 CACHED_CHARACTERS = 40
+CACHED = KNOWN_BYTES // (ENTRY_BYTES + CACHED_CHARACTERS) // 2
 
 
 class PrefixCounts:
     """Counts for one vocabulary. Up to CACHED runs and pieces of text are kept."""
 
     def __init__(self, file: str) -> None:
-        self._merges = merges(file)
+        self._merges = Merges(file)
+        self._pattern = Pieces(_PIECE, tokenizers_members)
         self._ending = ahocorasick.Automaton()
         for spelling, token in self._merges.whole().items():
             self._ending.add_word(spelling, (len(spelling), token))
@@ -64,7 +64,7 @@ class PrefixCounts:
 
     def _of_run(self, run: str) -> int:
         known, total = self._pieces, 0
-        for piece in _PIECE.findall(run):
+        for piece in self._pattern.of(run).findall(run):
             n = known.get(piece)
             if n is None:
                 n = self.of_piece(piece)[-1]
@@ -115,7 +115,7 @@ class PrefixCounts:
                 out[start + 1 : at + 1] = before + blanks[start - first + 1 :]
                 continue
             offset = start
-            for piece in _PIECE.findall(run):
+            for piece in self._pattern.of(run).findall(run):
                 counts = self._characters(piece)
                 out[offset + 1 : offset + len(piece) + 1] = base + counts[1:]
                 if piece in ("'re", "'ve", "'ll"):  # cut short, its letter is a piece of its own
@@ -147,9 +147,8 @@ class PrefixCounts:
         return np.concatenate(out)
 
 
-@lru_cache(maxsize=2)
 def counter(file: str) -> PrefixCounts:
-    return PrefixCounts(file)
+    return of_worker(PrefixCounts, file)
 
 
 def count_tokens(df: DataFrame, file: str, text: str = "text", id_column: str = "doc_id") -> DataFrame:
