@@ -1,7 +1,10 @@
 """Toxicity, language, quality rules and page text."""
 
+import pickle
 import re
+import zlib
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -92,6 +95,112 @@ def test_language_mixture_and_edges(spark):
     assert language.identify(df.limit(0), model).count() == 0
 
 
+def invented(n_languages, seed=7):
+    """Vocabularies that share few trigrams, a model of them, and a function that draws a text of some of them."""
+    draw = np.random.default_rng(seed)
+    letters = [list("abcdefgh"), list("hijklmno"), list("nopqrstu"), list("uvwxyzab"), list("aeioubdg"), list("éèàùçabc")][:n_languages]
+    words = [["".join(draw.choice(own, int(draw.integers(3, 9)))) for _ in range(300)] for own in letters]
+    names = [f"l{i}" for i in range(n_languages)]
+    model = language.train([" ".join(own) for own in words], names)
+
+    def text(counts):
+        return " ".join(word for i, n in enumerate(counts) for word in draw.choice(words[i], n)) if sum(counts) else ""
+
+    return names, model, text, draw
+
+
+@pytest.mark.parametrize("n_languages", [4, 5, 6])
+def test_sets_of_any_size(n_languages):
+    names, model, text, _ = invented(n_languages)
+    mixtures = language.Mixtures(model.packed)
+    for size in range(1, n_languages + 1):
+        found = mixtures.shares([text([60] * size + [0] * (n_languages - size))])[0]
+        assert sorted(name for name, _ in found) == names[:size]
+        assert all(share == pytest.approx(1 / size, abs=0.06) for _, share in found)
+
+
+def test_sets_by_brute_force():
+    """The set is that of the highest likelihood less the penalty, of all sets there are."""
+    names, model, text, draw = invented(5)
+    mixtures = language.Mixtures(model.packed)
+    _, table = pickle.loads(model.packed)
+    texts = [text(draw.integers(0, 40, 5) * draw.integers(0, 2, 5)) for _ in range(40)]
+    texts = [one for one in texts if one]
+    for one, found in zip(texts, mixtures.shares(texts), strict=True):
+        words = language.letters_of(one)
+        _, grams, first = toxicity.word_inputs(words)
+        logs = np.add.reduceat(table[grams].astype(np.float64), first, axis=0)
+        values = {}
+        for size in range(1, 6):
+            for some in combinations(range(5), size):
+                share = np.full(size, 1 / size)
+                for _ in range(60):
+                    weighed = share * np.exp(logs[:, some] - logs.max(axis=1, keepdims=True))
+                    share = (weighed / weighed.sum(axis=1, keepdims=True)).mean(axis=0)
+                fit = np.log((share * np.exp(logs[:, some] - logs.max(axis=1, keepdims=True))).sum(axis=1)) + logs.max(axis=1)
+                values[some] = fit.sum() - 0.5 * (size - 1) * np.log(len(words) + 1)
+        own = tuple(sorted(names.index(name) for name, _ in found))
+        assert values[own] >= max(values.values()) - 0.05
+
+
+def test_only_letters_make_words(spark):
+    model = language.train(["the of and"], ["en"])
+    rows = [(1, "\u00b2  \u00bd \u2167 12 _ !"), (2, "\u0301"), (3, "x\u00b2")]
+    found = {row.doc_id: row.lang_pred for row in language.identify(spark.createDataFrame(rows, "doc_id bigint, text string"), model).collect()}
+    assert found == {1: "und", 2: "und", 3: "en"}
+
+
+def test_languages_of_long_texts_are_learnt(spark):
+    rows = [(i, "der die und das " * 2000, "de") for i in range(8)] + [(i, "the of and in ", "en") for i in range(8, 16)] + [(None, "x", "fr")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    names, _ = pickle.loads(language.fit(df).packed)
+    assert names == ["de", "en"]
+    held = df.select("doc_id", toxicity.held_out().alias("h")).collect()
+    assert all(row.h == (row.doc_id is not None and zlib.crc32(str(row.doc_id).encode()) % 4 == 2) for row in held)
+
+
+def test_network_equals_a_plain_one():
+    """Scores of texts of any length, window by window and word by word."""
+    p = {name: value.astype(np.float64) for name, value in toxicity.initial(3).items()}
+    p["words"][:] = np.random.default_rng(1).standard_normal(p["words"].shape)
+    scorer, draw = toxicity.Scorer(pickle.dumps(p)), np.random.default_rng(2)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def one(words):
+        own, grams, first = toxicity.word_inputs(words)
+        x = [np.concatenate([p["words"][own[i]], p["grams"][part].sum(axis=0)]) for i, part in enumerate(np.split(grams, first[1:]))]
+        states = {}
+        for side, order in (("forth", range(len(x))), ("back", range(len(x) - 1, -1, -1))):
+            state, h = np.zeros(toxicity.HIDDEN), toxicity.HIDDEN
+            for i in order:
+                given, rest = x[i] @ p[f"{side}_in"] + p[f"{side}_bias"], state @ p[f"{side}_state"]
+                stay, reset = sigmoid(given[:h] + rest[:h]), sigmoid(given[h : 2 * h] + rest[h : 2 * h])
+                state = stay * state + (1 - stay) * np.tanh(given[2 * h :] + reset * rest[2 * h :])
+                states[side, i] = state
+        both = np.array([np.concatenate([states["forth", i], states["back", i]]) for i in range(len(x))])
+        weight = np.exp(np.tanh(both @ p["attend"] + p["attend_bias"]) @ p["attend_to"])
+        return sigmoid((weight / weight.sum()) @ both @ p["out"] + p["out_bias"])[0]
+
+    names = ["ab", "cde", "é", "fghij", "klm"]
+    texts = [list(draw.choice(names, n)) for n in (1, 5, 47, 48, 49, 72, 73, 130)]
+    for words, found in zip(texts, scorer.texts([" ".join(words) for words in texts]), strict=True):
+        size, n = toxicity.WINDOW, len(words)
+        starts = {min(s, max(0, n - size)) for s in toxicity.window_starts(n)}
+        assert found == pytest.approx(max(one(words[s : s + size]) for s in starts), abs=1e-4)
+
+
+def test_toxicity_of_rows_held_out(spark):
+    """Labelled rows that nothing was learnt from, of the largest tables, which have enough of them."""
+    read = lambda name: spark.read.parquet(f"/root/testdata/sf0.1/{name}.parquet")
+    documents, marks = read("documents").select("doc_id", "text"), read("labels").select("doc_id", "toxic")
+    aside = documents.join(marks, "doc_id").where(toxicity.held_out())
+    rows = toxicity.score(aside, toxicity.fit(documents, marks)).select("toxic", "score").collect()
+    toxic = [row.score >= toxicity.THRESHOLD for row in rows if row.toxic]
+    clean = [row.score >= toxicity.THRESHOLD for row in rows if not row.toxic]
+    assert len(toxic) > 50 and np.mean(toxic) > 0.85
+    assert len(clean) > 500 and np.mean(clean) < 0.03
+
+
 def plain_statistics(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     windows = list(zip(words, words[1:], words[2:], strict=False))

@@ -1,36 +1,36 @@
 """Languages of a text as a mixture: how much of it each language accounts for.
 
 A word's likelihood in a language is that of its character trigrams. Expectation-maximisation finds the
-shares of the languages under which the text's words are likeliest. Of the sets made of the languages with
-the largest shares, that with the highest likelihood less a penalty for each language is the answer.
+shares of the languages under which the text's words are likeliest. The set of languages is chosen by
+likelihood less a penalty for each language: from the best single language on, the language that
+raises it most joins the set until none raises it, and then languages leave while that raises it.
 """
 
 from __future__ import annotations
 
 import pickle
-import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from turntable.llm.common import map_batches, texts_of
-from turntable.llm.toxicity import held_out, word_inputs
+from turntable.llm.common import WordTable, blocks_of, map_batches, of_worker, texts_of
+from turntable.llm.toxicity import GRAM_ROWS, held_out, word_inputs
 
-# The sample that likelihoods are learnt from: rows of each language, none with a longer text than this.
+# The sample that likelihoods are learnt from: rows of each language, and the first characters of so many of each.
 ROWS_PER_LANGUAGE = 300
 TRAIN_CHARACTERS = 6_000
 ADDED = 0.1  # to the count of each trigram
 ROUNDS = 10
-LARGEST_SET = 3
-CACHED_WORDS = 300_000
-WORDS_AT_ONCE = 400_000
+SET_ROUNDS = 4
+WORDS_AT_ONCE = 200_000
 UNKNOWN = "und"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+# Letters and the marks on them; other numbers and signs are no letters.
+_LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def letters_of(text: str) -> list[str]:
@@ -45,8 +45,6 @@ class Model:
 
 
 def train(texts: list[str], languages: list[str]) -> Model:
-    from turntable.llm.toxicity import GRAM_ROWS
-
     names = sorted(set(languages))
     counts = np.zeros((GRAM_ROWS, len(names)))
     for i, name in enumerate(names):
@@ -60,94 +58,136 @@ def train(texts: list[str], languages: list[str]) -> Model:
 def fit(df: DataFrame, text: str = "text", language: str = "lang", id_column: str = "doc_id") -> Model:
     """Learn from rows with a language that are not held out.
 
-    At most ROWS_PER_LANGUAGE rows of each language, those whose ids have the smallest hashes, of texts of at
-    most TRAIN_CHARACTERS characters, come to the driver. Spark keeps so many per task before it shuffles ids.
+    At most ROWS_PER_LANGUAGE rows of each language come to the driver: those of at most TRAIN_CHARACTERS characters first,
+    then by the smallest hash of their ids; of longer texts the first TRAIN_CHARACTERS. Spark keeps so many per task
+    before it shuffles ids. Rows without an id, text or language are not used.
     """
     rows = df.select(F.col(id_column).alias("_id"), F.col(text).alias("_text"), F.col(language).alias("_lang")).where(
-        ~held_out("_id") & F.col("_lang").isNotNull() & (F.char_length("_text") <= TRAIN_CHARACTERS)
+        ~held_out("_id") & F.col("_id").isNotNull() & F.col("_lang").isNotNull() & F.col("_text").isNotNull()
     )
-    first = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id", F.xxhash64("_text"))
-    chosen = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= ROWS_PER_LANGUAGE)
-    sample = sorted(chosen.select("_lang", "_text").collect())
+    long = F.char_length("_text") > TRAIN_CHARACTERS
+    first = Window.partitionBy("_lang").orderBy(long, F.xxhash64("_id"), "_id", F.xxhash64("_text"))
+    cut = rows.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= ROWS_PER_LANGUAGE)
+    sample = sorted(cut.select("_lang", F.substring("_text", 1, TRAIN_CHARACTERS)).collect())
     return train([row[1] for row in sample], [row[0] for row in sample])
 
 
+class _Words:
+    """Likelihoods of the words of some texts in each language, relative to their highest, and the texts' sizes."""
+
+    def __init__(self, likely: np.ndarray, highest: np.ndarray, sizes: np.ndarray) -> None:
+        self._likely, self._highest, self.sizes = likely, highest, sizes
+        self._starts = np.cumsum(sizes) - sizes
+
+    def of(self, texts: np.ndarray) -> _Words:
+        if len(texts) == len(self.sizes):
+            return self
+        sizes = self.sizes[texts]
+        rows = np.repeat(self._starts[texts] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        return _Words(self._likely[rows], self._highest[rows], sizes)
+
+    def _sums(self, values: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(values, self._starts, axis=0)
+
+    def _mixed(self, share: np.ndarray) -> np.ndarray:
+        return np.einsum("ij,ij->i", np.repeat(share, self.sizes, axis=0), self._likely) + np.float32(1e-30)
+
+    def single(self) -> np.ndarray:
+        """Log-likelihood of each text in each language alone."""
+        return self._sums(np.log(self._likely.astype(np.float64) + 1e-300) + self._highest[:, None])
+
+    def gain(self, share: np.ndarray) -> np.ndarray:
+        """How much faster than it costs the others the likelihood grows with the share of each language."""
+        return self._sums(self._likely / self._mixed(share)[:, None]) / self.sizes[:, None].astype(np.float32)
+
+    def step(self, share: np.ndarray) -> np.ndarray:
+        """One round of expectation and maximisation."""
+        return share * self.gain(share)
+
+    def likelihood(self, share: np.ndarray) -> np.ndarray:
+        return self._sums(np.log(self._mixed(share).astype(np.float64)) + self._highest)
+
+    def fitted(self, share: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shares within some sets of languages, from those within all, and the likelihood less the penalty of each set."""
+        own = np.where(member, share + np.float32(1e-3), np.float32(0))
+        own /= own.sum(axis=1, keepdims=True)
+        for _ in range(SET_ROUNDS):
+            own = self.step(own)
+        own /= own.sum(axis=1, keepdims=True)
+        return own, self.likelihood(own) - penalty(member.sum(axis=1), self.sizes)
+
+
+def penalty(n_languages: np.ndarray, n_words: np.ndarray) -> np.ndarray:
+    """Half the logarithm of the number of words for each language after the first."""
+    return 0.5 * (n_languages - 1) * np.log(n_words + 1.0)
+
+
 class Mixtures:
-    """A model, with the likelihoods of known words (up to CACHED_WORDS)."""
-
-    def __init__(self, names: list[str], table: np.ndarray) -> None:
-        self.names, self._table = names, table
-        self._number: dict[str, int] = {}
-        self._known = np.zeros((0, len(names)), dtype=np.float32)
-
-    def _likelihoods(self, texts: list[list[str]]) -> np.ndarray:
-        number = self._number
-        new = list({word for words in texts for word in words if word not in number})
-        if new:
-            if len(number) + len(new) > CACHED_WORDS:
-                number.clear()
-                self._known = self._known[:0]
-                new = list({word for words in texts for word in words})
-            number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
-            _, grams, first = word_inputs(new)
-            self._known = np.concatenate([self._known, np.add.reduceat(self._table[grams], first, axis=0)])
-        return self._known[[number[word] for words in texts for word in words]]
+    """A model, with the likelihoods of known words."""
+
+    def __init__(self, packed: bytes) -> None:
+        self.names, table = pickle.loads(packed)  # noqa: S301  made by train() on this job's driver
+
+        def likelihoods(words: list[str]) -> np.ndarray:
+            _, grams, first = word_inputs(words)
+            return np.add.reduceat(table[grams], first, axis=0)
+
+        self._words = WordTable(len(self.names), likelihoods)
 
     def shares(self, texts: list[str]) -> list[list[tuple[str, float]]]:
         """For each text its languages with their shares, the largest first; none without letters."""
         out: list[list[tuple[str, float]]] = [[] for _ in texts]
         split = [(i, words) for i, text in enumerate(texts) if (words := letters_of(text))] if self.names else []
-        at = 0
-        while at < len(split):
-            stop, n = at, 0
-            while stop < len(split) and (stop == at or n + len(split[stop][1]) <= WORDS_AT_ONCE):
-                n += len(split[stop][1])
-                stop += 1
-            for (i, _), found in zip(split[at:stop], self._mixtures([words for _, words in split[at:stop]]), strict=True):
+        for block in blocks_of([len(words) for _, words in split], WORDS_AT_ONCE):
+            for (i, _), found in zip(split[block], self._mixtures([words for _, words in split[block]]), strict=True):
                 out[i] = found
-            at = stop
         return out
 
     def _mixtures(self, texts: list[list[str]]) -> list[list[tuple[str, float]]]:
-        logs = self._likelihoods(texts)
-        sizes = np.array([len(words) for words in texts])
-        starts = np.cumsum(sizes) - sizes
-        highest = logs.max(axis=1, keepdims=True)
-        likely = np.exp(logs - highest)
-        k = len(self.names)
-
-        def step(share: np.ndarray) -> np.ndarray:
-            weighed = np.repeat(share, sizes, axis=0) * likely
-            weighed /= weighed.sum(axis=1, keepdims=True) + np.float32(1e-30)
-            return np.add.reduceat(weighed, starts, axis=0) / sizes[:, None].astype(np.float32)
-
-        share = np.full((len(texts), k), 1 / k, dtype=np.float32)
-        for _ in range(ROUNDS):
-            share = step(share)
-        order = np.argsort(-share, axis=1, kind="stable")
-        best = np.full(len(texts), -np.inf)
-        chosen = np.zeros_like(share)
-        for size in range(1, min(k, LARGEST_SET) + 1):
-            member = np.zeros_like(share)
-            np.put_along_axis(member, order[:, :size], 1, axis=1)
-            own = (share + np.float32(1e-6)) * member
-            own /= own.sum(axis=1, keepdims=True)
-            for _ in range(2 if size > 1 else 0):
-                own = step(own)
-            fit = np.log((np.repeat(own, sizes, axis=0) * likely).sum(axis=1).astype(np.float64) + 1e-300) + highest[:, 0]
-            value = np.add.reduceat(fit, starts) - 0.5 * (size - 1) * np.log(sizes + 1.0)
-            better = value > best
-            best = np.where(better, value, best)
-            chosen = np.where(better[:, None], own, chosen)
+        numbers = np.concatenate(self._words.numbers(texts))
+        logs = self._words.rows[numbers]
+        highest = logs.max(axis=1)
+        words = _Words(np.exp(logs - highest[:, None]), highest, np.array([len(own) for own in texts]))
+        share, member = self._chosen(words)
+        shares = np.where(member, share, 0).tolist()
         return [
-            sorted(((name, float(s)) for name, s in zip(self.names, row, strict=True) if s > 0), key=lambda pair: (-pair[1], pair[0]))
-            for row in chosen.tolist()
+            sorted(((name, s) for name, s, there in zip(self.names, row, has, strict=True) if there), key=lambda pair: (-pair[1], pair[0]))
+            for row, has in zip(shares, member.tolist(), strict=True)
         ]
 
-
-@lru_cache(maxsize=1)
-def _mixtures(packed: bytes) -> Mixtures:
-    return Mixtures(*pickle.loads(packed))  # noqa: S301  made by train() on this job's driver
+    def _chosen(self, words: _Words) -> tuple[np.ndarray, np.ndarray]:
+        """The set of languages of each text, and their shares."""
+        n, k = len(words.sizes), len(self.names)
+        every = np.full((n, k), 1 / k, dtype=np.float32)
+        for _ in range(ROUNDS):
+            every = words.step(every)
+        alone = words.single()
+        member = np.zeros((n, k), dtype=bool)
+        member[np.arange(n), alone.argmax(axis=1)] = True
+        share, value = member.astype(np.float32), alone.max(axis=1)
+
+        def change(texts: np.ndarray, own: _Words, trial: np.ndarray) -> np.ndarray:
+            """Take the sets of `trial` where they are better; the texts where they are."""
+            shares, values = own.fitted(every[texts], trial)
+            better = values > value[texts]
+            changed = texts[better]
+            member[changed], share[changed], value[changed] = trial[better], shares[better], values[better]
+            return changed
+
+        texts = np.arange(n)
+        while len(texts := texts[member[texts].sum(axis=1) < k]):
+            own = words.of(texts)
+            trial = member[texts].copy()
+            gain = np.where(trial, -np.inf, own.gain(share[texts]))
+            trial[np.arange(len(texts)), gain.argmax(axis=1)] = True
+            texts = change(texts, own, trial)
+        for language in range(k):
+            texts = np.flatnonzero(member[:, language] & (member.sum(axis=1) > 2))
+            if len(texts):
+                trial = member[texts].copy()
+                trial[:, language] = False
+                change(texts, words.of(texts), trial)
+        return share, member
 
 
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
@@ -161,7 +201,7 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     made = ["lang_pred", "score", "languages"]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = _mixtures(packed).shares(texts_of(batch, text))
+        found = of_worker(Mixtures, packed).shares(texts_of(batch, text))
         first = pa.array([sets[0][0] if sets else UNKNOWN for sets in found], pa.string())
         share = pa.array([min(1.0, sets[0][1]) if sets else 0.0 for sets in found], pa.float64())
         kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))

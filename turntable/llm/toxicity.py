@@ -10,14 +10,13 @@ from __future__ import annotations
 import pickle
 import re
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turntable.llm.common import map_batches, texts_of
+from turntable.llm.common import WordTable, blocks_of, map_batches, of_worker, texts_of
 
 WINDOW = 48
 STRIDE = 24
@@ -41,8 +40,8 @@ NEAR_BEST = 2.0
 DECAY = 0.02
 CALIBRATED_BY = 5  # one training text in so many sets the scale of the scores only
 RATE = 0.01
-CACHED_WORDS = 300_000
 SCORED_AT_ONCE = 4_096
+WORDS_AT_ONCE = 200_000
 
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd constant that spreads code points over the bits
@@ -333,28 +332,20 @@ def _calibrate(p: dict[str, np.ndarray], best: np.ndarray, labels: np.ndarray) -
 
 
 class Scorer:
-    """A trained network, with what known words add to its gates (up to CACHED_WORDS)."""
+    """A trained network, with what known words add to its gates."""
 
-    def __init__(self, p: dict[str, np.ndarray]) -> None:
-        self._p = {name: value.astype(np.float32) for name, value in p.items()}
-        self._number: dict[str, int] = {}
-        self._projected = np.zeros((0, 6 * HIDDEN), dtype=np.float32)
-
-    def _numbers(self, texts: list[list[str]]) -> list[np.ndarray]:
-        number = self._number
-        new = list({word for words in texts for word in words if word not in number})
-        if new:
-            if len(number) + len(new) > CACHED_WORDS:
-                number.clear()
-                self._projected = self._projected[:0]
-                new = list({word for words in texts for word in words})
-            number.update(zip(new, range(len(number), len(number) + len(new)), strict=True))
-            self._projected = np.concatenate([self._projected, project(self._p, new)])
-        return [np.array([number[word] for word in words], dtype=np.int64) for words in texts]
+    def __init__(self, model: bytes) -> None:
+        self._p = {name: value.astype(np.float32) for name, value in pickle.loads(model).items()}  # noqa: S301  made by fit() on this job's driver
+        self._words = WordTable(6 * HIDDEN, lambda words: project(self._p, words))
 
     def texts(self, texts: list[str]) -> np.ndarray:
         """The highest score of all windows of each text; 0 without words."""
-        ids = self._numbers([words_of(text) for text in texts])
+        split = [words_of(text) for text in texts]
+        blocks = blocks_of([len(words) for words in split], WORDS_AT_ONCE)
+        return np.concatenate([np.zeros(0), *(self._block(split[block]) for block in blocks)])
+
+    def _block(self, texts: list[list[str]]) -> np.ndarray:
+        ids = self._words.numbers(texts)
         best = np.zeros(len(texts), dtype=np.float64)
         whole = [i for i, words in enumerate(ids) if len(words) >= WINDOW]
         for group, full in ((whole, True), ([i for i, words in enumerate(ids) if len(words) < WINDOW], False)):
@@ -379,12 +370,7 @@ class Scorer:
                 mask = np.zeros((WINDOW, len(some)), dtype=bool)
                 for i, piece in enumerate(some):
                     windows[: len(piece), i], mask[: len(piece), i] = piece, True
-            np.maximum.at(best, owners, _sigmoid(logits(self._p, self._projected, windows, mask).astype(np.float64)))
-
-
-@lru_cache(maxsize=1)
-def _scorer(model: bytes) -> Scorer:
-    return Scorer(pickle.loads(model))  # noqa: S301  made by fit() on this job's driver
+            np.maximum.at(best, owners, _sigmoid(logits(self._p, self._words.rows, windows, mask).astype(np.float64)))
 
 
 @dataclass(frozen=True)
@@ -395,8 +381,8 @@ class Model:
 
 
 def held_out(id_column: str = "doc_id") -> F.Column:
-    """Rows that nothing is learnt from: crc32 of the id as text leaves 2 when divided by 4."""
-    return F.crc32(F.col(id_column).cast("string").cast("binary")) % 4 == 2
+    """Rows that nothing is learnt from: crc32 of the id as text leaves 2 when divided by 4. False for a null id."""
+    return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def fit(df: DataFrame, labels: DataFrame, text: str = "text", id_column: str = "doc_id", label: str = "toxic") -> Model:
@@ -429,7 +415,7 @@ def score(df: DataFrame, model: Model, output: str = "score", text: str = "text"
     packed = model.packed
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = pa.array(_scorer(packed).texts(texts_of(batch, text)), pa.float64())
+        found = pa.array(of_worker(Scorer, packed).texts(texts_of(batch, text)), pa.float64())
         return pa.record_batch([*[batch.column(name) for name in kept], found], [*kept, output])
 
     kept = [name for name in df.columns if name.lower() != output.lower()]
