@@ -1,5 +1,6 @@
 """Toxicity, language, quality rules and page text."""
 
+import html
 import pickle
 import re
 import zlib
@@ -270,6 +271,38 @@ def test_page_text_outside_article():
     assert main_text(page) == f"{finnish} {finnish}"
 
 
+def test_elements_that_close_themselves_or_never():
+    """Only what an element holds is skipped, however it ends."""
+    page = lambda inside: f"<article><p>A</p><p>See {inside} icon B</p><p>C</p></article><footer>no</footer>"
+    whole = "A See icon B C"
+    assert main_text(page("<svg width='1'/>")) == whole
+    assert main_text(page("<svg><path d='M0'/><title>no</title><style/><text>no</text></svg>")) == whole
+    assert main_text(page("<svg><svg/><g>no</g><svg>no</svg>no</svg>")) == whole
+    assert main_text(page("<math/>")) == main_text(page("<math><mi>x</mi></math>")) == whole
+    assert main_text(page("<select><option>no</option></select>")) == whole
+    assert main_text(page("<object><p>no</p></object>")) == whole
+    assert main_text(page("<noscript><p>no<p>no</noscript>")) == whole
+    assert main_text(page("<video><source src=a>no</video><canvas>no</canvas>")) == whole
+    assert main_text("<article><p>A</p><p>See <select><option>no</p><p>C</p></article>") == "A See C"
+    assert main_text("<article><p>A</p><p>See <svg><g>no</p><p>C</p></article><p></svg></p>") == "A See C"
+    assert main_text("<article><p>A</p></svg></select><p>C</p></article>") == "A C"
+    assert main_text("<article><p>A <script>var s = '<svg>';</script>B</p><p>C</p></article>") == "A B C"
+    assert main_text("<article><p>A <script src='x'/>no</script>B</p></article>") == "A B"
+
+
+def test_pages_of_the_tables_to_the_letter(spark, sf_dir):
+    """The article with its markup taken out, and nothing of menus, adverts and footers."""
+    pages = {row.page_id: row.html for row in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    for row in QUERIES["op3_html_text"](spark, sf_dir).collect():
+        page = pages[row.page_id]
+        article = re.search(r"(?s)<article>(.*)</article>", page)[1]
+        text = re.sub(r"<[^>]+>", "", re.sub(r"</?(?:p|h1|div|br)[^>]*>", " ", article))
+        assert row.text == " ".join(html.unescape(text).split())
+        outside = re.findall(r"(?s)<(?:nav|footer|script|style)>(.*?)</|<div class=\"ad\">(.*?)</div>", page)
+        for part in filter(None, (" ".join(html.unescape(re.sub("<[^>]+>", " ", a or b)).split()) for a, b in outside)):
+            assert len(part) < 20 or part not in row.text
+
+
 def test_page_text(spark, sf_dir):
     page = """<!DOCTYPE html><html><head><title>no</title><style>p{}</style><script>var t="</p>";</script></head><body>
     <nav><ul><li><a href="/">Home</a></li></ul></nav><!-- <p>no</p> --><div class="cookie-notice">We use cookies</div>

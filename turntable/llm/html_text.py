@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -38,7 +39,9 @@ STOP_WORDS = frozenset(
 )
 
 # Elements of HTML by what they do.
-_RAW = "script|style|noscript|template|iframe|object|svg|math|textarea|title|select|canvas|audio|video|xmp"
+_RAW = frozenset("script style iframe textarea title xmp".split())  # what they hold is no markup
+_SKIPPED = frozenset("noscript template object svg math select canvas audio video".split())
+_FOREIGN = frozenset("svg math".split())  # these may close themselves, and so may what they hold
 _BLOCKS = frozenset(
     """
     address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure
@@ -68,12 +71,12 @@ _WEAK = frozenset(
 _WANTED = frozenset("article content main post entry story body text page".split())
 
 _MARKUP = re.compile(
-    rf"""<!--(?:.*?-->|.*\Z)
-    |<(?P<raw>{_RAW})\b(?:=\s*+(?:"[^"]*+"|'[^']*+')|[^>])*+>(?:.*?</(?P=raw)\s*+>|.*\Z)
+    r"""<!--(?:.*?-->|.*\Z)
     |<(?P<close>/)?(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?:=\s*+(?:"[^"]*+"|'[^']*+')|[^>])*+)>
     |<[!?/][^>]*>""",
     re.S | re.I | re.X,
 )
+_ENDS = {tag: re.compile(rf"</{tag}\s*+>", re.I) for tag in _RAW}
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"\w+")
@@ -116,17 +119,73 @@ def _marks_unwanted(tag: str, attributes: str, inside: int) -> bool:
     return bool(weak) and not names & _WANTED and not (inside and weak <= {"header"})
 
 
+@dataclass
+class _Tag:
+    """A tag between two stretches of text; a comment has no name. What a raw element holds belongs to its tag."""
+
+    start: int
+    end: int
+    name: str = ""
+    closes: bool = False
+    attributes: str = ""
+
+
+def _tags(page: str) -> list[_Tag]:
+    out: list[_Tag] = []
+    at = foreign = 0
+    while found := _MARKUP.search(page, at):
+        name = (found["tag"] or "").lower()
+        tag = _Tag(found.start(), found.end(), name, bool(found["close"]), found["attributes"] or "")
+        itself = tag.attributes.rstrip().endswith("/")
+        if name in _FOREIGN:
+            if itself and not tag.closes:
+                tag.name = ""
+            else:
+                foreign = max(0, foreign + (-1 if tag.closes else 1))
+        if name in _RAW and not tag.closes and not (foreign and itself):
+            end = _ENDS[name].search(page, tag.end)
+            tag.end, tag.name = end.end() if end else len(page), ""
+        out.append(tag)
+        at = tag.end
+    return out
+
+
+def _skips(tags: list[_Tag]) -> dict[int, int]:
+    """For each tag that opens a skipped element, the tag that closes it; none where its parent ends before."""
+    out: dict[int, int] = {}
+    stack: list[int] = []
+    n_open: Counter[str] = Counter()
+    for i, tag in enumerate(tags):
+        if tag.name not in _SKIPPED and tag.name not in _BLOCKS:
+            continue
+        if not tag.closes:
+            stack.append(i)
+            n_open[tag.name] += 1
+        elif n_open[tag.name]:
+            while True:
+                first = stack.pop()
+                n_open[tags[first].name] -= 1
+                if tags[first].name == tag.name:
+                    break
+            if tag.name in _SKIPPED:
+                out[first] = i
+    return out
+
+
 def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page that hold text, in order, with character references decoded."""
+    """The blocks of a page that hold text, in order, with character references decoded.
+
+    A skipped element says nothing up to its end. If it has none before its parent ends, it is silent up to the next block element.
+    """
     blocks: list[Block] = []
     open_tags: list[tuple[str, bool, int]] = []  # element, unwanted, article
     unwanted, article, articles, links, heading = False, 0, 0, 0, False
     current: Block | None = None
-    at = 0
+    at, skipped_to, silent = 0, -1, False
 
     def say(text: str) -> None:
         nonlocal current
-        if not text:
+        if not text or silent:
             return
         if current is None:
             if text.isspace():
@@ -138,27 +197,38 @@ def blocks_of(page: str) -> list[Block]:
         if links:
             current.linked += len(text.strip())
 
-    for found in _MARKUP.finditer(page):
-        say(page[at : found.start()])
-        at = found.end()
-        tag = (found["tag"] or "").lower()
+    tags = _tags(page)
+    skips = _skips(tags)
+    for i, found in enumerate(tags):
+        if i <= skipped_to:
+            at = found.end
+            continue
+        say(page[at : found.start])
+        at = found.end
+        tag = found.name
         if not tag:
             continue
+        if tag in _SKIPPED:
+            if i in skips:
+                skipped_to = skips[i]
+            elif not found.closes:
+                silent = True
+            continue
         if tag == "br":
             say(" ")
         elif tag == "a":
-            links = 0 if found["close"] else 1
+            links = 0 if found.closes else 1
         if tag in _VOID:
             current = None if tag == "hr" else current
             continue
         if tag not in _BLOCKS:
-            if tag == "button" or (not found["close"] and _marks_unwanted(tag, found["attributes"], article)):
+            if tag == "button" or (not found.closes and _marks_unwanted(tag, found.attributes, article)):
                 pass
             else:
                 continue
         if tag in _BLOCKS:
-            current, links = None, 0
-        if not found["close"]:
+            current, links, silent = None, 0, False
+        if not found.closes:
             if tag in _BLOCKS and open_tags and open_tags[-1][0] == "p":  # a paragraph ends where the next block begins
                 _, unwanted, article = open_tags.pop()
             open_tags.append((tag, unwanted, article))
@@ -166,7 +236,7 @@ def blocks_of(page: str) -> list[Block]:
                 articles += 1
                 article = articles if not unwanted or tag == "main" else article
                 unwanted = unwanted and tag != "main"
-            unwanted = unwanted or _marks_unwanted(tag, found["attributes"], article)
+            unwanted = unwanted or _marks_unwanted(tag, found.attributes, article)
             if tag not in _BLOCKS:
                 current = None
         else:
