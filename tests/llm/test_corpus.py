@@ -2,7 +2,9 @@
 
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -252,6 +254,57 @@ def test_shards(spark, tmp_path):
     assert back.count() == unique.count() and back.select("shard").distinct().count() == 4
 
 
+def test_shards_query(spark, sf_dir):
+    """Sizes, checksums, order and shards against plain sorting of the curve."""
+    rows = QUERIES["op10_hilbert_shards"](spark, sf_dir)
+    assert rows.columns[:7] == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    rows = rows.collect()
+    docs = {row.doc_id: row for row in read_table(spark, f"{sf_dir}/documents.parquet").collect()}
+    assert sorted(row.doc_id for row in rows) == sorted(docs)
+    for row in rows:
+        raw = (docs[row.doc_id].text or "").encode()
+        assert (row.size, row.text_crc32, row.law, row.grown_shard) == (len(raw) + 8, zlib.crc32(raw), "rows", None)
+    ordered = sorted(rows, key=lambda row: (row.curve, row.doc_id))
+    places = [(row.shard, row.slot) for row in ordered]
+    assert places == sorted(places)
+    sizes = Counter(row.shard for row in rows)
+    assert set(sizes) == set(range(24)) and max(sizes.values()) - min(sizes.values()) <= 1
+    assert all(slot == k for shard in sizes for k, slot in enumerate(sorted(row.slot for row in rows if row.shard == shard)))
+
+
+def test_files_are_skipped_by_every_dimension(spark, tmp_path):
+    """Addresses that begin alike for many characters prune files as numbers do."""
+    import pyarrow.parquet as parquet
+
+    draw = random.Random(3)
+    rows = [(i, f"https://www.example.org/archive/{draw.randrange(10**6):06}", draw.randrange(10**6), "t") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, url string, n bigint, text string")
+    write_shards(df, hilbert_shards(df, ["url", "n"], 32), str(tmp_path / "out"))
+    files = [parquet.ParquetFile(path) for path in sorted((tmp_path / "out").glob("shard=*/*.parquet"))]
+    boxes = []
+    for file in files:
+        of = {file.metadata.row_group(0).column(i).path_in_schema: file.metadata.row_group(0).column(i).statistics for i in range(file.metadata.num_columns)}
+        boxes.append(tuple((of[name].min, of[name].max) for name in ("url", "n")))
+    for axis in (0, 1):
+        met = [sum(box[axis][0] <= row[axis + 1] <= box[axis][1] for box in boxes) for row in rows[:200]]
+        assert np.mean(met) < 0.35 * len(boxes)
+
+
+def test_short_items_can_be_left_out(spark):
+    df = spark.createDataFrame([(1, "a b c"), (2, "it is a test of the thing")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "A"), (2, "is a test of the")], "item_id bigint, text string")
+    assert without_passages(df, items).count() == 0
+    assert [row.doc_id for row in without_passages(df, items, least_words=5).collect()] == [1]
+
+
+def test_seeds_stand_for_nearly_all_windows():
+    """Of all ways to change words of a window, how many leave a seed whole."""
+    laid = [int(mask, 2) << at for mask in decontaminate.MASKS for at in range(17 - len(mask))]
+    for changed, least in ((1, 16), (2, 120), (3, 560), (4, 1736)):
+        sets = [sum(1 << place for place in places) for places in combinations(range(16), changed)]
+        assert sum(any(one & some == 0 for one in laid) for some in sets) == least
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     left = docs

@@ -12,7 +12,7 @@ from __future__ import annotations
 import codecs
 import re
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -276,12 +276,13 @@ def decode_documents(df: DataFrame, file: str, ids: str = "ids", decoded: str =
     return map_batches(df, work, df.select(*[F.col(f"`{name}`") for name in kept]).schema.add(decoded, StringType()))
 
 
-def digests(encoded: DataFrame, id_column: str = "doc_id") -> DataFrame:
-    """Per row its id, n_tokens, and the sha256 of the ids in decimal, one space apart, and of the decoded text."""
+def digests(encoded: DataFrame, id_column: str = "doc_id", keep: Sequence[str] = ()) -> DataFrame:
+    """Per row its id, n_tokens, and the sha256 of the ids in decimal, one space apart, and of the decoded text; then the columns to `keep`."""
     decimal = F.array_join(F.col("ids").cast("array<string>"), " ")
     return encoded.select(
         id_column,
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(decimal, 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        *keep,
     )

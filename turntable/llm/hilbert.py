@@ -50,44 +50,77 @@ def curve_index(points: np.ndarray, bits: int) -> np.ndarray:
     return place
 
 
-def _ordered_number(df: DataFrame, column: str) -> Column:
-    """A number in the order of the column's values: itself, or the first seven bytes of a string."""
-    if isinstance(df.schema[column].dataType, StringType):
-        start = F.rpad(F.hex(F.substring(F.encode(F.col(f"`{column}`"), "utf-8"), 1, 7)), 14, "0")
-        return F.conv(start, 16, 10).cast("double")
-    return F.col(f"`{column}`").cast("double")
+def _is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, StringType)
+
+
+def _text_cuts(digest: DataFrame, column: str, cells: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first value of each cell of a text column and the number of that cell; cells hold about equally many rows.
+
+    Whole values count, so that a common beginning (such as that of addresses) makes no difference. A value belongs to the
+    cell of its first row in the order of all rows.
+    """
+    rows = digest.select(column, "_id", "text_crc32").where(F.col(column).isNotNull())
+    order = [F.col(column).asc(), F.col("_id").asc_nulls_first(), F.col("text_crc32").asc()]
+    placed = positions(rows, [], order, "_place", "_rows")
+    values = placed.groupBy(column).agg(F.min("_place").alias("_first"), F.max("_rows").alias("_rows"))
+    cell = F.expr(f"(_first - 1) * {cells} div _rows + 1").cast("int").alias("_cell")
+    # One row for each cell at most.
+    found = values.select(column, cell).groupBy("_cell").agg(F.min(column).alias("_value")).orderBy("_cell").collect()
+    return np.array([row._value for row in found], dtype=object), np.array([row._cell for row in found], dtype=np.int64)
+
+
+def _number_cuts(digest: DataFrame, columns: list[str], cells: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """The same for columns of numbers, from approximate quantiles."""
+    if not columns:
+        return {}
+    shares = [i / cells for i in range(1, cells)]
+    # One row of a fixed number of bounds for each dimension.
+    found = digest.agg(*[F.percentile_approx(name, shares, _ACCURACY).alias(name) for name in columns]).first()
+    out = {}
+    for name in columns:
+        # A frequent value is a bound many times over: it has the number of the last, so that numbers stand for shares of the rows.
+        bounds, last = np.unique(np.sort(np.asarray(found[name] or [], dtype=np.float64))[::-1], return_index=True)
+        out[name] = bounds, len(found[name] or []) - last + 1
+    return out
 
 
 def hilbert_shards(df: DataFrame, dimensions: Sequence[str], shards: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, size (bytes of the text plus 8), text_crc32, curve (place on the curve), shard and slot.
+    """Per row: id, size (bytes of the text plus 8), text_crc32, shard, slot and curve (place on the curve).
 
     The shards are runs of the rows in order of (curve, id, checksum, size), null ids first; their lengths
     differ by one row at most, and slots count from 0 without gaps. A null text counts as empty. A null value
     has the first cell of its column; repeated rows take neighbouring slots. Rows of one cell are ordered by id,
-    so a cell that holds most of the table is cut like any other. Texts are read once, for checksum and size,
+    so a cell that holds most of the table is cut like any other. An empty table gives no rows; columns of `df` that are
+    named like those of the result are only read if they are dimensions. Texts are read once, for checksum and size,
     and not moved.
     """
     numbers = [f"_d{i}" for i in range(len(dimensions))]
+    kinds = [_is_text(df, name) for name in dimensions]
     digest = materialise(
         df.select(
-            F.col(id_column).alias("_id"),
+            F.col(f"`{id_column}`").alias("_id"),
             (F.coalesce(F.octet_length(text), F.lit(0)) + 8).cast("bigint").alias("size"),
             F.crc32(F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8")).alias("text_crc32"),
-            *[_ordered_number(df, name).alias(number) for name, number in zip(dimensions, numbers, strict=True)],
+            *[
+                (F.col(f"`{name}`") if is_text else F.col(f"`{name}`").cast("double")).alias(number)
+                for name, number, is_text in zip(dimensions, numbers, kinds, strict=True)
+            ],
         )
     )
     cells = (1 << BITS) - 2
-    shares = [i / cells for i in range(1, cells)]
-    # One row of a fixed number of bounds for each dimension.
-    found = digest.agg(*[F.percentile_approx(number, shares, _ACCURACY).alias(number) for number in numbers]).first()
-    # A frequent value is a bound many times over, so that cell numbers stand for shares of the rows.
-    bounds = [np.sort(np.asarray(found[number] or [], dtype=np.float64)) for number in numbers]
+    cuts = _number_cuts(digest, [number for number, is_text in zip(numbers, kinds, strict=True) if not is_text], cells)
+    cuts |= {number: _text_cuts(digest, number, cells) for number, is_text in zip(numbers, kinds, strict=True) if is_text}
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        points = np.zeros((batch.num_rows, len(bounds)), dtype=np.int64)
-        for axis, cuts in enumerate(bounds):
-            values = batch.column(f"_d{axis}").to_numpy(zero_copy_only=False).astype(np.float64)
-            points[:, axis] = np.where(np.isnan(values), 0, np.searchsorted(cuts, values, side="right") + 1)
+        points = np.zeros((batch.num_rows, len(numbers)), dtype=np.int64)
+        for axis, (number, is_text) in enumerate(zip(numbers, kinds, strict=True)):
+            column = batch.column(number)
+            there = column.is_valid().to_numpy(zero_copy_only=False)
+            values = column.drop_null().to_numpy(zero_copy_only=False)
+            first, cell = cuts[number]
+            at = np.searchsorted(first, values, side="right")
+            points[there, axis] = np.concatenate([[0 if is_text else 1], cell])[at] if len(cell) else 0
         own = [batch.column(name) for name in ("_id", "size", "text_crc32")]
         return pa.record_batch([*own, pa.array(curve_index(points, BITS))], ["_id", "size", "text_crc32", "curve"])
 
@@ -100,9 +133,9 @@ def hilbert_shards(df: DataFrame, dimensions: Sequence[str], shards: int, id_col
         F.col("_id").alias(id_column),
         "size",
         "text_crc32",
-        "curve",
         F.col("_shard").cast("int").alias("shard"),
         F.expr(f"_rank - (_shard * _rows + {shards - 1}) div {shards}").alias("slot"),
+        "curve",
     )
 
 

@@ -37,7 +37,8 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics, score and verdict of every document."""
     judged = quality_rules(_documents(spark, sf_dir), trusted_ids(spark, sf_dir))
-    return judged.select("doc_id", "quality.*")
+    first = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
+    return judged.select("doc_id", *[f"quality.{name}" for name in first])
 
 
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
@@ -101,7 +102,8 @@ def op9_bpe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards of equally many rows along language, source and length."""
     assigned = hilbert_shards(_documents(spark, sf_dir), ["lang", "source", "n_chars"], SHARDS)
-    return assigned.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return assigned.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown, "curve")
 
 
 def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
