@@ -130,6 +130,60 @@ def test_scoring_where_candidates_arise_gives_the_same_playlists(grid, catalogue
     assert sum(one[key][0] == other[key][0] for key in one) > 0.95 * len(one)
 
 
+def test_recordings_that_cannot_be_listed_are_not_scored(spark, grid, catalogue):
+    """Artists cut into blocks by norm give the same playlists from far fewer scores."""
+    recordings, pairs = catalogue
+    known = grid.model.itemFactors.select(F.col("id").alias("recording_id"))
+    one_artist = recordings.join(known, "recording_id").withColumn("artist_name", F.lit("artist 0"))
+    wanted = pairs.where("artist_name = 'artist 0'")
+
+    def playlists(cfg):
+        rows = als.recommend_from_artists(grid.model, wanted, one_artist, cfg).collect()
+        return {(r.user_id, r["set"], r["rank"]): (r.recording_id, r.rating) for r in rows}
+
+    whole, cut = replace(CFG, norm_block=100), replace(CFG, norm_block=4)
+    assert playlists(cut) == playlists(whole)
+    every = als.promising_scores(grid.model, wanted, one_artist, whole).count()
+    some = als.promising_scores(grid.model, wanted, one_artist, cut).count()
+    assert every == known.count() * 30 and some < 0.7 * every
+
+
+def test_blocks_of_very_uneven_norms(spark, grid, catalogue):
+    """A model whose norms fall fast: two blocks of a long artist suffice, scores of either sign included."""
+    class Model:
+        rank = 2
+        userFactors = spark.createDataFrame([(u, [1.0, (-1.0) ** u]) for u in range(1, 9)], "id int, features array<float>")
+        itemFactors = spark.createDataFrame(
+            [(i, [(-1.0) ** i * 0.9**i, (-1.0) ** (i // 2) * 0.9**i]) for i in range(1, 301)], "id int, features array<float>"
+        )
+
+    described = [F.concat(F.lit(f"{name} "), "id").alias(name) for name in dimensions.RECORDING_KEYS if name != "artist_name"]
+    items = spark.range(1, 301).select(F.col("id").cast("int").alias("recording_id"), F.lit("a").alias("artist_name"), *described)
+    users = spark.createDataFrame([(u, "a", s) for u in range(1, 10) for s in als.SETS], "user_id int, artist_name string, set string")
+
+    def playlists(block):
+        rows = als.recommend_from_artists(Model, users, items, replace(CFG, norm_block=block)).collect()
+        return {(r.user_id, r["set"], r["rank"]): (r.recording_id, r.rating) for r in rows}
+
+    assert playlists(10) == playlists(1000)
+    assert als.promising_scores(Model, users, items, replace(CFG, norm_block=10)).count() < 0.1 * 300 * 16
+
+
+def test_factors_satisfy_the_normal_equations(spark, split):
+    cfg = replace(CFG, ranks=(3,), lambdas=(0.1,))
+    model = als.fit_grid(split["training"], split["validation"], cfg).model
+    rows = als.normal_equations(model, split["training"], cfg.alpha, 0.1).collect()
+    assert len(rows) == split["training"].select("user_id").distinct().count()
+    assert sum(row.n_ratings for row in rows) == split["training"].count()
+    assert max(row.residual for row in rows) < 1e-4
+    # Another lambda, another alpha or other counts are noticed.
+    for other in (als.normal_equations(model, split["training"], cfg.alpha, 1.0), als.normal_equations(model, split["training"], 4.0, 0.1)):
+        assert min(row.residual for row in other.collect()) > 1e-3
+    exact = {tuple(row)[:2]: row.score for row in als.factor_scores(model, split["validation"].select("user_id", "recording_id")).collect()}
+    for row in als.predictions(model, split["validation"]).collect():
+        assert math.isclose(exact[row.user_id, row.recording_id], row.prediction, rel_tol=1e-4, abs_tol=1e-6)
+
+
 def test_recommendation_status(spark, grid, catalogue):
     recordings, pairs = catalogue
     users = spark.createDataFrame([("one", 1), ("thirty-one", 31)], "user_name string, user_id int")

@@ -28,6 +28,8 @@ class EngineConfig:
     als_blocks: int | None = None
     # Fits of the grid that run at the same time.
     grid_parallelism: int = 4
+    # Recordings of an artist that are scored before the norms of the others are looked at.
+    norm_block: int = 256
     # Longest list nested into one row of per-user statistics.
     page_size: int = 10_000
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from turntable.config import EngineConfig
 from turntable.operators.dimensions import RECORDING_KEYS
 from turntable.operators.joins import fan_out_join
-from turntable.operators.ranking import top_n
+from turntable.operators.ranking import positions, top_n
 from turntable.schemas import MODEL_RUN
 from turntable.sources.tables import materialise, scratch_root
 
@@ -24,6 +24,7 @@ SPLITS = ("training", "validation", "test")
 TOP_ARTIST_SET = "top_artist"
 SIMILAR_ARTIST_SET = "similar_artist"
 SETS = (TOP_ARTIST_SET, SIMILAR_ARTIST_SET)
+_ROUNDING = 1e-5  # of a score that is kept as a float
 
 
 def new_model_id(cfg: EngineConfig) -> str:
@@ -180,28 +181,129 @@ def recommend_from_artists(
 
     The factors travel with the artists and the recordings, so a candidate is scored where it
     arises and most are cut there: of all candidates only each user's best per task are shuffled.
+    Of an artist with more than `cfg.norm_block` recordings, most are not scored at all, see `promising_scores`.
+    """
+    return _playlists(promising_scores(model, artists, recordings, cfg), recordings, cfg)
+
+
+def _dot(x: str, y: str, rank: int) -> Column:
+    """Inner product of two factor columns, in the order in which scores are always added."""
+    return sum((F.col(x)[i] * F.col(y)[i] for i in range(1, rank)), F.col(x)[0] * F.col(y)[0])
+
+
+def _norm(column: str, rank: int) -> Column:
+    return F.sqrt(sum(F.pow(F.col(column)[i].cast("double"), F.lit(2)) for i in range(rank)))
+
+
+def promising_scores(model: ALSModel, artists: DataFrame, recordings: DataFrame, cfg: EngineConfig) -> DataFrame:
+    """Scored candidates (user_id, recording_id, set, prediction) that hold the best of each user and set.
+
+    An artist's recordings lie in blocks by falling norm of their factors. The first blocks are scored; they give
+    each user a score that as many candidates reach as the playlist takes. A later block is scored only for users
+    whose norm times the block's highest reaches that score (Cauchy-Schwarz): no recording left out could be listed.
     """
     user_factors = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("_user"))
     item_factors = model.itemFactors.select(F.col("id").alias("recording_id"), F.col("features").alias("_item"))
-    left = artists.select("user_id", "artist_name", "set").join(user_factors, "user_id")
-    right = recordings.select("recording_id", "artist_name").join(item_factors, "recording_id")
-    pairs = fan_out_join(materialise(left), materialise(right), "artist_name")
-    score = sum((F.col("_user")[i] * F.col("_item")[i] for i in range(1, model.rank)), F.col("_user")[0] * F.col("_item")[0])
-    scored = pairs.select("user_id", "recording_id", "set", score.cast("float").alias("prediction"))
-    return _playlists(scored, recordings, cfg)
+    left = materialise(artists.select("user_id", "artist_name", "set").join(user_factors, "user_id"))
+    items = recordings.select("recording_id", "artist_name").where("artist_name IS NOT NULL").join(item_factors, "recording_id")
+    items = materialise(items.withColumn("_norm", _norm("_item", model.rank)))
+    score = _dot("_user", "_item", model.rank).cast("float").alias("prediction")
+
+    def scored(pairs: DataFrame) -> DataFrame:
+        return pairs.select("user_id", "recording_id", "set", score)
+
+    most = items.groupBy("artist_name").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if most <= cfg.norm_block:
+        return scored(fan_out_join(left, items, "artist_name"))
+    order = [F.desc("_norm"), F.asc("recording_id")]
+    placed = positions(items, ["artist_name"], order, "_place", "_of_artist")
+    placed = materialise(placed.withColumn("_block", F.floor((F.col("_place") - 1) / cfg.norm_block)).drop("_place", "_of_artist"))
+    first = fan_out_join(left, placed.where("_block = 0").drop("_norm", "_block"), "artist_name")
+    ranked = materialise(_best(scored(first), cfg))
+    reached = ranked.where(F.col("rank") == _limit(cfg)).select("user_id", "set", F.col("prediction").alias("_reached"))
+
+    blocks = placed.where("_block > 0").groupBy("artist_name", "_block").agg(F.max("_norm").alias("_highest"))
+    norms = left.select("user_id", "set", "artist_name", _norm("_user", model.rank).alias("_own"))
+    met = fan_out_join(norms, materialise(blocks), "artist_name").join(reached, ["user_id", "set"], "left")
+    # Scores are rounded to floats, which the bound must not cut short.
+    bound = F.col("_own") * F.col("_highest")
+    open_ones = met.where(F.col("_reached").isNull() | (bound * (1 + _ROUNDING) + _ROUNDING >= F.col("_reached")))
+    cell = F.concat_ws(":", F.col("_block").cast("string"), "artist_name").alias("_cell")
+    wanted = open_ones.select("user_id", "set", cell).join(user_factors, "user_id")
+    of_cells = placed.where("_block > 0").select(cell, "recording_id", "_item")
+    return ranked.drop("rank").union(scored(fan_out_join(materialise(wanted), of_cells, "_cell")))
+
+
+def factor_scores(model: ALSModel, candidates: DataFrame) -> DataFrame:
+    """Candidates that the model knows, each scored from the published factors: an independent check of predictions."""
+    user_factors = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("_user"))
+    item_factors = model.itemFactors.select(F.col("id").alias("recording_id"), F.col("features").alias("_item"))
+    both = candidates.join(user_factors, "user_id").join(item_factors, "recording_id")
+    exact = sum(F.col("_user")[i].cast("double") * F.col("_item")[i].cast("double") for i in range(model.rank))
+    return both.select(*candidates.columns, exact.alias("score"))
 
 
-def _playlists(scored: DataFrame, recordings: DataFrame, cfg: EngineConfig) -> DataFrame:
-    limits = {
+def normal_equations(model: ALSModel, training: DataFrame, alpha: float, lmbda: float) -> DataFrame:
+    """Per user of the training data: n_ratings, and how far the user's factors miss their normal equations.
+
+    A fit ends by solving (Y'Y + Y'(C - 1)Y + lambda n) x = Y'C p for each user, C holding 1 + alpha times the count
+    and p the preference, with the published item factors Y. `residual` is the norm of what is left by that of
+    the right-hand side: a rounding error if the model is what it is said to be.
+    """
+    rank = model.rank
+    users = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("_x"))
+    items = model.itemFactors.select(F.col("id").alias("recording_id"), F.col("features").alias("_y"))
+
+    def entry(column: str, i: int) -> Column:
+        return F.col(column)[i].cast("double")
+
+    # rank * (rank + 1) / 2 numbers, whatever the data.
+    upper = [(i, j) for i in range(rank) for j in range(i, rank)]
+    found = items.agg(*[F.sum(entry("_y", i) * entry("_y", j)).alias(f"g{i}_{j}") for i, j in upper]).first()
+    gram = {pair: found[f"g{pair[0]}_{pair[1]}"] for pair in upper}
+    extra = F.lit(alpha) * F.abs("count").cast("double")
+    target = F.when(F.col("count") > 0, 1 + extra).otherwise(0.0)
+    inner = sum(entry("_x", i) * entry("_y", i) for i in range(rank))
+    each = training.join(items, "recording_id").join(users, "user_id")
+    sums = each.groupBy("user_id").agg(
+        F.any_value("_x").alias("_x"),
+        F.count("*").alias("n_ratings"),
+        F.count_if(F.col("count") > 0).alias("_n"),
+        *[F.sum((extra * inner - target) * entry("_y", i)).alias(f"_r{i}") for i in range(rank)],
+        *[F.sum(target * entry("_y", i)).alias(f"_b{i}") for i in range(rank)],
+    )
+    left = [
+        F.col(f"_r{i}")
+        + sum(F.lit(gram[min(i, j), max(i, j)]) * entry("_x", j) for j in range(rank))
+        + F.lit(lmbda) * F.col("_n") * entry("_x", i)
+        for i in range(rank)
+    ]
+    size = F.sqrt(sum(F.pow(F.col(f"_b{i}"), F.lit(2)) for i in range(rank)))
+    missed = F.sqrt(sum(F.pow(one, F.lit(2)) for one in left))
+    return sums.select("user_id", "n_ratings", (missed / F.when(size > 0, size).otherwise(1.0)).alias("residual"))
+
+
+def _limits(cfg: EngineConfig) -> dict[str, int]:
+    return {
         TOP_ARTIST_SET: cfg.top_artist_recommendations,
         SIMILAR_ARTIST_SET: cfg.similar_artist_recommendations,
     }
+
+
+def _limit(cfg: EngineConfig) -> Column:
+    limits = _limits(cfg)
+    return F.when(F.col("set") == TOP_ARTIST_SET, limits[TOP_ARTIST_SET]).otherwise(limits[SIMILAR_ARTIST_SET])
+
+
+def _best(scored: DataFrame, cfg: EngineConfig) -> DataFrame:
     order = [F.desc("prediction"), F.asc("recording_id")]
-    ranked = top_n(scored, ["user_id", "set"], order, max(limits.values()))
-    limit = F.when(F.col("set") == TOP_ARTIST_SET, limits[TOP_ARTIST_SET]).otherwise(limits[SIMILAR_ARTIST_SET])
+    return top_n(scored, ["user_id", "set"], order, max(_limits(cfg).values())).where(F.col("rank") <= _limit(cfg))
+
+
+def _playlists(scored: DataFrame, recordings: DataFrame, cfg: EngineConfig) -> DataFrame:
     described = recordings.select("recording_id", *RECORDING_KEYS)
     return (
-        ranked.where(F.col("rank") <= limit)
+        _best(scored, cfg)
         .join(described, "recording_id")
         .select("user_id", "set", "rank", "recording_id", F.col("prediction").alias("rating"), *RECORDING_KEYS)
     )
