@@ -114,18 +114,21 @@ undirected AS (
    UNION
   SELECT artist_name_1, artist_name_0, "count" FROM relation
 )"""
-_SIMILAR = (
-    _UNDIRECTED
-    + """,
+
+
+def _similar(limit: int) -> str:
+    return (
+        _UNDIRECTED
+        + f""",
 similar_artist AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY artist_name ORDER BY "count" DESC, similar_artist_name) AS rank
-      FROM undirected) WHERE rank <= 3
+      FROM undirected) WHERE rank <= {limit}
 )"""
-)
+    )
 
 
-def _top(now: str | None) -> str:
+def _top(now: str | None, limit: int) -> str:
     where = f"WHERE listened_at >= TIMESTAMP '{now}' - INTERVAL 7 DAY AND listened_at < TIMESTAMP '{now}'" if now else ""
     return f"""
 counts AS (
@@ -135,7 +138,7 @@ counts AS (
 top_artist AS (
   SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY user_name ORDER BY "count" DESC, artist_name, artist_msid) AS rank
-      FROM counts) WHERE rank <= 5
+      FROM counts) WHERE rank <= {limit}
 )"""
 
 
@@ -151,8 +154,8 @@ net_similar AS (
                       WHERE t.user_name = u.user_name AND t.artist_name = u.similar_artist_name)
 )"""
 
-_EVENT_CANDIDATES = (_EVENT_LISTENS, _EVENT_RELATION, _SIMILAR, _top("2024-01-31 00:00:00"), _REACHED)
-_ORDER_CANDIDATES = (_ORDER_LISTENS, _ORDER_RELATION, _SIMILAR, _top("1998-06-15 00:00:00"), _REACHED)
+_EVENT_CANDIDATES = (_EVENT_LISTENS, _EVENT_RELATION, _similar(3), _top("2024-01-31 00:00:00", 5), _REACHED)
+_ORDER_CANDIDATES = (_ORDER_LISTENS, _ORDER_RELATION, _similar(10), _top("1998-06-15 00:00:00", 20), _REACHED)
 
 
 def _recordings_of(artists: str) -> str:
@@ -160,6 +163,28 @@ def _recordings_of(artists: str) -> str:
   FROM {artists} JOIN users USING (user_name) JOIN recordings USING (artist_name)"""
 
 
+_SPLIT = """
+buckets AS (
+  SELECT *, CAST('0x' || substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(recording_id AS VARCHAR) || '-45'), 1, 8)
+           AS BIGINT) % 6 AS bucket
+    FROM playcounts
+),
+parts AS (
+  SELECT *, CASE WHEN bucket < 4 THEN 'training' WHEN bucket < 5 THEN 'validation' ELSE 'test' END AS split FROM buckets
+)"""
+# The candidates that a model of the training data can score; playlists take 30 of a set.
+_PLAYLIST_AUDIT = (
+    _with(*_EVENT_CANDIDATES, _USERS, _RECORDINGS, _PLAYCOUNTS, _SPLIT)
+    + f"""SELECT user_id, "set", count(*) AS n_candidates, least(count(*), 30) AS n_listed,
+       true AS ranks_complete, true AS scores_right, true AS none_better
+  FROM (SELECT *, 'top_artist' AS "set" FROM ({_recordings_of("with_relation")})
+        UNION ALL SELECT *, 'similar_artist' FROM ({_recordings_of("net_similar")}))
+ WHERE user_id IN (SELECT user_id FROM parts WHERE split = 'training')
+   AND recording_id IN (SELECT recording_id FROM parts WHERE split = 'training')
+ GROUP BY 1, 2"""
+)
+
+
 def _status(requested: str) -> str:
     return f"""SELECT user_name,
        CASE WHEN user_name NOT IN (SELECT user_name FROM users) THEN 'unknown_user'
@@ -298,10 +323,10 @@ UNION ALL SELECT 'recordings', count(*) FROM recordings
 UNION ALL SELECT 'playcounts', count(*) FROM playcounts""",
     "undirected_relations": _with(_EVENT_RELATION, _UNDIRECTED) + "SELECT * FROM undirected",
     "order_undirected_relations": _with(_ORDER_RELATION, _UNDIRECTED) + "SELECT * FROM undirected",
-    "similar_artists": _with(_EVENT_RELATION, _SIMILAR) + "SELECT * FROM similar_artist",
-    "order_similar_artists": _with(_ORDER_RELATION, _SIMILAR) + "SELECT * FROM similar_artist",
+    "similar_artists": _with(_EVENT_RELATION, _similar(3)) + "SELECT * FROM similar_artist",
+    "order_similar_artists": _with(_ORDER_RELATION, _similar(10)) + "SELECT * FROM similar_artist",
     "top_artists": _with(*_EVENT_CANDIDATES) + "SELECT * FROM top_artist",
-    "order_top_artists": _with(_ORDER_LISTENS, _top(None)) + "SELECT * FROM top_artist",
+    "order_top_artists": _with(_ORDER_LISTENS, _top(None, 20)) + "SELECT * FROM top_artist",
     "top_artists_with_relation": _with(*_EVENT_CANDIDATES) + "SELECT * FROM with_relation",
     "net_similar_artists": _with(*_EVENT_CANDIDATES) + "SELECT * FROM net_similar",
     "similar_artist_report": _with(*_EVENT_CANDIDATES)
@@ -317,21 +342,20 @@ UNION ALL SELECT *, 'similar_artist' FROM ({_recordings_of("net_similar")})""",
     "order_similar_artist_candidates": _with(*_ORDER_CANDIDATES, _USERS, _RECORDINGS) + _recordings_of("net_similar"),
     "user_status": _with(*_EVENT_CANDIDATES, _USERS, _RECORDINGS) + _status(_REQUESTED),
     "order_user_status": _with(*_ORDER_CANDIDATES, _USERS, _RECORDINGS) + _status("c_name"),
-    "hash_split_counts": _with(
-        _EVENT_LISTENS,
-        _USERS,
-        _RECORDINGS,
-        _PLAYCOUNTS,
-        """
-buckets AS (
-  SELECT "count", CAST('0x' || substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(recording_id AS VARCHAR) || '-45'), 1, 8)
-           AS BIGINT) % 6 AS bucket
-    FROM playcounts
-)""",
-    )
-    + """SELECT CASE WHEN bucket < 4 THEN 'training' WHEN bucket < 5 THEN 'validation' ELSE 'test' END AS split,
-       count(*) AS row_count, CAST(sum("count") AS BIGINT) AS listens
-  FROM buckets GROUP BY 1""",
+    "hash_split_counts": _with(_EVENT_LISTENS, _USERS, _RECORDINGS, _PLAYCOUNTS, _SPLIT)
+    + """SELECT split, count(*) AS row_count, CAST(sum("count") AS BIGINT) AS listens FROM parts GROUP BY split""",
+    "als_normal_equations": _with(_EVENT_LISTENS, _USERS, _RECORDINGS, _PLAYCOUNTS, _SPLIT)
+    + "SELECT user_id, count(*) AS n_ratings, true AS satisfied FROM parts WHERE split = 'training' GROUP BY user_id",
+    "als_grid_audit": _with(_EVENT_LISTENS, _USERS, _RECORDINGS, _PLAYCOUNTS, _SPLIT)
+    + """SELECT CAST(rank AS BIGINT) AS rank, CAST(lmbda AS DOUBLE) AS lmbda, CAST(num_iterations AS BIGINT) AS num_iterations,
+       count(*) AS n_validation,
+       count(*) FILTER (user_id IN (SELECT user_id FROM parts WHERE split = 'training')
+                        AND recording_id IN (SELECT recording_id FROM parts WHERE split = 'training')) AS n_scored,
+       true AS consistent
+  FROM parts, (VALUES (8), (12)) r(rank), (VALUES (0.1), (10.0)) l(lmbda), (VALUES (10), (20)) i(num_iterations)
+ WHERE split = 'validation' GROUP BY 1, 2, 3""",
+    "als_recommendations_audit": _PLAYLIST_AUDIT,
+    "als_artist_recommendations_audit": _PLAYLIST_AUDIT,
     "dispatch_results": _with(_EVENT_LISTENS)
     + """SELECT event_id AS request_id,
        CASE event_type WHEN 'view' THEN 'ok' WHEN 'purchase' THEN 'ok' WHEN 'signup' THEN 'failed'

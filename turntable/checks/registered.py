@@ -25,6 +25,8 @@ EVENTS_NOW = datetime(2024, 1, 31)
 ORDERS_NOW = datetime(1998, 6, 15)
 #: Small limits, so that with the events' twenty artists a user's similar artists are not all top artists.
 CONFIG = EngineConfig(top_artists_limit=5, similar_artists_limit=3)
+#: The limits that the jobs run with, for the orders, which have many artists.
+ORDER_CONFIG = EngineConfig()
 
 REGISTERED: dict[str, Query] = {}
 
@@ -322,15 +324,16 @@ class _Candidates:
     """The inputs and intermediate tables of the candidate sets over one adapter."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, orders: bool = False):
+        cfg = ORDER_CONFIG if orders else CONFIG
         if orders:
             self.listens, now = _stored_orders(spark, sf_dir), ORDERS_NOW
             self.relation = adapters.relation_from_orders(spark, sf_dir)
         else:
             self.listens, now = adapters.listens_from_events(spark, sf_dir), EVENTS_NOW
             self.relation = adapters.relation_from_events(spark, sf_dir)
-        window = listen_table.recent_listens(self.listens, now, CONFIG.generation_window_days)
-        self.top = materialise(candidates.top_artists(window, CONFIG.top_artists_limit))
-        self.similar = materialise(candidates.similar_artists(self.relation, CONFIG.similar_artists_limit))
+        window = listen_table.recent_listens(self.listens, now, cfg.generation_window_days)
+        self.top = materialise(candidates.top_artists(window, cfg.top_artists_limit))
+        self.similar = materialise(candidates.similar_artists(self.relation, cfg.similar_artists_limit))
 
     @property
     def with_relation(self) -> DataFrame:
@@ -373,7 +376,7 @@ def similar_artists(spark, sf_dir):
 
 @registered
 def order_similar_artists(spark, sf_dir):
-    return _text(candidates.similar_artists(adapters.relation_from_orders(spark, sf_dir), CONFIG.similar_artists_limit))
+    return _text(candidates.similar_artists(adapters.relation_from_orders(spark, sf_dir), ORDER_CONFIG.similar_artists_limit))
 
 
 @registered
@@ -386,7 +389,7 @@ def top_artists(spark, sf_dir):
 @registered
 def order_top_artists(spark, sf_dir):
     """Top artists over the whole history, not only the window."""
-    return _text(candidates.top_artists(adapters.listens_from_orders(spark, sf_dir), CONFIG.top_artists_limit))
+    return _text(candidates.top_artists(adapters.listens_from_orders(spark, sf_dir), ORDER_CONFIG.top_artists_limit))
 
 
 @registered
@@ -457,41 +460,140 @@ def hash_split_counts(spark, sf_dir):
     return split.groupBy("split").agg(F.count("*").alias("row_count"), F.sum("count").alias("listens"))
 
 
-def _fit(spark: SparkSession, sf_dir: str, cfg: EngineConfig) -> tuple[_Candidates, tuple, als.GridResult]:
-    inputs = _Candidates(spark, sf_dir)
-    dims = _dims(inputs.listens)
-    split = materialise(als.hash_split(dimensions.playcounts(inputs.listens, *dims), cfg))
-    parts = [als.ratings(split.where(F.col("split") == name)).persist() for name in als.SPLITS[:2]]
-    try:
-        return inputs, dims, als.fit_grid(*parts, cfg)
-    finally:
-        for part in parts:
-            part.unpersist()
+class _Trained(_Candidates):
+    """The candidate sets over the events, the split of the play counts, and the winner of the whole grid."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__(spark, sf_dir)
+        self.users, self.recordings = map(materialise, _dims(self.listens))
+        counts = dimensions.playcounts(self.listens, self.users, self.recordings)
+        self.split = materialise(als.hash_split(counts, CONFIG))
+        parts = [als.ratings(self.part(name)).persist() for name in als.SPLITS[:2]]
+        try:
+            grid = als.fit_grid(*parts, CONFIG)
+        finally:
+            for part in parts:
+                part.unpersist()
+        path = scratch_path(spark)
+        grid.model.write().save(path)
+        self.grid, self.model = grid, als.load_model(path)
+
+    def part(self, name: str) -> DataFrame:
+        return self.split.where(F.col("split") == name).drop("split")
+
+    @property
+    def artists(self) -> DataFrame:
+        return dimensions.with_user_id(als.candidate_sets_union(self.with_relation, self.net_similar), self.users)
+
+    @property
+    def candidates(self) -> DataFrame:
+        dims = self.users, self.recordings
+        return als.candidate_sets_union(self.top_set(*dims), self.similar_set(*dims))
+
+
+_TRAINED: dict[tuple[str, str], _Trained] = {}
+
+
+def _trained(spark: SparkSession, sf_dir: str) -> _Trained:
+    """What the queries on a model share: it is trained and stored once in an application, as the jobs do."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _TRAINED:
+        _TRAINED.clear()
+        _TRAINED[key] = _Trained(spark, sf_dir)
+    return _TRAINED[key]
 
 
 @registered
 def als_model_runs(spark, sf_dir):
     """The whole grid of eight fits."""
-    return _fit(spark, sf_dir, CONFIG)[2].runs
-
-
-_ONE_FIT = replace(CONFIG, ranks=(8,), lambdas=(0.1,), iterations=(10,))
+    return _trained(spark, sf_dir).grid.runs
 
 
 @registered
 def als_recommendations(spark, sf_dir):
-    """Playlists of all users from stored candidates, by a single fit."""
-    inputs, dims, grid = _fit(spark, sf_dir, _ONE_FIT)
-    both = als.candidate_sets_union(inputs.top_set(*dims), inputs.similar_set(*dims))
-    return als.recommend(grid.model, both, dims[1], _ONE_FIT)
+    """Playlists of all users from stored candidates, by the winner of the grid."""
+    trained = _trained(spark, sf_dir)
+    return als.recommend(trained.model, trained.candidates, trained.recordings, CONFIG)
 
 
 @registered
 def als_artist_recommendations(spark, sf_dir):
     """The same playlists, scored while the candidates are expanded."""
-    inputs, (users, recordings), grid = _fit(spark, sf_dir, _ONE_FIT)
-    artists = als.candidate_sets_union(inputs.with_relation, inputs.net_similar)
-    return als.recommend_from_artists(grid.model, dimensions.with_user_id(artists, users), recordings, _ONE_FIT)
+    trained = _trained(spark, sf_dir)
+    return als.recommend_from_artists(trained.model, trained.artists, trained.recordings, CONFIG)
+
+
+@registered
+def als_normal_equations(spark, sf_dir):
+    """Users of the training data, with their ratings, whose published factors satisfy their normal equations."""
+    trained = _trained(spark, sf_dir)
+    training = als.ratings(trained.part(als.SPLITS[0]))
+    equations = als.normal_equations(trained.model, training, CONFIG.alpha, trained.grid.lmbda)
+    return equations.select(F.col("user_id").cast("bigint").alias("user_id"), "n_ratings", (F.col("residual") < 1e-3).alias("satisfied"))
+
+
+@registered
+def als_grid_audit(spark, sf_dir):
+    """Each fit with its rows of validation data, and whether the errors are those that the published factors give."""
+    trained = _trained(spark, sf_dir)
+    validation = als.ratings(trained.part(als.SPLITS[1]))
+    squared = F.pow(F.col("score") - F.col("count"), F.lit(2))
+    total = als.factor_scores(trained.model, validation).agg(F.sum(squared).alias("_squares"))
+    runs = trained.grid.runs.crossJoin(F.broadcast(total)).crossJoin(
+        F.broadcast(trained.grid.runs.agg(F.min("validation_rmse").alias("_least")))
+    )
+    error = F.sqrt(F.col("_squares") / F.col("n_validation"))
+    right = F.abs(error - F.col("validation_rmse")) < 1e-4 * error
+    return runs.select(
+        F.col("rank").cast("bigint").alias("rank"),
+        "lmbda",
+        F.col("num_iterations").cast("bigint").alias("num_iterations"),
+        "n_validation",
+        "n_scored",
+        F.when(F.col("best"), right & (F.col("validation_rmse") == F.col("_least"))).otherwise(True).alias("consistent"),
+    )
+
+
+def _playlist_audit(trained: _Trained, playlists: DataFrame) -> DataFrame:
+    """Per user and set: candidates the model knows, entries of the playlist, and whether ranks and scores are right and none better is left out."""
+    scored = als.factor_scores(trained.model, trained.candidates)
+    listed = playlists.select("user_id", "set", "recording_id", "rank", "rating")
+    keys = ["user_id", "set"]
+    both = scored.join(listed, [*keys, "recording_id"], "full")
+    found = both.groupBy(*keys).agg(
+        F.count("score").alias("n_candidates"),
+        F.count("rank").alias("n_listed"),
+        F.max("rank").alias("_last"),
+        F.count_distinct("rank").alias("_ranks"),
+        F.max(F.when(F.col("rank").isNotNull(), F.abs(F.col("score") - F.col("rating")))).alias("_off"),
+        F.min("rating").alias("_worst"),
+        F.max(F.when(F.col("rank").isNull(), F.col("score"))).alias("_best_left"),
+        F.count_if(F.col("score").isNull()).alias("_strange"),
+    )
+    return found.select(
+        F.col("user_id").cast("bigint").alias("user_id"),
+        "set",
+        "n_candidates",
+        "n_listed",
+        ((F.col("_last") == F.col("n_listed")) & (F.col("_ranks") == F.col("n_listed"))).alias("ranks_complete"),
+        ((F.col("_off") < 1e-4) & (F.col("_strange") == 0)).alias("scores_right"),
+        (F.coalesce("_best_left", "_worst") <= F.col("_worst") + 1e-5).alias("none_better"),
+    )
+
+
+@registered
+def als_recommendations_audit(spark, sf_dir):
+    """The playlists from stored candidates against all scores."""
+    trained = _trained(spark, sf_dir)
+    return _playlist_audit(trained, als_recommendations(spark, sf_dir))
+
+
+@registered
+def als_artist_recommendations_audit(spark, sf_dir):
+    """The playlists scored where candidates arise, artists cut into blocks of few recordings, against all scores."""
+    trained = _trained(spark, sf_dir)
+    cfg = replace(CONFIG, norm_block=2)
+    return _playlist_audit(trained, als.recommend_from_artists(trained.model, trained.artists, trained.recordings, cfg))
 
 
 # ---- requests
