@@ -1,0 +1,281 @@
+"""Builds beside each other, ids that stay, scratch that goes, undated rows by dump, and counts by month."""
+
+import json
+import threading
+from datetime import datetime
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from turntable.config import EngineConfig, Layout
+from turntable.errors import NotReady
+from turntable.operators import als, dimensions
+from turntable.plans import jobs
+from turntable.sources import builds
+from turntable.sources import listens as table
+from turntable.sources.tables import materialise, overwrite, read_table, scratch_root, scratch_scope
+from turntable.streaming import requests
+
+NOW = datetime(2019, 7, 15, 12)
+CFG = EngineConfig(ranks=(2,), lambdas=(0.1,), iterations=(3,), top_artists_limit=3, similar_artists_limit=3)
+
+
+def line(i, day, user=None):
+    artist = i % 7
+    return {
+        "artist_mbids": [], "artist_msid": f"a{artist}", "artist_name": f"artist {artist}",
+        "listened_at": f"2019-{day} 10:00:{i % 60:02d}", "recording_mbid": "", "recording_msid": f"r{artist}-{i % 3}",
+        "release_mbid": "", "release_msid": "", "release_name": "", "tags": [], "track_name": f"t{artist}-{i % 3}",
+        "user_name": user or f"user {i * 5 % 11}",
+    }
+
+
+def dump(folder, months, invalid=()):
+    (folder / "2019").mkdir(parents=True, exist_ok=True)
+    for month, rows in months.items():
+        (folder / "2019" / f"{month}.json").write_text("\n".join(map(json.dumps, rows)))
+    (folder / "invalid.json").write_text("\n".join(invalid))
+    return str(folder)
+
+
+def rooted(spark, root):
+    layout = Layout(str(root / "root"))
+    months = {month: [line(i, day) for i in range(150)] for month, day in ((1, "01-10"), (7, "07-12"))}
+    jobs.import_listens(spark, dump(root / "first", months), layout, "replace_months")
+    edges = [(f"artist {i}", f"artist {(i + 1) % 7}", 10 - i) for i in range(7)]
+    overwrite(spark.createDataFrame(edges, "artist_name_0 string, artist_name_1 string, count long"), layout.artists_relation)
+    return layout
+
+
+def files_below(*folders):
+    return {str(path) for folder in folders for path in Path(folder).rglob("*") if path.is_file()}
+
+
+@pytest.fixture(scope="module")
+def layout(spark, tmp_path_factory):
+    return rooted(spark, tmp_path_factory.mktemp("builds"))
+
+
+@pytest.fixture(scope="module")
+def two_builds(spark, layout, tmp_path_factory):
+    """A build with model and candidates, then one with users and recordings that sort before all others."""
+    before = files_below(scratch_root(spark))
+    first = jobs.create_dataframes(spark, layout, NOW, CFG)
+    jobs.train_models(spark, layout, CFG)
+    jobs.build_candidate_sets(spark, layout, NOW, CFG)
+    jobs.build_recommendations(spark, layout, CFG)
+    left = files_below(scratch_root(spark)) - before
+    bound = layout.of(first.model_id)
+    ids = {name: read_table(spark, path).collect() for name, path in (("users", bound.users), ("recordings", bound.recordings))}
+    new = [{**line(i, "05-03", f"a new user {i % 4}"), "track_name": f"a new track {i % 5}", "recording_msid": f"n{i % 5}"} for i in range(40)]
+    new += [{**line(i, "05-03"), "user_name": None} for i in range(3)]
+    jobs.import_listens(spark, dump(tmp_path_factory.mktemp("second"), {5: new}), layout, "replace_months")
+    second = jobs.create_dataframes(spark, layout, NOW, CFG)
+    return first, second, ids, left
+
+
+def test_jobs_leave_no_scratch(two_builds):
+    assert two_builds[3] == set()
+
+
+def test_ids_survive_a_rebuild(spark, layout, two_builds):
+    first, second, ids, _ = two_builds
+    now = {name: read_table(spark, path).collect() for name, path in (("users", layout.users), ("recordings", layout.recordings))}
+    assert second.users_count > first.users_count and second.recordings_count > first.recordings_count
+    for name, column in (("users", "user_id"), ("recordings", "recording_id")):
+        assert set(ids[name]) <= set(now[name])
+        numbers = [row[column] for row in now[name]]
+        assert sorted(numbers) == list(range(1, len(numbers) + 1))
+    # The model of the first build scores the second build's play counts of what it knows.
+    model = als.load_model(layout.model(first.model_id))
+    old, new = (read_table(spark, layout.of(build.model_id).playcounts) for build in (first, second))
+    both = old.join(new.select("user_id", "recording_id"), ["user_id", "recording_id"], "left_semi")
+    assert both.count() == old.count()
+    assert als.rmse(model, als.ratings(both)) == als.rmse(model, als.ratings(old))
+
+
+def test_ids_of_keys_with_nulls_stay(spark):
+    rows = spark.createDataFrame([(None, "x"), ("a", None), ("b", "y")], "k string, v string")
+    numbered, new = dimensions.kept_ids(rows, ["k", "v"], "id", spark.createDataFrame([], "k string, v string, id int"))
+    assert sorted(map(tuple, numbered.collect()), key=str) == sorted(map(tuple, new.collect()), key=str)
+    more = rows.union(spark.createDataFrame([(None, None), ("0", "0")], "k string, v string"))
+    again, only_new = dimensions.kept_ids(more, ["k", "v"], "id", new)
+    assert {row.id: (row.k, row.v) for row in only_new.collect()} == {4: (None, None), 5: ("0", "0")}
+    assert {tuple(row) for row in new.collect()} <= {tuple(row) for row in again.collect()}
+
+
+def test_recommendations_keep_to_the_build_of_their_model(spark, layout, two_builds):
+    first, second, _, _ = two_builds
+    assert builds.latest_model(spark, layout).model_id == first.model_id
+    assert builds.newest_build(layout) == second.model_id
+    jobs.build_recommendations(spark, layout, CFG)
+    names = {row.user_name for row in read_table(spark, layout.recommendation_status).collect()}
+    assert not any(name.startswith("a new") for name in names if name)
+    # Candidates of the newer build do not replace those of the model's build.
+    jobs.build_candidate_sets(spark, layout, NOW, CFG, expand=False)
+    assert builds.latest_candidate_run(spark, layout).model_id == second.model_id
+    jobs.build_recommendations(spark, layout, CFG)
+    assert {row.user_name for row in read_table(spark, layout.recommendation_status).collect()} == names
+
+
+def test_no_candidates_of_the_build_is_an_error(spark, layout, two_builds):
+    third = jobs.create_dataframes(spark, layout, NOW, CFG)
+    jobs.train_models(spark, layout, CFG)
+    with pytest.raises(NotReady, match="build_candidate_sets"):
+        jobs.build_recommendations(spark, layout, CFG)
+    with pytest.raises(NotReady):
+        builds.candidates_of(spark, Layout(str(layout.root) + "/none"), third.model_id)
+
+
+def test_a_rebuild_does_not_disturb_readers(spark, layout, two_builds):
+    """A frame planned on one build reads it to the end, while others are built and dropped but for the newest."""
+    bound = builds.bound(spark, layout)
+    users = read_table(spark, bound.users)
+    wanted = users.count()
+    worker = threading.Thread(target=jobs.create_dataframes, args=(spark, layout, NOW, CFG))
+    worker.start()
+    counts = [users.select("user_id").distinct().count() for _ in range(5)]
+    worker.join()
+    assert set(counts) == {wanted} and builds.newest_build(layout) != bound.build
+
+
+def test_old_builds_can_be_dropped(spark, layout, two_builds):
+    first, second, _, _ = two_builds
+    for _ in range(2):
+        jobs.create_dataframes(spark, layout, NOW, CFG)
+    dropped = jobs.drop_builds(spark, layout, keep=1)
+    assert {first.model_id, second.model_id} <= set(dropped)
+    kept = {path.name for path in Path(layout.root, "dataframes").iterdir()}
+    assert builds.newest_build(layout) in kept and builds.latest_model(spark, layout).model_id in kept and not kept & set(dropped)
+    assert read_table(spark, layout.users).count() > 0
+
+
+def test_steps_are_counted_and_timed_while_writing(spark, layout, two_builds):
+    _, second, _, _ = two_builds
+    steps = {row.step: row for row in read_table(spark, layout.build_steps).where(F.col("model_id") == second.model_id).collect()}
+    assert {name: row.row_count for name, row in steps.items()} == {
+        "users": second.users_count, "recordings": second.recordings_count, "playcounts": second.playcounts_count
+    }
+    assert all(row.seconds > 0 for row in steps.values())
+    assert second.listens_count == read_table(spark, layout.listens).where("year = 2019").count() == 343
+
+
+def test_scopes_own_what_is_written_in_them(spark):
+    root = scratch_root(spark)
+    before = files_below(root)
+    with scratch_scope(spark):
+        inner = materialise(spark.range(5))
+        with scratch_scope(spark):
+            assert materialise(spark.range(3)).count() == 3
+        assert inner.count() == 5 and files_below(root) != before
+        found = []
+        other = threading.Thread(target=lambda: found.append(materialise(spark.range(4))))
+        other.start()
+        other.join()
+    # What another thread has written meanwhile is not the scope's.
+    assert found[0].count() == 4
+    left = files_below(root) - before
+    assert left == {name for name in left if Path(name).parent.name in found[0].inputFiles()[0]}
+    with pytest.raises(ZeroDivisionError), scratch_scope(spark):
+        materialise(spark.range(5))
+        raise ZeroDivisionError
+    assert files_below(root) - before == left
+
+
+def test_ten_stream_batches_leave_no_scratch(spark, tmp_path):
+    rows = [("u1", "A", "a", ["m"], datetime(2019, 5, 1))]
+    listens = spark.createDataFrame(rows, "user_name string, artist_name string, artist_msid string, artist_mbids array<string>, listened_at timestamp")
+    registry = requests.default_registry(listens, datetime(2019, 6, 1), EngineConfig())
+    (tmp_path / "in").mkdir()
+    for i in range(10):
+        (tmp_path / "in" / f"{i}.txt").write_text('{"query": "stats.user.artists", "params": {"user_name": "u%d"}}\n' % i)
+    before = files_below(scratch_root(spark))
+    paths = [str(tmp_path / name) for name in ("in", "out", "state")]
+    requests.stream_requests(spark, paths[0], paths[1], registry, paths[2], files_per_batch=1).awaitTermination()
+    answered = requests.read_responses(spark, paths[1])
+    assert answered.select("batch_id").distinct().count() == 10 and answered.where("status = 'ok'").count() == 10
+    assert files_below(scratch_root(spark)) - before == set()
+
+
+def test_undated_rows_are_replaced_by_dump(spark, tmp_path):
+    layout = Layout(str(tmp_path / "root"))
+    bad = ["{no json"] * 3
+
+    def imported(name, month, invalid, **options):
+        folder = dump(tmp_path / name, {month: [line(1, f"{month:02d}-01")]}, invalid)
+        jobs.import_listens(spark, folder, layout, "replace_months", **options)
+        return table.read_invalid(spark, layout.listens).count(), table.read_listens(spark, layout.listens).where("month IS NOT NULL").count()
+
+    assert imported("january", 1, bad) == (3, 1)
+    assert imported("february", 2, bad) == (6, 2)
+    assert imported("february", 2, bad) == (6, 2)
+    assert imported("february", 2, [*bad, "{}"]) == (7, 2)
+    assert imported("january", 1, []) == (4, 2)
+    assert imported("february", 2, []) == (0, 2)
+    # The same folder may bring another dump.
+    assert imported("january", 1, bad, dump="one") == (3, 2)
+    assert imported("january", 1, bad, dump="two") == (6, 2)
+    assert [row.user_name for row in table.scan_months(table.read_listens(spark, layout.listens), datetime(2019, 1, 1), datetime(2019, 1, 1)).collect()] == ["user 5"]
+
+
+def test_monthly_counts_equal_all_listens(spark, tmp_path):
+    layout = rooted(spark, tmp_path)
+
+    def both():
+        whole = jobs.user_stats_all(table.read_listens(spark, layout.listens), NOW, CFG)
+        parts = jobs.user_stats_from_months(spark, layout, NOW, CFG)
+        return [sorted(map(str, df.select(sorted(df.columns)).collect())) for df in (whole, parts)]
+
+    assert jobs.refresh_monthly_counts(spark, layout) == [(2019, 1), (2019, 7)]
+    whole, parts = both()
+    assert whole == parts and len(whole) == 11
+    kept = files_below(f"{layout.monthly_artists}/year=2019/month=1")
+    other = {month: [line(i, f"{month:02d}-03", f"late {i % 3}") for i in range(60)] for month in (5, 7)}
+    jobs.import_listens(spark, dump(tmp_path / "second", other), layout, "replace_months")
+    assert jobs.refresh_monthly_counts(spark, layout) == [(2019, 5), (2019, 7)]
+    assert jobs.refresh_monthly_counts(spark, layout) == []
+    assert files_below(f"{layout.monthly_artists}/year=2019/month=1") == kept
+    whole, parts = both()
+    assert whole == parts
+    read = jobs.user_stats_from_months(spark, layout, NOW, CFG)
+    assert not any(layout.listens in name for name in read.inputFiles())
+
+
+def test_counting_a_month_reads_no_other(spark, tmp_path, monkeypatch):
+    layout = rooted(spark, tmp_path)
+    jobs.refresh_monthly_counts(spark, layout)
+    jobs.import_listens(spark, dump(tmp_path / "more", {5: [line(1, "05-01")]}), layout, "replace_months")
+    seen = []
+    counted = jobs.stats.monthly_artists
+    monkeypatch.setattr(jobs.stats, "monthly_artists", lambda listens: seen.append(listens) or counted(listens))
+    assert jobs.refresh_monthly_counts(spark, layout) == [(2019, 5)]
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "(month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert all("month=5" in name for name in seen[0].select(F.input_file_name()).distinct().toPandas().iloc[:, 0])
+
+
+def test_removed_months_lose_their_counts(spark, tmp_path):
+    layout = rooted(spark, tmp_path)
+    jobs.refresh_monthly_counts(spark, layout)
+    jobs.import_listens(spark, dump(tmp_path / "new", {3: [line(1, "03-01")]}), layout, "overwrite")
+    assert jobs.refresh_monthly_counts(spark, layout) == [(2019, 3)]
+    months = read_table(spark, layout.monthly_artists).select("month").distinct().collect()
+    assert [row.month for row in months] == [3]
+
+
+def test_hot_mbid_is_split(spark, many_tasks):
+    """An mbid with very many track names: the same play counts, by the split join."""
+    listens = spark.range(3000).select(
+        F.concat(F.lit("u"), F.col("id") % 30).alias("user_name"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("m"), F.col("id") % 50)).alias("recording_mbid"),
+        F.concat(F.lit("t"), F.col("id") % 900).alias("track_name"),
+    )
+    users, recordings = dimensions.users_dim(listens), dimensions.mbid_recordings_dim(listens)
+    found = dimensions.playcounts_by_mbid(listens, users, recordings)
+    wanted = (
+        listens.join(recordings.select("recording_mbid", "recording_id"), "recording_mbid").join(users, "user_name")
+        .groupBy("user_id", "recording_id").agg(F.count("*").alias("play_count")).select("play_count", "user_id", "recording_id")
+    )
+    assert recordings.where("recording_mbid = 'hot'").count() > dimensions._MANY_VARIANTS
+    assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 
@@ -36,9 +36,19 @@ class EngineConfig:
 
 @dataclass(frozen=True)
 class Layout:
-    """Where the jobs keep their tables, below one root folder."""
+    """Where the jobs keep their tables, below one root folder.
+
+    Each build of the dataframes has a folder of its own, named by its id, and so has each run that makes candidate
+    sets. A row of metadata, written last, makes it the newest. A layout may be bound to a build and a run; an unbound
+    one looks up the newest when a path is asked for, so a job binds its layout once and keeps reading the same tables.
+    """
 
     root: str
+    build: str | None = None
+    candidate_run: str | None = None
+
+    def of(self, build: str, candidate_run: str | None = None) -> Layout:
+        return replace(self, build=build, candidate_run=candidate_run)
 
     @property
     def listens(self) -> str:
@@ -48,37 +58,58 @@ class Layout:
     def artists_relation(self) -> str:
         return f"{self.root}/artists_relation"
 
+    def _of_build(self, table: str) -> str:
+        from turntable.sources.builds import newest_build
+
+        return f"{self.root}/dataframes/{self.build or newest_build(self)}/{table}"
+
     @property
     def users(self) -> str:
-        return f"{self.root}/dataframes/users"
+        return self._of_build("users")
 
     @property
     def recordings(self) -> str:
-        return f"{self.root}/dataframes/recordings"
+        return self._of_build("recordings")
 
     @property
     def playcounts(self) -> str:
-        return f"{self.root}/dataframes/playcounts"
+        return self._of_build("playcounts")
+
+    @property
+    def build_steps(self) -> str:
+        return f"{self.root}/dataframes_steps"
+
+    def ids(self, dimension: str) -> str:
+        return f"{self.root}/ids/{dimension}"
+
+    @property
+    def candidate_runs(self) -> str:
+        return f"{self.root}/candidate_runs"
+
+    def _of_candidates(self, table: str) -> str:
+        from turntable.sources.builds import newest_candidate_run
+
+        return f"{self.root}/candidate_sets/{self.candidate_run or newest_candidate_run(self)}/{table}"
 
     @property
     def top_artist_set(self) -> str:
-        return f"{self.root}/candidate_sets/top_artist"
+        return self._of_candidates("top_artist")
 
     @property
     def similar_artist_set(self) -> str:
-        return f"{self.root}/candidate_sets/similar_artist"
+        return self._of_candidates("similar_artist")
 
     @property
     def candidate_artists(self) -> str:
-        return f"{self.root}/candidate_sets/artists"
+        return self._of_candidates("artists")
 
     @property
     def user_status(self) -> str:
-        return f"{self.root}/candidate_sets/user_status"
+        return self._of_candidates("user_status")
 
     @property
     def similar_artist_report(self) -> str:
-        return f"{self.root}/candidate_sets/similar_artist_report"
+        return self._of_candidates("similar_artist_report")
 
     @property
     def model_metadata(self) -> str:
@@ -98,3 +129,11 @@ class Layout:
     @property
     def recommendation_status(self) -> str:
         return f"{self.root}/recommendations/user_status"
+
+    @property
+    def monthly_artists(self) -> str:
+        return f"{self.root}/monthly/artists"
+
+    @property
+    def counted_months(self) -> str:
+        return f"{self.root}/monthly/counted"

@@ -11,13 +11,16 @@ from turntable.sources.tables import materialise
 
 RECORDING_KEYS = ["track_name", "recording_msid", "artist_name", "artist_msid", "release_name", "release_msid"]
 
-# Metadata variants of one msid up to which its play counts are joined without splitting.
+# Metadata variants of one msid or mbid up to which its play counts are joined without splitting.
 _MANY_VARIANTS = 100
 
 
+USER_KEYS = ["user_name"]
+
+
 def users_dim(listens: DataFrame) -> DataFrame:
     """Distinct users, numbered in name order."""
-    return dense_id(listens.select("user_name").distinct(), ["user_name"], "user_id")
+    return dense_id(listens.select(*USER_KEYS).distinct(), USER_KEYS, "user_id")
 
 
 def recordings_dim(listens: DataFrame) -> DataFrame:
@@ -25,6 +28,24 @@ def recordings_dim(listens: DataFrame) -> DataFrame:
     return dense_id(listens.select(*RECORDING_KEYS).distinct(), RECORDING_KEYS, "recording_id")
 
 
+def kept_ids(rows: DataFrame, keys: list[str], id_column: str, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`rows`, one per key, with the ids that `known` has for their keys, and ids above all of these for new ones.
+
+    Returns the numbered rows and, of these, the keys and ids that `known` does not have. New keys are numbered in key
+    order; NULL is a key like any other. An id once given stays, so a saved model fits every later build.
+    """
+    same = [F.col(f"_row.{key}").eqNullSafe(F.col(f"_known.{key}")) for key in keys]
+    meets = same[0]
+    for one in same[1:]:
+        meets = meets & one
+    found = rows.alias("_row").join(known.select(*keys, id_column).alias("_known"), meets, "left")
+    found = materialise(found.select("_row.*", F.col(f"_known.{id_column}").alias(id_column)))
+    new = found.where(F.col(id_column).isNull()).drop(id_column)
+    highest = known.agg(F.max(id_column)).first()[0] or 0
+    numbered = materialise(dense_id(new, keys, id_column, first=highest + 1).select(*found.columns))
+    return found.where(F.col(id_column).isNotNull()).unionByName(numbered), numbered.select(*keys, id_column)
+
+
 def user_ids(names: DataFrame, users: DataFrame) -> DataFrame:
     """Ids of the requested `user_name`s that exist."""
     return names.select("user_name").distinct().join(users.select("user_name", "user_id"), "user_name")
@@ -56,12 +77,7 @@ def playcounts(listens: DataFrame, users: DataFrame, recordings: DataFrame) -> D
         .agg(F.count("*").alias("count"))
     )
     named = counted.join(users.select("user_name", "user_id"), "user_name").drop("user_name")
-    variants = recordings.select("recording_msid", "recording_id")
-    most = variants.groupBy("recording_msid").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-    if most > _MANY_VARIANTS:
-        joined = fan_out_join(materialise(named), variants, "recording_msid")
-    else:
-        joined = named.join(variants, "recording_msid")
+    joined = _with_variants(named, recordings.select("recording_msid", "recording_id"), "recording_msid")
     return joined.select("user_id", "recording_id", "count")
 
 
@@ -72,18 +88,26 @@ def mbid_recordings_dim(listens: DataFrame) -> DataFrame:
 
 
 def playcounts_by_mbid(listens: DataFrame, users: DataFrame, recordings: DataFrame) -> DataFrame:
-    """Listens per user id and recording id, matched by recording mbid; sorted by user and count."""
+    """Listens per user id and recording id, matched by recording mbid; sorted by user and count.
+
+    An mbid with several track names counts under each, like an msid with several variants in `playcounts`.
+    """
     counted = (
         listens.where(F.col("user_name").isNotNull() & F.col("recording_mbid").isNotNull())
         .groupBy("user_name", "recording_mbid")
         .agg(F.count("*").alias("play_count"))
     )
-    return (
-        counted.join(users.select("user_name", "user_id"), "user_name")
-        .join(recordings.select("recording_mbid", "recording_id"), "recording_mbid")
-        .select("play_count", "user_id", "recording_id")
-        .orderBy("user_id", F.desc("play_count"), "recording_id")
-    )
+    named = counted.join(users.select("user_name", "user_id"), "user_name").drop("user_name")
+    joined = _with_variants(named, recordings.select("recording_mbid", "recording_id"), "recording_mbid")
+    return joined.select("play_count", "user_id", "recording_id").orderBy("user_id", F.desc("play_count"), "recording_id")
+
+
+def _with_variants(counts: DataFrame, variants: DataFrame, key: str) -> DataFrame:
+    """Counts joined with all variants of their recording; with very many of one, its output is split by size."""
+    most = variants.groupBy(key).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    if most > _MANY_VARIANTS:
+        return fan_out_join(materialise(counts), variants, key)
+    return counts.join(variants, key)
 
 
 def playcount_audit(

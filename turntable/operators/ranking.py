@@ -44,10 +44,10 @@ def _spread_sorted(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     return materialise(tagged.drop("_tag"))
 
 
-def dense_id(df: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:
-    """Number the rows of `df` from 1 in the order of `keys`, NULLs first, as an int.
+def dense_id(df: DataFrame, keys: Sequence[str], id_column: str, first: int = 1) -> DataFrame:
+    """Number the rows of `df` from `first` in the order of `keys`, NULLs first, as an int.
 
-    Equals `row_number() over (order by keys)` without its single partition. `keys` must order
+    Equals `row_number() over (order by keys)`, counted on, without its single partition. `keys` must order
     the rows totally. Fails above the largest int, which is what ALS can take as an id.
     """
     tagged = _spread_sorted(df, keys)
@@ -55,7 +55,7 @@ def dense_id(df: DataFrame, keys: Sequence[str], id_column: str) -> DataFrame:
     # One row per partition: small enough for one window and for a broadcast at any scale.
     before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(*_BEFORE))
     starts = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_start"))
-    number = F.col("_start") + F.col("_row") + 1
+    number = F.col("_start") + F.col("_row") + first
     too_many = F.raise_error(F.lit(f"{id_column} exceeds {_MAX_INT}"))
     return tagged.join(F.broadcast(starts), "_part").select(
         *df.columns, F.when(number <= _MAX_INT, number).otherwise(too_many).cast("int").alias(id_column)

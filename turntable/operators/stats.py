@@ -42,6 +42,16 @@ def user_releases(listens: DataFrame) -> DataFrame:
     return _listen_counts(listens, RELEASE_COLUMNS, "release_msid")
 
 
+def monthly_artists(listens: DataFrame) -> DataFrame:
+    """Listens per month, user and artist: partial counts that add up to those of any window of months."""
+    return listens.groupBy("year", "month", "user_name", *ARTIST_COLUMNS).agg(F.count("artist_name").alias("listen_count"))
+
+
+def merged_artists(partial: DataFrame) -> DataFrame:
+    """`user_artists` from partial counts."""
+    return partial.groupBy("user_name", *ARTIST_COLUMNS).agg(F.sum("listen_count").alias("listen_count"))
+
+
 def nest_by_user(counts: DataFrame, entries: str, size: str, page_size: int = 10_000) -> DataFrame:
     """One list of entries per user, most listened first, with the number of the user's entries.
 

@@ -99,6 +99,28 @@ MODEL_RUN = _struct(
     ("best", T.BooleanType(), False),
 )
 
+#: One run that made candidate sets from the build `model_id`.
+CANDIDATE_RUN = _struct(
+    ("run_id", _STRING, False),
+    ("model_id", _STRING, False),
+    ("created", _TIMESTAMP, False),
+)
+
+#: What one step of a build wrote, and how long it took.
+BUILD_STEP = _struct(
+    ("model_id", _STRING, False),
+    ("step", _STRING, False),
+    ("row_count", T.LongType(), False),
+    ("seconds", T.DoubleType(), False),
+)
+
+#: Months whose partial counts are stored, with a digest of the names of the files they were counted from.
+COUNTED_MONTH = _struct(
+    ("year", _INT, True),
+    ("month", _INT, True),
+    ("files", _STRING, False),
+)
+
 #: Listens of the second data set, keyed by mbid.
 MBID_LISTEN = _struct(
     ("listened_at", _TIMESTAMP, True),

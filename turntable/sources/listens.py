@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 
 from turntable.errors import InvalidWindow, PathNotFound, WriteError
 from turntable.schemas import LISTEN, LISTEN_TABLE, RAW_LISTEN
-from turntable.sources.tables import read_table
+from turntable.sources.tables import drop_path, materialise, read_table, scratch_scope
 
 _NO_STRINGS = "array<string>"
+_NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder of rows without a partition value
 
 
 def parse_raw_listens(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -69,11 +70,12 @@ def with_month(listens: DataFrame) -> DataFrame:
     return listens.withColumn("year", F.year(time)).withColumn("month", F.month(time))
 
 
-def read_dump(spark: SparkSession, json_dir: str) -> DataFrame:
+def read_dump(spark: SparkSession, json_dir: str, dump: str | None = None) -> DataFrame:
     """Flat listens of a dump, bucketed by file name as `<year>/<month>.json`.
 
     Rows of any other file, such as `invalid.json`, and rows without a readable time get no year
-    and month. Times without a zone are UTC, whatever the session's zone.
+    and month. Times without a zone are UTC, whatever the session's zone. Each row carries the name of its dump,
+    the folder unless another is given.
     """
     rows = (
         spark.read.schema(LISTEN)
@@ -88,7 +90,17 @@ def read_dump(spark: SparkSession, json_dir: str) -> DataFrame:
         found = F.regexp_extract("_file", r"/(\d{4})/(\d{1,2})\.json$", group)
         return F.when(F.col("listened_at").isNotNull(), F.nullif(found, F.lit("")).cast("int"))
 
-    return rows.withColumn("year", part(1)).withColumn("month", part(2)).drop("_file")
+    dated = rows.withColumn("year", part(1)).withColumn("month", part(2)).drop("_file")
+    return of_dump(dated, dump or json_dir)
+
+
+def of_dump(listens: DataFrame, dump: str) -> DataFrame:
+    """Listens with the name of the dump they come from."""
+    return listens.withColumn("dump", F.lit(dump.rstrip("/")))
+
+
+def _undated() -> Column:
+    return F.col("year").isNull() | F.col("month").isNull()
 
 
 def write_listens(listens: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -96,18 +108,37 @@ def write_listens(listens: DataFrame, path: str, mode: str = "errorifexists") ->
 
     `mode="overwrite"` reloads the whole table; `mode="replace_months"` replaces only the months
     present in `listens`. Rows without a month are kept in the table's null partition, which
-    `scan_months` prunes and `read_invalid` returns; replacing months adds those that the table
-    does not hold yet, so that neither earlier ones are lost nor a repeated import doubles them. The rebalance groups each month's rows for
+    `scan_months` prunes and `read_invalid` returns. There, rows are replaced by dump: those of the dumps in `listens`
+    go, those of others stay, so neither are earlier ones lost nor does a repeated import double them. Rows that
+    carry no dump are added if the table does not hold them yet. The rebalance groups each month's rows for
     the writer and splits a month that is too large for one task. Within a file, rows are sorted
     by user, so that a query for one user skips most row groups; the writer has to sort by month
     anyway.
     """
-    if mode == "replace_months":
-        undated = F.col("year").isNull() | F.col("month").isNull()
-        _write_months(listens.where(~undated), path, mode)
-        _write_months(_not_held(listens.where(undated), path), path, "append")
-    else:
+    if mode != "replace_months":
         _write_months(listens, path, mode)
+    elif "dump" in listens.columns:
+        with scratch_scope(listens.sparkSession):
+            _replace_months(listens, path)
+    else:
+        _write_months(listens.where(~_undated()), path, mode)
+        _write_months(_not_held(listens.where(_undated()), path), path, "append")
+
+
+def _replace_months(listens: DataFrame, path: str) -> None:
+    """Replace months, and in the null partition the rows of the same dumps; other rows there are written again."""
+    spark = listens.sparkSession
+    try:
+        held = read_table(spark, path, T.StructType([*LISTEN_TABLE.fields, T.StructField("dump", T.StringType())]))
+    except PathNotFound:
+        return _write_months(listens, path, "replace_months")
+    dumps = materialise(listens.select("dump").distinct())
+    undated = held.where(_undated())
+    others = materialise(undated.join(dumps, undated["dump"].eqNullSafe(dumps["dump"]), "left_anti"))
+    if others.isEmpty() and listens.where(_undated()).isEmpty():
+        # A partition that nothing is written to would stay as it is.
+        drop_path(spark, f"{path}/year={_NO_PARTITION}")
+    _write_months(listens.unionByName(others.select(listens.columns)), path, "replace_months")
 
 
 def _not_held(undated: DataFrame, path: str) -> DataFrame:
@@ -115,7 +146,7 @@ def _not_held(undated: DataFrame, path: str) -> DataFrame:
         held = read_table(undated.sparkSession, path, undated.schema)
     except PathNotFound:
         return undated
-    return undated.exceptAll(held.where(F.col("year").isNull() | F.col("month").isNull()))
+    return undated.exceptAll(held.where(_undated()))
 
 
 def _write_months(listens: DataFrame, path: str, mode: str) -> None:
@@ -141,7 +172,7 @@ def read_listens(spark: SparkSession, path: str) -> DataFrame:
 
 def read_invalid(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the listen table that belong to no month."""
-    return read_listens(spark, path).where(F.col("year").isNull() | F.col("month").isNull()).drop("year", "month")
+    return read_listens(spark, path).where(_undated()).drop("year", "month")
 
 
 def instant(listens: DataFrame, moment: datetime, column: str = "listened_at") -> Column:

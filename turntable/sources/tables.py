@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,24 +73,65 @@ def run_sql(spark: SparkSession, text: str, args: dict | None = None, **tables:
         raise QueryError(f"cannot run\n{text}\n{err}") from err
 
 
+#: Temporary scratch folders of local sessions, by application.
+_own_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the session's `spark.checkpoint.dir`.
 
     Only a local session may go without the setting; it then gets a temporary folder of its own.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_roots.get(spark.sparkContext.applicationId)
+    root = root or spark.sparkContext.getCheckpointDir()
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise TurntableError("set spark.checkpoint.dir to a folder that every executor can reach")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="turntable-"))
-    return spark.sparkContext.getCheckpointDir()
+    root = _own_roots[spark.sparkContext.applicationId] = tempfile.mkdtemp(prefix="turntable-")
+    spark.sparkContext.setCheckpointDir(root)
+    return root
+
+
+def _application_root(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/turntable/{spark.sparkContext.applicationId}"
+
+
+_open_scopes = threading.local()
 
 
 def scratch_path(spark: SparkSession) -> str:
-    """A new path below this application's folder in the scratch root."""
-    application = spark.sparkContext.applicationId
-    return f"{scratch_root(spark)}/turntable/{application}/{uuid.uuid4().hex}"
+    """A new path below the innermost scratch scope of this thread, or below this application's folder in the scratch root."""
+    scopes = getattr(_open_scopes, "paths", [])
+    return f"{scopes[-1] if scopes else _application_root(spark)}/{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, if it is there, wherever Spark keeps it."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, checkpoints: bool = False) -> Iterator[None]:
+    """Own the scratch tables that this thread writes inside, and with `checkpoints` what Spark checkpoints: all go at the end.
+
+    For jobs whose results are written elsewhere before the block ends. A frame that still reads a scratch table must
+    not leave it. Checkpoints belong to the whole application, so of several jobs at a time one may own them.
+    """
+    path = f"{_application_root(spark)}/scope-{uuid.uuid4().hex}"
+    scopes = _open_scopes.__dict__.setdefault("paths", [])
+    scopes.append(path)
+    if checkpoints:
+        spark.sparkContext.setCheckpointDir(f"{path}/checkpoints")
+    try:
+        yield
+    finally:
+        scopes.remove(path)
+        if checkpoints:
+            # Spark keeps an own folder below the one it is given; later checkpoints must not go to one that is gone.
+            spark.sparkContext.setCheckpointDir(scratch_root(spark))
+        drop_path(spark, path)
 
 
 def materialise(df: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from turntable.config import EngineConfig
 from turntable.operators import stats
 from turntable.plans.jobs import user_stats_all
-from turntable.sources.tables import materialise, overwrite
+from turntable.sources.tables import materialise, overwrite, scratch_scope
 
 log = logging.getLogger(__name__)
 
@@ -125,8 +125,13 @@ def dispatch(requests: DataFrame, registry: Registry, out_path: str, batch_id: i
     All requests of a query are answered by one job, whatever their number, into
     `results/batch_id=<n>/query=<name>`; responses go to `responses/batch_id=<n>` and refer to results by
     key. Running a batch again replaces its output. Only the names of the queries asked for, at most those
-    of the registry, pass through the driver.
+    of the registry, pass through the driver. Scratch tables go when the batch is answered.
     """
+    with scratch_scope(requests.sparkSession):
+        return _dispatch(requests, registry, out_path, batch_id)
+
+
+def _dispatch(requests: DataFrame, registry: Registry, out_path: str, batch_id: int) -> DataFrame:
     spark = requests.sparkSession
     classified = materialise(classify(requests, registry))
     valid = classified.where(F.col("status") == OK)
