@@ -185,6 +185,13 @@ _PLAYLIST_AUDIT = (
 )
 
 
+def _kept(keys: list[str], number: str) -> str:
+    """Keys of the listens up to a day numbered first, those that come later after them."""
+    names = ", ".join(keys)
+    return f"""SELECT {names}, row_number() OVER (ORDER BY first_day >= TIMESTAMP '1998-06-15', {names}) AS {number}
+  FROM (SELECT {names}, min(listened_at) AS first_day FROM listens GROUP BY {names})"""
+
+
 def _status(requested: str) -> str:
     return f"""SELECT user_name,
        CASE WHEN user_name NOT IN (SELECT user_name FROM users) THEN 'unknown_user'
@@ -275,6 +282,16 @@ ORACLES: dict[str, str] = {
     "artist_popularity_csv": _with(_EVENT_LISTENS)
     + """SELECT nullif(artist_mbids, '') AS artist_mbid, count(nullif(artist_mbids, '')) AS cnt
   FROM listens GROUP BY 1""",
+    "artist_popularity_order": _with(_EVENT_LISTENS)
+    + """SELECT *, row_number() OVER (ORDER BY cnt DESC, artist_mbid NULLS FIRST) AS position
+  FROM (SELECT nullif(artist_mbids, '') AS artist_mbid, count(nullif(artist_mbids, '')) AS cnt FROM listens GROUP BY 1)""",
+    "order_stats_from_months": _with(
+        _ORDER_LISTENS.replace("JOIN supplier ON l_suppkey = s_suppkey", "JOIN supplier ON l_suppkey = s_suppkey"
+                               " WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-07-01'")
+    )
+    + _pages(
+        _counts(_ARTIST, "artist_name"), _nulls_first(_ARTIST), "artist_stats", "artist_count", "artist_name", 10000
+    ),
     "month_range_scan": _with(_ORDER_LISTENS) + f"SELECT {_TEXT_COLUMNS} FROM listens WHERE {_TRAINING_MONTHS}",
     "month_table_scan": _with(_ORDER_LISTENS) + f"SELECT {_TEXT_COLUMNS} FROM listens WHERE {_TRAINING_MONTHS}",
     "recent_listens": _with(_EVENT_LISTENS)
@@ -316,6 +333,18 @@ SELECT o_orderkey,
     "mbid_playcount_audit": _with(_EVENT_LISTENS, _MBID)
     + """SELECT play_count, user_name, user_id, recording_id, track_name
   FROM playcounts JOIN users USING (user_id) JOIN recordings USING (recording_id)""",
+    "mbid_playcounts_order": _with(_EVENT_LISTENS, _MBID)
+    + "SELECT *, row_number() OVER (ORDER BY user_id, play_count DESC, recording_id) AS position FROM playcounts",
+    "mbid_playcount_audit_order": _with(_EVENT_LISTENS, _MBID)
+    + """SELECT play_count, user_name, user_id, recording_id, track_name,
+       row_number() OVER (ORDER BY play_count DESC, user_id, recording_id) AS position
+  FROM playcounts JOIN users USING (user_id) JOIN recordings USING (recording_id)""",
+    "mbid_playcount_audit_of_user": _with(_EVENT_LISTENS, _MBID)
+    + """SELECT play_count, user_name, user_id, recording_id, track_name
+  FROM playcounts JOIN users USING (user_id) JOIN recordings USING (recording_id) WHERE user_name = 'user_1'""",
+    "order_users_kept_ids": _with(_ORDER_LISTENS) + _kept(["user_name"], "user_id"),
+    "order_recordings_kept_ids": _with(_ORDER_LISTENS)
+    + _kept(["track_name", "recording_msid", "artist_name", "artist_msid", "release_name", "release_msid"], "recording_id"),
     "table_counts": _with(_EVENT_LISTENS, _USERS, _RECORDINGS, _PLAYCOUNTS)
     + """SELECT 'listens' AS table_name, count(*) AS row_count FROM listens
 UNION ALL SELECT 'users', count(*) FROM users

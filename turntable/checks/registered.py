@@ -9,9 +9,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turntable.config import EngineConfig
+from turntable.config import EngineConfig, Layout
 from turntable.functions import dates
 from turntable.operators import als, candidates, dimensions, stats
+from turntable.operators.ranking import dense_id, positions
 from turntable.plans import jobs
 from turntable.sources import adapters
 from turntable.sources import listens as listen_table
@@ -121,6 +122,34 @@ def order_user_releases(spark, sf_dir):
     return _text(stats.user_releases(adapters.listens_from_orders(spark, sf_dir)))
 
 
+def _in_order(df: DataFrame) -> DataFrame:
+    """Rows of a sorted frame with the position at which they come."""
+    # The ids rise from row to row and from partition to partition.
+    tagged = materialise(df.withColumn("_came", F.monotonically_increasing_id()))
+    return positions(tagged, [], [F.asc("_came")], size="_size").drop("_came", "_size")
+
+
+@registered
+def artist_popularity_order(spark, sf_dir):
+    """The ranking with the place of each row."""
+    return _in_order(stats.artist_popularity(adapters.mbid_listens_from_events(spark, sf_dir)))
+
+
+@registered
+def order_stats_from_months(spark, sf_dir):
+    """Statistics up to a month from partial counts, of which one month is counted anew after it has been replaced."""
+    layout = Layout(scratch_path(spark))
+    listens = materialise(listen_table.with_month(adapters.listens_from_orders(spark, sf_dir)))
+    listen_table.write_listens(listens, layout.listens)
+    jobs.refresh_monthly_counts(spark, layout)
+    replaced = listens.where((F.col("year") == ORDERS_NOW.year) & (F.col("month") == 1))
+    listen_table.write_listens(replaced, layout.listens, "replace_months")
+    jobs.refresh_monthly_counts(spark, layout)
+    cfg = replace(ORDER_CONFIG, stats_epoch=datetime(1997, 1, 1))
+    nested = jobs.user_stats_from_months(spark, layout, ORDERS_NOW, cfg)
+    return _flat_pages(nested, "artist_stats", "artist_name")
+
+
 # ---- listen scans and projections
 
 
@@ -296,6 +325,41 @@ def mbid_playcount_audit(spark, sf_dir):
     return _text(dimensions.playcount_audit(counts, users, recordings))
 
 
+@registered
+def mbid_playcounts_order(spark, sf_dir):
+    """The play counts with the place of each row."""
+    return _text(_in_order(jobs.playcounts_by_mbid(adapters.listens_from_events(spark, sf_dir), 2024)[2]))
+
+
+@registered
+def mbid_playcount_audit_order(spark, sf_dir):
+    users, recordings, counts = jobs.playcounts_by_mbid(adapters.listens_from_events(spark, sf_dir), 2024)
+    return _text(_in_order(dimensions.playcount_audit(counts, users, recordings)))
+
+
+@registered
+def mbid_playcount_audit_of_user(spark, sf_dir):
+    users, recordings, counts = jobs.playcounts_by_mbid(adapters.listens_from_events(spark, sf_dir), 2024)
+    return _text(dimensions.playcount_audit(counts, users, recordings, "user_1"))
+
+
+def _kept(spark: SparkSession, sf_dir: str, keys: list[str], id_column: str) -> DataFrame:
+    """Ids of all keys where those of the orders up to a day had been numbered before."""
+    listens = _stored_orders(spark, sf_dir)
+    early = dense_id(listens.where(F.col("listened_at") < ORDERS_NOW).select(*keys).distinct(), keys, id_column)
+    return dimensions.kept_ids(listens.select(*keys).distinct(), keys, id_column, materialise(early))[0]
+
+
+@registered
+def order_users_kept_ids(spark, sf_dir):
+    return _text(_kept(spark, sf_dir, dimensions.USER_KEYS, "user_id"))
+
+
+@registered
+def order_recordings_kept_ids(spark, sf_dir):
+    return _text(_kept(spark, sf_dir, dimensions.RECORDING_KEYS, "recording_id"))
+
+
 @registered
 def table_counts(spark, sf_dir):
     """Row counts of what the dataframe job writes."""
