@@ -7,10 +7,12 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from tests.llm.drawn import all_code_points, drawn_texts
-from turntable.llm.bpe_stream import Transducer, Word, decode_documents, digests, encode_documents
+from turntable.llm.bpe_stream import PATTERN, Transducer, Word, decode_documents, digests, encode_documents
+from turntable.llm.classes import in_ascii
 from turntable.llm.queries import QUERIES
 from turntable.llm.records import Encoder, RecordError, masked_crc32c, read_at, read_index, read_records, write_records
 from turntable.llm.token_counts import PrefixCounts, count_tokens, fit_budgets, prefix_table
@@ -44,6 +46,14 @@ def test_every_code_point_as_the_library_has_it(library):
     assert [text[:50] for text, one in zip(some, n, strict=True) if counts.total(text) != one] == []
 
 
+def test_patterns_in_ascii():
+    draw = random.Random(6)
+    for pattern in (PATTERN, public_tokenizers.PATTERN, r"[^\s\p{L}\]x]+|\p{N}"):
+        for _ in range(300):
+            text = "".join(chr(draw.choice([*range(128), 32, 32, 39, 97, 115])) for _ in range(40))
+            assert in_ascii(pattern).findall(text) == regex.findall(pattern, text)
+
+
 def test_lookahead_is_enough():
     """Nothing that follows changes the boundaries in front of the lookahead, and words of any length keep to it."""
     transducer, draw = Transducer(WORDS), random.Random(8)
