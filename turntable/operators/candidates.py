@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -128,10 +130,11 @@ def user_status(
         (SIMILAR_ARE_TOP, net_similar),
         (NO_SIMILAR_RECORDINGS, playable),
     ]
-    status = requested.select("user_name").distinct()
+    # One bit for each step at which a user is present: one aggregate and one join, however many steps.
+    present = [step.select("user_name", F.lit(1 << at).alias("_step")) for at, (_, step) in enumerate(steps)]
+    seen = reduce(DataFrame.unionByName, present).groupBy("user_name").agg(F.bit_or("_step").alias("_steps"))
     outcome = F.lit(COMPLETE)
-    for reason, step in reversed(steps):
-        present = step.select("user_name").distinct().withColumn(f"_{reason}", F.lit(True))
-        status = status.join(present, "user_name", "left")
-        outcome = F.when(F.col(f"_{reason}").isNull(), reason).otherwise(outcome)
-    return status.select("user_name", outcome.alias("status"))
+    for at, (reason, _) in reversed(list(enumerate(steps))):
+        missing = F.coalesce("_steps", F.lit(0)).bitwiseAND(1 << at) == 0
+        outcome = F.when(missing, reason).otherwise(outcome)
+    return requested.select("user_name").distinct().join(seen, "user_name", "left").select("user_name", outcome.alias("status"))
