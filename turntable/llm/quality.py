@@ -193,9 +193,9 @@ def quality_rules(
             lambda spaced: _let(F.array_remove(F.split(spaced, " "), ""), lambda words: rules(spaced, words)),
         )
 
-    plain = df.withColumn(output, _let(content, judged))
-    failed = (F.col(output)["n_words"] < MIN_WORDS) | (
-        100 * F.col(output)["n_repeat_words"] > MAX_REPEATED_PERCENT * F.col(output)["n_words"]
-    )
-    kept = ~failed & (F.col(output)["score"] >= THRESHOLD)
-    return plain.withColumn(output, F.col(output).withField("base_failed", failed).withField("kept", kept))
+    def verdict(found: Column) -> Column:
+        failed = (found["n_words"] < MIN_WORDS) | (100 * found["n_repeat_words"] > MAX_REPEATED_PERCENT * found["n_words"])
+        return found.withField("base_failed", failed).withField("kept", ~failed & (found["score"] >= THRESHOLD))
+
+    # The verdict is part of the one expression: a filter on it that is pushed below the column would work all of it out again for each part.
+    return df.withColumn(output, _let(content, lambda text: _let(judged(text), verdict)))
