@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 BATCH_ROWS = 2_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 KNOWN_BYTES = 64 << 20
 ENTRY_BYTES = 180  # of a dictionary's entry beside the contents of its key and value
 
@@ -79,10 +79,12 @@ class Known(dict):
 
     def unknown(self, keys: Iterable[Any]) -> list[Any]:
         """Those of different keys that neither generation has; the others can now be looked up."""
-        asked = set(keys).difference(self)
-        again = asked.intersection(self._last)
-        self.add({key: self._last[key] for key in again})
-        return list(asked.difference(again))
+        new = [key for key in set(keys) if key not in self]
+        again = {key: self._last[key] for key in new if key in self._last}
+        if again:
+            self.add(again)
+            new = [key for key in new if key not in again]
+        return new
 
     def add(self, made: dict[Any, Any]) -> None:
         """Keep new results, whose keys and values have a length in bytes or characters."""

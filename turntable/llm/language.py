@@ -26,7 +26,7 @@ TRAIN_CHARACTERS = 6_000
 ADDED = 0.1  # to the count of each trigram
 ROUNDS = 10
 SET_ROUNDS = 4
-WORDS_AT_ONCE = 200_000
+CHARACTERS_AT_ONCE = 1_000_000
 UNKNOWN = "und"
 
 # Letters and the marks on them; other numbers and signs are no letters.
@@ -137,10 +137,11 @@ class Mixtures:
     def shares(self, texts: list[str]) -> list[list[tuple[str, float]]]:
         """For each text its languages with their shares, the largest first; none without letters."""
         out: list[list[tuple[str, float]]] = [[] for _ in texts]
-        split = [(i, words) for i, text in enumerate(texts) if (words := letters_of(text))] if self.names else []
-        for block in blocks_of([len(words) for _, words in split], WORDS_AT_ONCE):
-            for (i, _), found in zip(split[block], self._mixtures([words for _, words in split[block]]), strict=True):
-                out[i] = found
+        for block in blocks_of(list(map(len, texts)), CHARACTERS_AT_ONCE) if self.names else ():
+            split = [(i, words) for i, text in enumerate(texts[block], block.start) if (words := letters_of(text))]
+            if split:
+                for (i, _), found in zip(split, self._mixtures([words for _, words in split]), strict=True):
+                    out[i] = found
         return out
 
     def _mixtures(self, texts: list[list[str]]) -> list[list[tuple[str, float]]]:

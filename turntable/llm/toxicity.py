@@ -40,8 +40,8 @@ NEAR_BEST = 2.0
 DECAY = 0.02
 CALIBRATED_BY = 5  # one training text in so many sets the scale of the scores only
 RATE = 0.01
-SCORED_AT_ONCE = 4_096
-WORDS_AT_ONCE = 200_000
+SCORED_AT_ONCE = 2_048
+CHARACTERS_AT_ONCE = 500_000
 
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # an odd constant that spreads code points over the bits
@@ -340,9 +340,8 @@ class Scorer:
 
     def texts(self, texts: list[str]) -> np.ndarray:
         """The highest score of all windows of each text; 0 without words."""
-        split = [words_of(text) for text in texts]
-        blocks = blocks_of([len(words) for words in split], WORDS_AT_ONCE)
-        return np.concatenate([np.zeros(0), *(self._block(split[block]) for block in blocks)])
+        blocks = blocks_of(list(map(len, texts)), CHARACTERS_AT_ONCE)
+        return np.concatenate([np.zeros(0), *(self._block([words_of(text) for text in texts[block]]) for block in blocks)])
 
     def _block(self, texts: list[list[str]]) -> np.ndarray:
         ids = self._words.numbers(texts)
