@@ -36,16 +36,21 @@ _PAIRS = """
 """
 
 #: One contraction a step. `best` of a word is its leftmost pair of minimum rank: rank, place and size of the left half in one number.
-LEFTMOST = f"""
+LEFTMOST = """
 WITH RECURSIVE state(word, pos, token, done, highest) AS (
     SELECT word, pos, token, false, -1 FROM symbols
     UNION ALL (
-        WITH pairs AS (SELECT *, id::BIGINT * 549755813888 + pos::BIGINT * 256 + size AS pair FROM ({_PAIRS})),
+        WITH still AS (SELECT word, pos, token, highest FROM state WHERE NOT done),
+        neighbours AS (SELECT word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS following FROM still),
+        pairs AS (
+            SELECT word, id::BIGINT * 549755813888 + pos::BIGINT * 256 + size AS pair
+            FROM neighbours JOIN merges ON a = token AND b = following
+        ),
         bests AS (SELECT word, min(pair) AS best FROM pairs GROUP BY word),
         named AS (SELECT word, best >> 39 AS made, (best >> 8) & 2147483647 AS place, best & 255 AS size FROM bests)
         SELECT word, pos, CASE WHEN pos = place THEN made::INTEGER ELSE token END, made IS NULL, greatest(highest, coalesce(made, -1)::INTEGER)
-        FROM pairs JOIN named USING (word)
-        WHERE made IS NULL OR pos <> place + named.size
+        FROM still LEFT JOIN named USING (word)
+        WHERE made IS NULL OR pos <> place + size
     )
 )
 SELECT word, list(token ORDER BY pos) AS tokens, max(highest) AS highest FROM state WHERE done GROUP BY word ORDER BY word
