@@ -602,11 +602,10 @@ def als_grid_audit(spark, sf_dir):
     trained = _trained(spark, sf_dir)
     validation = als.ratings(trained.part(als.SPLITS[1]))
     squared = F.pow(F.col("score") - F.col("count"), F.lit(2))
-    total = als.factor_scores(trained.model, validation).agg(F.sum(squared).alias("_squares"))
-    runs = trained.grid.runs.crossJoin(F.broadcast(total)).crossJoin(
-        F.broadcast(trained.grid.runs.agg(F.min("validation_rmse").alias("_least")))
-    )
-    error = F.sqrt(F.col("_squares") / F.col("n_validation"))
+    squares = als.factor_scores(trained.model, validation).agg(F.sum(squared)).first()[0]
+    runs = trained.grid.runs
+    least = runs.agg(F.min("validation_rmse")).first()[0]
+    error = F.sqrt(F.lit(squares) / F.col("n_validation"))
     right = F.abs(error - F.col("validation_rmse")) < 1e-4 * error
     return runs.select(
         F.col("rank").cast("bigint").alias("rank"),
@@ -614,7 +613,7 @@ def als_grid_audit(spark, sf_dir):
         F.col("num_iterations").cast("bigint").alias("num_iterations"),
         "n_validation",
         "n_scored",
-        F.when(F.col("best"), right & (F.col("validation_rmse") == F.col("_least"))).otherwise(True).alias("consistent"),
+        F.when(F.col("best"), right & (F.col("validation_rmse") == least)).otherwise(True).alias("consistent"),
     )
 
 
