@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turntable.llm.classes import Pieces, tokenizers_members
-from turntable.llm.common import KNOWN_BYTES, Known, of_worker, ready_workers
+from turntable.llm.common import Known, of_worker, ready_workers
 
 # Fixed values of the record format: the reversed polynomial of CRC-32C, and the mask of stored checksums.
 _POLYNOMIAL = 0x82F63B78
@@ -36,7 +36,9 @@ _HEAD = struct.Struct("<QI")
 _OWN = struct.Struct("<qB")
 _BLOCK = 4096
 READ_BYTES = 4 << 20
-CACHED = KNOWN_BYTES // 2  # bytes of each generation of chunks and of parts
+# Bytes of a generation of known chunks, and of their parts. Texts are mostly made of some 500,000 chunks, which are best kept together.
+CACHED_CHUNKS = 100 << 20
+CACHED_PARTS = 64 << 20
 INDEX = "doc_id bigint, part int, file string, place bigint, offset bigint, size bigint, n_tokens bigint"
 
 _PART = regex.compile(r"(?s)(?:\P{L}*+\p{L}++)+?(?!\p{M})|.+")
@@ -113,7 +115,7 @@ class Encoder:
         self._folds = normal is not None and normal.normalize_str("AZ") == "az"
         # What is a letter here need not be one to the library, whose Unicode version is its own.
         self._differs = Pieces(r"\p{L}", tokenizers_members).differs
-        self._chunks, self._parts = Known(limit=CACHED), Known(limit=CACHED)
+        self._chunks, self._parts = Known(limit=CACHED_CHUNKS), Known(limit=CACHED_PARTS)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.width == 2 else "I"
@@ -146,12 +148,11 @@ class Encoder:
         raw = [text.encode() for text in texts]
         if self._folds:  # special strings would come to be by folding
             raw = [one if b"<|" in one else one.lower() for one in raw]
-        known, out = self._chunks, []
-        for chunks in (one.split() for one in raw):
-            if missing := known.unknown(chunks):
-                known.add(self._fill(missing))
-            out.append(b"".join([known[chunk] for chunk in chunks]))
-            known.trim()
+        known, split = self._chunks, [one.split() for one in raw]
+        if missing := known.unknown(chain.from_iterable(split)):
+            known.add(self._fill(missing))
+        out = [b"".join([known[chunk] for chunk in chunks]) for chunks in split]
+        known.trim()
         return out
 
 
