@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from turntable.llm.bytelevel import Merges, spelled
 from turntable.llm.classes import Pieces, tokenizers_members
-from turntable.llm.common import ENTRY_BYTES, KNOWN_BYTES, map_batches, of_worker, texts_of
+from turntable.llm.common import ENTRY_BYTES, map_batches, of_worker, texts_of
 
 # The pieces that a byte-level vocabulary of this kind never merges across, and the white
 # space its pattern means (Python's own class also holds U+001C to U+001F).
@@ -26,7 +26,7 @@ _BLANKS = regex.compile(rf"[{_SPACE}]+")
 _PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+"
 
 CACHED_CHARACTERS = 40
-CACHED = KNOWN_BYTES // (ENTRY_BYTES + CACHED_CHARACTERS) // 2
+CACHED = (100 << 20) // (ENTRY_BYTES + CACHED_CHARACTERS)  # runs, and as many pieces
 
 
 class PrefixCounts:
