@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turntable.llm.classes import Pieces, tokenizers_members
-from turntable.llm.common import Known, of_worker, ready_workers
+from turntable.llm.common import of_worker, ready_workers
 
 # Fixed values of the record format: the reversed polynomial of CRC-32C, and the mask of stored checksums.
 _POLYNOMIAL = 0x82F63B78
@@ -36,9 +36,10 @@ _HEAD = struct.Struct("<QI")
 _OWN = struct.Struct("<qB")
 _BLOCK = 4096
 READ_BYTES = 4 << 20
-# Bytes of a generation of known chunks, and of their parts. Texts are mostly made of some 500,000 chunks, which are best kept together.
-CACHED_CHUNKS = 100 << 20
-CACHED_PARTS = 64 << 20
+# Some 42 to 150 MB of a worker in all; no other operator's tables stay beside them.
+CACHED_CHUNKS = 1_000_000
+CACHED_PARTS = 700_000
+CACHED_BYTES = 48
 INDEX = "doc_id bigint, part int, file string, place bigint, offset bigint, size bigint, n_tokens bigint"
 
 _PART = regex.compile(r"(?s)(?:\P{L}*+\p{L}++)+?(?!\p{M})|.+")
@@ -115,7 +116,8 @@ class Encoder:
         self._folds = normal is not None and normal.normalize_str("AZ") == "az"
         # What is a letter here need not be one to the library, whose Unicode version is its own.
         self._differs = Pieces(r"\p{L}", tokenizers_members).differs
-        self._chunks, self._parts = Known(limit=CACHED_CHUNKS), Known(limit=CACHED_PARTS)
+        self._chunks: dict[bytes, bytes] = {}
+        self._parts: dict[str, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.width == 2 else "I"
@@ -134,12 +136,14 @@ class Encoder:
         for chunk in chunks:
             text = chunk.decode()
             split[chunk] = _PART.findall(text) if self._divisible(text) else [text]
-        known = self._parts
-        new = known.unknown(chain.from_iterable(split.values()))
-        known.add(dict(zip(new, self._ids(new), strict=True)))
-        made = {chunk: b"".join([known[part] for part in parts]) for chunk, parts in split.items()}
-        known.trim()
-        return made
+        own = set(chain.from_iterable(split.values()))
+        new = list(own.difference(self._parts))
+        ids = {part: self._parts[part] for part in own.difference(new)}
+        ids.update(zip(new, self._ids(new), strict=True))
+        if len(self._parts) + len(new) > CACHED_PARTS:
+            self._parts.clear()
+        self._parts.update((part, ids[part]) for part in new[:CACHED_PARTS] if len(part) <= CACHED_BYTES)
+        return {chunk: b"".join([ids[part] for part in parts]) for chunk, parts in split.items()}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, `width` bytes each."""
@@ -148,11 +152,20 @@ class Encoder:
         raw = [text.encode() for text in texts]
         if self._folds:  # special strings would come to be by folding
             raw = [one if b"<|" in one else one.lower() for one in raw]
-        known, split = self._chunks, [one.split() for one in raw]
-        if missing := known.unknown(chain.from_iterable(split)):
-            known.add(self._fill(missing))
-        out = [b"".join([known[chunk] for chunk in chunks]) for chunks in split]
-        known.trim()
+        split = [one.split() for one in raw]
+        known = self._chunks
+        out = []
+        for chunks in split:
+            missing = set(chunks).difference(known)
+            if missing:
+                if len(known) + len(missing) > CACHED_CHUNKS:
+                    known.clear()
+                    missing = set(chunks)
+                known.update(self._fill(list(missing)))
+            out.append(b"".join([known[chunk] for chunk in chunks]))
+            for chunk in missing:
+                if len(chunk) > CACHED_BYTES:
+                    del known[chunk]
         return out
 
 
