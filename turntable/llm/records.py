@@ -154,18 +154,16 @@ class Encoder:
             raw = [one if b"<|" in one else one.lower() for one in raw]
         split = [one.split() for one in raw]
         known = self._chunks
-        out = []
-        for chunks in split:
-            missing = set(chunks).difference(known)
-            if missing:
-                if len(known) + len(missing) > CACHED_CHUNKS:
-                    known.clear()
-                    missing = set(chunks)
-                known.update(self._fill(list(missing)))
-            out.append(b"".join([known[chunk] for chunk in chunks]))
-            for chunk in missing:
-                if len(chunk) > CACHED_BYTES:
-                    del known[chunk]
+        missing = set().union(*split).difference(known)
+        if missing:
+            if len(known) + len(missing) > CACHED_CHUNKS:
+                known.clear()
+                missing = set().union(*split)
+            known.update(self._fill(list(missing)))
+        out = [b"".join([known[chunk] for chunk in chunks]) for chunks in split]
+        for chunk in missing:
+            if len(chunk) > CACHED_BYTES:
+                del known[chunk]
         return out
 
 
