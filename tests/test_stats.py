@@ -81,3 +81,21 @@ def test_popularity_keeps_the_unknown_artist_with_zero(spark):
     rows = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,), (None,)], "artist_mbid string")
     ranking = [tuple(row) for row in stats.artist_popularity(rows).collect()]
     assert ranking == [("a", 2), ("b", 1), (None, 0)]
+
+
+def test_lists_that_a_task_holds_are_cut_there(spark, monkeypatch):
+    """Lists longer than a page are sorted over many tasks only if one task cannot hold them; the pages are the same."""
+    counts = many_artists(spark).cache()
+
+    def pages():
+        nested = stats.nest_by_user(counts, "artists", "artist_count", page_size=10)
+        return sorted((tuple(row) for row in nested.collect()), key=str)
+
+    placed, sorted_lists = stats.positions, []
+    monkeypatch.setattr(stats, "positions", lambda *args, **named: sorted_lists.append(1) or placed(*args, **named))
+    in_tasks = pages()
+    assert not sorted_lists
+    monkeypatch.setattr(stats, "_ONE_TASK", 20)
+    assert pages() == in_tasks and len(sorted_lists) == 1
+    monkeypatch.setattr(stats, "_ONE_TASK", 1)
+    assert pages() == in_tasks and len(sorted_lists) == 2

@@ -52,26 +52,37 @@ def merged_artists(partial: DataFrame) -> DataFrame:
     return partial.groupBy("user_name", *ARTIST_COLUMNS).agg(F.sum("listen_count").alias("listen_count"))
 
 
+# Entries of one user up to which a task makes all pages of the list, as it makes a page of the default size.
+_ONE_TASK = 10_000
+
+
 def nest_by_user(counts: DataFrame, entries: str, size: str, page_size: int = 10_000) -> DataFrame:
     """One list of entries per user, most listened first, with the number of the user's entries.
 
     A list longer than `page_size` continues on the user's next page, so no row and no task
-    holds an unbounded list; other users have page 0 only. `counts` comes from `user_artists`,
+    holds an unbounded list; other users have page 0 only. A list that one task can hold is cut into
+    its pages there; only a longer one is sorted over many tasks. `counts` comes from `user_artists`,
     `user_recordings` or `user_releases`. Ties are ordered by the entry's columns.
     """
+    most = max(page_size, _ONE_TASK)
     counts = materialise(counts)
     sizes = counts.groupBy("user_name").agg(F.count("*").alias("_size"))
-    long_lists = materialise(sizes.where(F.col("_size") > page_size).select(F.col("user_name").alias("_user")))
+    long_lists = materialise(sizes.where(F.col("_size") > most).select(F.col("user_name").alias("_user")))
     columns = [name for name in counts.columns if name not in ("user_name", "listen_count")]
 
     def one_list(*sort_key: Column) -> Column:
-        placed = F.sort_array(F.collect_list(F.struct(*sort_key, F.struct(*columns, "listen_count").alias("entry"))))
-        return F.transform(placed, lambda item: item["entry"]).alias(entries)
+        # Each column once: the sort key is made of the entry, whose count leads with its sign changed.
+        placed = F.sort_array(F.collect_list(F.struct(*sort_key, (-F.col("listen_count")).alias("_less"), *columns)))
+        entry = lambda item: F.struct(*[item[name].alias(name) for name in columns], (-item["_less"]).alias("listen_count"))
+        return F.transform(placed, entry).alias(entries)
 
     def whole(rows: DataFrame) -> DataFrame:
-        nested = one_list((-F.col("listen_count")).alias("_less"), *columns)
-        lists = rows.groupBy("user_name").agg(nested, F.count("*").alias(size))
-        return lists.select("user_name", F.lit(0).alias("page"), entries, size)
+        lists = rows.groupBy("user_name").agg(one_list(), F.count("*").alias(size))
+        if page_size >= most:
+            return lists.select("user_name", F.lit(0).alias("page"), entries, size)
+        last = F.floor((F.col(size) - 1) / page_size).cast("int")
+        paged = lists.withColumn("page", F.explode(F.sequence(F.lit(0), last)))
+        return paged.select("user_name", "page", F.slice(entries, F.col("page") * page_size + 1, page_size).alias(entries), size)
 
     if long_lists.isEmpty():
         return whole(counts)
