@@ -199,3 +199,11 @@ def test_model_round_trip(grid, split, tmp_path):
     grid.model.write().overwrite().save(path)
     loaded = als.load_model(path)
     assert als.rmse(loaded, split["test"]) == pytest.approx(als.rmse(grid.model, split["test"]))
+
+
+def test_blocks_hold_enough_ids():
+    """A hundred recordings fill three blocks, however many ratings there are: more would only copy the users' factors."""
+    assert als._side_blocks(20_000_000, 100, CFG) == 3
+    assert als._side_blocks(20_000_000, 540_000, CFG) == als.als_blocks(20_000_000, CFG) == 21
+    assert als._side_blocks(10, 3, CFG) == 1
+    assert als._side_blocks(10**10, 100, replace(CFG, als_blocks=7)) == 7
