@@ -22,6 +22,12 @@ def test_undirected_keeps_reciprocal_edges_of_other_counts(spark):
     assert candidates.undirected(relation).count() == 4
 
 
+def test_undirected_with_missing_names_and_loops(spark):
+    edges = [("A", None, 1), (None, "A", 1), (None, None, 2), (None, None, 2), ("B", "B", 3), ("B", "A", 4), ("A", "B", 4), ("A", "B", None)]
+    both = candidates.undirected(spark.createDataFrame(edges, RELATION)).collect()
+    assert sorted(map(tuple, both), key=str) == sorted({way for a, b, n in edges for way in ((a, b, n), (b, a, n))}, key=str)
+
+
 def test_one_name_under_several_msids_takes_several_places(spark):
     plays = [("u", "A", "a1")] * 3 + [("u", "A", "a2")] * 2 + [("u", "B", "b")]
     top = candidates.top_artists(spark.createDataFrame(plays, LISTEN), 2)
