@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.drawn import all_code_points, drawn_texts
 from turntable.llm.bpe_stream import PATTERN, Transducer, Word, decode_documents, digests, encode_documents
-from turntable.llm.classes import in_ascii
+from turntable.llm.classes import holds_any, in_ascii
 from turntable.llm.queries import QUERIES
 from turntable.llm.records import Encoder, RecordError, masked_crc32c, read_at, read_index, read_records, write_records
 from turntable.llm.token_counts import PrefixCounts, count_tokens, fit_budgets, prefix_table
@@ -54,6 +55,29 @@ def test_patterns_in_ascii():
             assert in_ascii(pattern).findall(text) == regex.findall(pattern, text)
 
 
+def test_characters_are_looked_up_whatever_their_plane():
+    """A search costs much the same for one character and for thousands of ranges that reach beyond the first plane."""
+    draw = random.Random(9)
+    for span in (range(0x80, 0xD800, 50), range(0x10000, 0x30000, 50), range(0x80, 0x30000, 50), ()):
+        characters = {chr(code) for code in span if not 0xD800 <= code < 0xE000}
+        holds = holds_any(characters)
+        for _ in range(300):
+            text = "".join(chr(draw.choice([65, draw.randrange(0x80, 0x800), draw.randrange(0x10000, 0x11000)])) for _ in range(draw.randint(0, 9)))
+            assert holds(text) == (not characters.isdisjoint(text))
+
+    def took(holds, text):
+        times = []
+        for _ in range(5):
+            start = time.process_time()
+            assert not holds(text)
+            times.append(time.process_time() - start)
+        return min(times)
+
+    many, one = holds_any(chr(code) for code in range(0xE000, 0x30000, 50)), holds_any("\U0010ffff")
+    for text in ("é" * 100_000, "é" * 100_000 + "\U0001f44d" * 1000):
+        assert took(many, text) < 20 * took(one, text) + 0.001
+
+
 def test_lookahead_is_enough():
     """Nothing that follows changes the boundaries in front of the lookahead, and words of any length keep to it."""
     transducer, draw = Transducer(WORDS), random.Random(8)

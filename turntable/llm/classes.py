@@ -16,6 +16,7 @@ import regex
 
 CLASSES = (r"\p{L}", r"\p{N}", r"\s")
 _IN_ASCII = {r"\p{L}": "a-zA-Z", r"\p{N}": "0-9"}
+_HIGH = re.compile("[\U00010000-\U0010ffff]")
 
 
 @lru_cache(maxsize=1)
@@ -35,13 +36,28 @@ def listed(characters: Iterable[str]) -> str:
     return "".join(rf"\U{low:08x}-\U{high:08x}" for low, high in runs)
 
 
-def holds_any(characters: Iterable[str]) -> Callable[[str], bool]:
-    """Whether a text holds one of some characters, none of them ASCII."""
+def _search(characters: Iterable[str]) -> Callable[[str], object]:
+    """Where a text holds one of some characters first, or None."""
     inside = listed(characters)
-    if not inside:
-        return lambda text: False
-    search = re.compile(f"[{inside}]").search
-    return lambda text: not text.isascii() and search(text) is not None
+    return re.compile(f"[{inside}]").search if inside else lambda text: None
+
+
+def holds_any(characters: Iterable[str]) -> Callable[[str], bool]:
+    """Whether a text holds one of some characters, none of them ASCII.
+
+    Python's expressions look a character up in a class of the first plane, but go through the ranges of a class that
+    reaches beyond it one by one. Only characters beyond that plane are therefore asked of such a class, each once.
+    """
+    characters = set(characters)
+    low = _search(one for one in characters if one < "\U00010000")
+    high = _search(one for one in characters if one >= "\U00010000")
+
+    def holds(text: str) -> bool:
+        if text.isascii():
+            return False
+        return low(text) is not None or high("".join(set(_HIGH.findall(text)))) is not None
+
+    return holds
 
 
 def in_ascii(pattern: str) -> re.Pattern[str]:
