@@ -1,8 +1,10 @@
 """Token counts, the word transducer and binary records against the library."""
 
+import gc
 import hashlib
 import random
 import time
+import weakref
 import zlib
 
 import numpy as np
@@ -13,6 +15,7 @@ from tokenizers import Tokenizer
 
 from tests.llm.drawn import all_code_points, drawn_texts
 from turntable.llm.bpe_stream import PATTERN, Transducer, Word, decode_documents, digests, encode_documents
+from turntable.llm.bytelevel import Merges
 from turntable.llm.classes import holds_any, in_ascii
 from turntable.llm.queries import QUERIES
 from turntable.llm.records import Encoder, RecordError, masked_crc32c, read_at, read_index, read_records, write_records
@@ -200,3 +203,13 @@ def test_queries(spark, sf_dir, library):
         assert row.n_tokens == len(own)
         assert row.ids_sha256 == hashlib.sha256(" ".join(map(str, own)).encode()).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(library.decode(own, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_merges_go_with_their_operator():
+    """What a worker has of a vocabulary is freed when another operator drops it."""
+    merges = Merges(WORDS)
+    assert "the</w>" in merges.whole()
+    held = weakref.ref(merges)
+    del merges
+    gc.collect()
+    assert held() is None

@@ -31,6 +31,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 BLOCK = 256
 SEGMENT = 1 << 16  # characters of a text that are cut into pieces at once, up to the next white space
+KNOWN_PIECES = 32 << 20  # bytes of each of two generations of known pieces
 _BLANK = re.compile(r"\s")
 
 
@@ -144,7 +145,7 @@ class Transducer:
         self._special = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self._fold = Folding(Tokenizer.from_file(file).normalizer.normalize_str)
         self._pieces = Pieces(PATTERN, tokenizers_members)
-        self._known = Known(self._piece)
+        self._known = Known(self._piece, KNOWN_PIECES)
         raw = {number: self._raw(number) for number in self.merges.spelling}
         self._bytes = [raw.get(number, b"") for number in range(max(raw) + 1)]
         self._spelled = [self.merges.spelling.get(number, "").encode() for number in range(max(raw) + 1)]

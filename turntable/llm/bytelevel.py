@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from functools import lru_cache
 
 
 def _alphabet() -> list[str]:
@@ -91,7 +90,6 @@ class Merges:
             self.known_beside[key] = apart
         return apart
 
-    @lru_cache(maxsize=None)  # noqa: B019  one object per file and worker
     def whole(self) -> dict[str, int]:
         """The tokens that their own symbols merge into; others never come out of the merge list."""
         reached: dict[int, bool] = {}

@@ -6,6 +6,7 @@ import ctypes
 import gc
 import os
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from functools import lru_cache
 from pathlib import Path
 from typing import Any
 
@@ -36,14 +37,15 @@ def ready_workers(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
-def _give_back() -> None:
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], Any]:
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda pad: None)  # not every allocator has it
+
+
+def give_back() -> None:
     """Return freed memory to the system, which counts it against the executor otherwise."""
-    gc.collect()
     pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except AttributeError:  # an allocator without it
-        pass
+    _trim()(0)
 
 
 def of_worker(build: Callable[..., Any], *key: Any) -> Any:
@@ -54,8 +56,10 @@ def of_worker(build: Callable[..., Any], *key: Any) -> Any:
     """
     if (build, *key) not in _held:
         _held.clear()
-        _give_back()
+        gc.collect()
+        give_back()
         _held[build, *key] = build(*key)
+        give_back()
     return _held[build, *key]
 
 
@@ -143,13 +147,19 @@ def blocks_of(sizes: Sequence[int], most: int) -> Iterator[slice]:
 
 
 def map_batches(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: StructType | str) -> DataFrame:
-    """`work` over each Arrow batch of `df`; it returns a batch of `schema`, or None for no rows."""
+    """`work` over each Arrow batch of `df`; it returns a batch of `schema`, or None for no rows.
+
+    What a batch needed goes back to the system before the next one: a worker keeps it otherwise, also while it waits for a task.
+    """
     ready_workers(df.sparkSession)
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows and (out := work(batch)) is not None:
+            out = work(batch) if batch.num_rows else None
+            if out is not None:
                 yield out
+            out = batch = None
+            give_back()
 
     return df.mapInArrow(each, schema)
 
