@@ -213,3 +213,22 @@ def test_merges_go_with_their_operator():
     del merges
     gc.collect()
     assert held() is None
+
+
+def test_short_parts_go_to_the_library_together():
+    class Counted(Encoder):
+        asked = 0
+
+        def _ids(self, texts):
+            self.asked += len(texts)
+            return super()._ids(texts)
+
+    draw = random.Random(3)
+    words = {"".join(draw.choices("abcdefghéüñ", k=draw.randint(3, 9))) for _ in range(4000)}
+    some = [*(f"{word}," for word in words), "a 0 b", "0", "00", "x0y", "\u0338a", "a\u0338b", "\xa0", "<|endoftext|>", "İ,", "क़,", "z" * 500]
+    encoder = Counted(WORDS)
+    before = encoder.asked
+    found = [np.frombuffer(ids, "<u2").tolist() for ids in encoder.encode(some)]
+    library = Tokenizer.from_file(WORDS)
+    assert found == [one.ids for one in library.encode_batch(some, add_special_tokens=False)]
+    assert encoder.asked - before < len(words) / 20

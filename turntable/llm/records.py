@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import struct
+import sys
 import unicodedata
 import uuid
 from array import array
@@ -42,7 +43,10 @@ CACHED_PARTS = 700_000
 CACHED_BYTES = 48
 INDEX = "doc_id bigint, part int, file string, place bigint, offset bigint, size bigint, n_tokens bigint"
 
-_PART = regex.compile(r"(?s)(?:\P{L}*+\p{L}++)+?(?!\p{M})|.+")
+# Chunks hold no line break, so many of them are cut into parts at once, one line each.
+_PART = regex.compile(r"(?:[^\p{L}\n]*+\p{L}++)+?(?!\p{M})|[^\n]+|\n")
+AT_ONCE = 256  # chunks that are cut together, and parts that the library gets as one text
+_BETWEEN = "0"  # the piece between two of these; parts that hold it go alone
 
 
 class RecordError(ValueError):
@@ -118,6 +122,7 @@ class Encoder:
         self._differs = Pieces(r"\p{L}", tokenizers_members).differs
         self._chunks: dict[bytes, bytes] = {}
         self._parts: dict[str, bytes] = {}
+        self._between = self._ids([_BETWEEN])[0]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.width == 2 else "I"
@@ -130,16 +135,54 @@ class Encoder:
             return False
         return text.isascii() or ("İ" not in text and unicodedata.is_normalized("NFC", text) and not self._differs(text))
 
+    def _ids_of_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of texts that white space may be put around; short ones go to the library many at a time.
+
+        A known piece stands between two of these. Where its id does not come out as often, they go one by one.
+        """
+        ids: dict[str, bytes] = {}
+        alone = [part for part in parts if len(part) > CACHED_BYTES or _BETWEEN in part or "<" in part]
+        if len(self._between) != self.width:
+            alone = parts
+        short = list(set(parts).difference(alone))
+        groups = [short[at : at + AT_ONCE] for at in range(0, len(short), AT_ONCE)]
+        for group, raw in zip(groups, self._ids([f"\n{_BETWEEN}\n".join(group) for group in groups]), strict=True):
+            at = np.flatnonzero(np.frombuffer(raw, dtype=f"u{self.width}") == int.from_bytes(self._between, sys.byteorder))
+            if len(at) == len(group) - 1:
+                ends = [*(at * self.width).tolist(), len(raw)]
+                starts = [0, *((at + 1) * self.width).tolist()]
+                ids.update((part, raw[start:end]) for part, start, end in zip(group, starts, ends, strict=True))
+            else:
+                alone += group
+        ids.update(zip(alone, self._ids(alone), strict=True))
+        return [ids[part] for part in parts]
+
+    def _split(self, chunks: list[bytes]) -> Iterator[list[str]]:
+        """The parts of each chunk."""
+        for at in range(0, len(chunks), AT_ONCE):
+            some = chunks[at : at + AT_ONCE]
+            lines = b"\n".join(some).decode()
+            if not self._divisible(lines):
+                for chunk in some:
+                    text = chunk.decode()
+                    yield _PART.findall(text) if self._divisible(text) else [text]
+                continue
+            parts: list[str] = []
+            for part in _PART.findall(lines):
+                if part == "\n":
+                    yield parts
+                    parts = []
+                else:
+                    parts.append(part)
+            yield parts
+
     def _fill(self, chunks: list[bytes]) -> dict[bytes, bytes]:
         """Ids of chunks not met before."""
-        split = {}
-        for chunk in chunks:
-            text = chunk.decode()
-            split[chunk] = _PART.findall(text) if self._divisible(text) else [text]
+        split = dict(zip(chunks, self._split(chunks), strict=True))
         own = set(chain.from_iterable(split.values()))
         new = list(own.difference(self._parts))
         ids = {part: self._parts[part] for part in own.difference(new)}
-        ids.update(zip(new, self._ids(new), strict=True))
+        ids.update(zip(new, self._ids_of_parts(new), strict=True))
         if len(self._parts) + len(new) > CACHED_PARTS:
             self._parts.clear()
         self._parts.update((part, ids[part]) for part in new[:CACHED_PARTS] if len(part) <= CACHED_BYTES)
@@ -160,7 +203,7 @@ class Encoder:
                 known.clear()
                 missing = set().union(*split)
             known.update(self._fill(list(missing)))
-        out = [b"".join([known[chunk] for chunk in chunks]) for chunks in split]
+        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
         for chunk in missing:
             if len(chunk) > CACHED_BYTES:
                 del known[chunk]
