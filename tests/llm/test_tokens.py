@@ -9,12 +9,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from tokenizers import Tokenizer
 
 from tests.llm.drawn import all_code_points, drawn_texts
 from turntable.llm.bpe_stream import PATTERN, Transducer, Word, decode_documents, digests, encode_documents
+from turntable.llm import records
 from turntable.llm.bytelevel import Merges
 from turntable.llm.classes import holds_any, in_ascii
 from turntable.llm.queries import QUERIES
@@ -232,3 +234,40 @@ def test_short_parts_go_to_the_library_together():
     library = Tokenizer.from_file(WORDS)
     assert found == [one.ids for one in library.encode_batch(some, add_special_tokens=False)]
     assert encoder.asked - before < len(words) / 20
+
+
+def test_words_go_to_the_library_with_nothing_between():
+    class Counted(Encoder):
+        given = 0
+
+        def _ids(self, texts):
+            ids = super()._ids(texts)
+            self.given += sum(map(len, ids)) // self.width
+            return ids
+
+    letters = "abcdefghijklmnopqrstuvwxyzéü"
+    words = [a + b for a in letters for b in letters]
+    encoder = Counted(WORDS)
+    before = encoder.given
+    found = encoder.encode([" ".join(f"{word}," for word in words)])
+    wanted = Tokenizer.from_file(WORDS).encode(" ".join(f"{word}," for word in words), add_special_tokens=False).ids
+    assert np.frombuffer(found[0], "<u2").tolist() == wanted
+    assert encoder.given - before < 1.1 * (len(wanted) - len(words))
+
+
+def test_record_encoder_takes_arrow_and_forgets(library, monkeypatch):
+    """Slices and nulls of a column, and parts that do not fit the table of known ones."""
+    draw = random.Random(7)
+    odd = ["Étre", "é,", "İ,", "ß.", "Я,", "й-", "~", "a~b", "`", "\u1fef", "0", "a0b", "don't", "A'S", "x\u0308,", "ǅ1", "z" * 60, "\u02b0", "\u3164"]
+    odd += ["<b", "a<|b", "<|ENDOFTEXT|>,", "<|endoftext|>,"]
+    some = [None, "", " "] + [draw.choice(["", " ", "\x1c", "\xa0", "\n"]).join(draw.choices(odd, k=draw.randint(1, 6))) for _ in range(3000)]
+    wanted = [library.encode(text or "", add_special_tokens=False).ids for text in some]
+    for most in (records.CACHED_PARTS, 40):
+        monkeypatch.setattr(records, "CACHED_PARTS", most)
+        encoder, found = Encoder(WORDS), []
+        column = pa.array(["unused", *some, "unused"])
+        for at in range(0, len(some), 251):
+            found += encoder.encode(column.slice(at + 1, min(251, len(some) - at)))
+        assert [text for text, ids, own in zip(some, found, wanted, strict=True) if np.frombuffer(ids, "<u2").tolist() != own] == []
+        assert len(encoder._parts) <= most
+    assert encoder.encode([]) == encoder.encode(column.slice(0, 0)) == []

@@ -11,22 +11,21 @@ from __future__ import annotations
 import os
 import struct
 import sys
-import unicodedata
 import uuid
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from turntable.llm.classes import Pieces, tokenizers_members
+from turntable.llm.bytelevel import BYTE_OF
 from turntable.llm.common import of_worker, ready_workers
 
 # Fixed values of the record format: the reversed polynomial of CRC-32C, and the mask of stored checksums.
@@ -37,16 +36,16 @@ _HEAD = struct.Struct("<QI")
 _OWN = struct.Struct("<qB")
 _BLOCK = 4096
 READ_BYTES = 4 << 20
-# Some 42 to 150 MB of a worker in all; no other operator's tables stay beside them.
-CACHED_CHUNKS = 1_000_000
-CACHED_PARTS = 700_000
+# Some 160 MB of a worker, for words of usual length; no other operator's tables stay beside them.
+CACHED_PARTS = 1_000_000
 CACHED_BYTES = 48
 INDEX = "doc_id bigint, part int, file string, place bigint, offset bigint, size bigint, n_tokens bigint"
 
-# Chunks hold no line break, so many of them are cut into parts at once, one line each.
-_PART = regex.compile(r"(?:[^\p{L}\n]*+\p{L}++)+?(?!\p{M})|[^\n]+|\n")
-AT_ONCE = 256  # chunks that are cut together, and parts that the library gets as one text
-_BETWEEN = "0"  # the piece between two of these; parts that hold it go alone
+# Chunks hold no white space of ASCII. They are cut between a letter and a sign or digit of ASCII; the letters listed here
+# are letters in every version of Unicode and stay single characters when they are folded (U+0130 does not).
+_LAST_LETTER = "([a-zA-Z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f\u0400-\u0481\u048a-\u04ff])([!-;=-@\\[-`{-~])"
+AT_ONCE = 128  # parts that the library gets as one text
+_BETWEEN = "~"  # the piece between two of these; parts that hold it go alone
 
 
 class RecordError(ValueError):
@@ -98,11 +97,12 @@ _ROWS = 256 * np.arange(_BLOCK - 1, -1, -1, dtype=np.int32)
 
 
 class Encoder:
-    """A library tokenizer that keeps the ids of chunks it has met.
+    """A library tokenizer that keeps the ids of parts of texts it has met.
 
     Where a vocabulary drops white space, no token, special string or composed character crosses it, nor the
-    end of a run of letters that no mark follows, so a text is encoded from such parts; where it also folds
-    case, A-Z may be folded before. For other vocabularies the library encodes whole texts.
+    end of a run of letters, so a text is encoded from such parts; where it also folds case, A-Z may be folded
+    before. Arrow cuts the texts and puts the ids together; only parts not met before go to the library. For
+    other vocabularies, and for special strings without "<|", the library encodes whole texts.
     """
 
     def __init__(self, file: str) -> None:
@@ -113,101 +113,129 @@ class Encoder:
         self._library.no_truncation()
         self._library.no_padding()
         self.width = 2 if self._library.get_vocab_size() <= 1 << 16 else 4
-        self._special = [token.content for token in self._library.get_added_tokens_decoder().values()]
         ends = [self._ids([text])[0] for text in ("a", "b", " a\n  b ")]
-        self._by_chunk = ends[0] + ends[1] == ends[2]
+        special = [token.content for token in self._library.get_added_tokens_decoder().values()]
+        self._by_chunk = ends[0] + ends[1] == ends[2] and all("<|" in one and len(one.split()) == 1 for one in special)
         normal = self._library.normalizer
         self._folds = normal is not None and normal.normalize_str("AZ") == "az"
-        # What is a letter here need not be one to the library, whose Unicode version is its own.
-        self._differs = Pieces(r"\p{L}", tokenizers_members).differs
-        self._chunks: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
+        self._parts: dict[bytes, bytes] = {}
         self._between = self._ids([_BETWEEN])[0]
+        self._ends = self._ends_of_words()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         kind = "H" if self.width == 2 else "I"
         encoded = self._library.encode_batch_fast(texts, add_special_tokens=False)
         return [array(kind, one.ids).tobytes() for one in encoded]
 
-    def _divisible(self, text: str) -> bool:
-        """Whether a letter without a mark ends a piece, also after normalisation and in lower case."""
-        if "<" in text and any(one in text for one in self._special):
-            return False
-        return text.isascii() or ("İ" not in text and unicodedata.is_normalized("NFC", text) and not self._differs(text))
-
-    def _ids_of_parts(self, parts: list[str]) -> list[bytes]:
-        """Ids of texts that white space may be put around; short ones go to the library many at a time.
-
-        A known piece stands between two of these. Where its id does not come out as often, they go one by one.
+    def _ends_of_words(self) -> np.ndarray | None:
+        """Which ids end a piece, where the last one of each piece and no other does."""
+        suffix = getattr(self._library.model, "end_of_word_suffix", None)
+        vocabulary = self._library.get_vocab()
+        if not suffix or not {one + suffix for one in BYTE_OF}.issubset(vocabulary):
+            return None
+        ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        ends[[number for spelling, number in vocabulary.items() if spelling.endswith(suffix)]] = True
+        return ends
+
+    def _together(self, parts: list[str], words: bool) -> tuple[dict[str, bytes], list[str]]:
+        """Ids of parts that go to the library many at a time, and the parts of which it does not tell whose ids are whose.
+
+        Each word has one id at least that ends a piece; where a group has as many as words, each has one. A
+        known piece stands between two other parts, and they are told apart where its id comes out as often.
         """
         ids: dict[str, bytes] = {}
-        alone = [part for part in parts if len(part) > CACHED_BYTES or _BETWEEN in part or "<" in part]
-        if len(self._between) != self.width:
-            alone = parts
-        short = list(set(parts).difference(alone))
-        groups = [short[at : at + AT_ONCE] for at in range(0, len(short), AT_ONCE)]
-        for group, raw in zip(groups, self._ids([f"\n{_BETWEEN}\n".join(group) for group in groups]), strict=True):
-            at = np.flatnonzero(np.frombuffer(raw, dtype=f"u{self.width}") == int.from_bytes(self._between, sys.byteorder))
-            if len(at) == len(group) - 1:
-                ends = [*(at * self.width).tolist(), len(raw)]
+        rest: list[str] = []
+        groups = [parts[at : at + AT_ONCE] for at in range(0, len(parts), AT_ONCE)]
+        between = "\n" if words else f"\n{_BETWEEN}\n"
+        for group, raw in zip(groups, self._ids([between.join(group) for group in groups]), strict=True):
+            numbers = np.frombuffer(raw, dtype=f"u{self.width}")
+            if words:
+                starts = [0, *((np.flatnonzero(self._ends[numbers]) + 1) * self.width).tolist()]
+                stops = starts[1:]
+                starts.pop()
+            else:
+                at = np.flatnonzero(numbers == int.from_bytes(self._between, sys.byteorder))
                 starts = [0, *((at + 1) * self.width).tolist()]
-                ids.update((part, raw[start:end]) for part, start, end in zip(group, starts, ends, strict=True))
+                stops = [*(at * self.width).tolist(), len(raw)]
+            if len(stops) == len(group):
+                ids.update((part, raw[start:stop]) for part, start, stop in zip(group, starts, stops, strict=True))
             else:
-                alone += group
+                rest += group
+        return ids, rest
+
+    def _ids_of_parts(self, parts: list[str]) -> list[bytes]:
+        """Ids of different texts that white space may be put around; short ones go to the library many at a time."""
+        words, mixed, alone = [], [], []
+        for part in parts:
+            if len(part) > CACHED_BYTES:
+                alone.append(part)
+            elif self._ends is not None and part.isalpha():
+                words.append(part)
+            elif len(self._between) != self.width or _BETWEEN in part or "<" in part:
+                alone.append(part)
+            else:
+                mixed.append(part)
+        ids: dict[str, bytes] = {}
+        for some, of_words in ((words, True), (mixed, False)):
+            told, rest = self._together(some, of_words)
+            ids.update(told)
+            alone += rest
         ids.update(zip(alone, self._ids(alone), strict=True))
         return [ids[part] for part in parts]
 
-    def _split(self, chunks: list[bytes]) -> Iterator[list[str]]:
-        """The parts of each chunk."""
-        for at in range(0, len(chunks), AT_ONCE):
-            some = chunks[at : at + AT_ONCE]
-            lines = b"\n".join(some).decode()
-            if not self._divisible(lines):
-                for chunk in some:
-                    text = chunk.decode()
-                    yield _PART.findall(text) if self._divisible(text) else [text]
-                continue
-            parts: list[str] = []
-            for part in _PART.findall(lines):
-                if part == "\n":
-                    yield parts
-                    parts = []
-                else:
-                    parts.append(part)
-            yield parts
-
-    def _fill(self, chunks: list[bytes]) -> dict[bytes, bytes]:
-        """Ids of chunks not met before."""
-        split = dict(zip(chunks, self._split(chunks), strict=True))
-        own = set(chain.from_iterable(split.values()))
-        new = list(own.difference(self._parts))
-        ids = {part: self._parts[part] for part in own.difference(new)}
-        ids.update(zip(new, self._ids_of_parts(new), strict=True))
-        if len(self._parts) + len(new) > CACHED_PARTS:
-            self._parts.clear()
-        self._parts.update((part, ids[part]) for part in new[:CACHED_PARTS] if len(part) <= CACHED_BYTES)
-        return {chunk: b"".join([ids[part] for part in parts]) for chunk, parts in split.items()}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text, `width` bytes each."""
+    def _of_parts(self, parts: pa.Array) -> pa.Array:
+        """Ids of different parts."""
+        names, known = _lines(parts), self._parts
+        ids = [known.get(name) for name in names]
+        new = [at for at, one in enumerate(ids) if one is None]
+        if new:
+            if len(known) + len(new) > CACHED_PARTS:
+                known.clear()
+            texts = b"\n".join([names[at] for at in new]).decode().split("\n")
+            for at, one in zip(new, self._ids_of_parts(texts), strict=True):
+                ids[at] = one
+                if len(names[at]) <= CACHED_BYTES and len(known) < CACHED_PARTS:
+                    known[names[at]] = one
+        return _binary(ids)
+
+    def _of_chunks(self, chunks: pa.Array) -> pa.Array:
+        """Ids of different chunks; one that may hold a special string is a part."""
+        cut = pc.replace_substring_regex(chunks, pattern=_LAST_LETTER, replacement=r"\1 \2")
+        parts = pc.ascii_split_whitespace(pc.if_else(pc.match_substring(chunks, "<"), chunks, cut))
+        different = parts.flatten().dictionary_encode()
+        return _joined(self._of_parts(different.dictionary).take(different.indices), parts.offsets)
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text, `width` bytes each; a null text has none."""
         if not self._by_chunk:
-            return self._ids(texts)
-        raw = [text.encode() for text in texts]
+            return self._ids([text or "" for text in (texts.to_pylist() if isinstance(texts, pa.Array) else texts)])
+        column = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         if self._folds:  # special strings would come to be by folding
-            raw = [one if b"<|" in one else one.lower() for one in raw]
-        split = [one.split() for one in raw]
-        known = self._chunks
-        missing = set().union(*split).difference(known)
-        if missing:
-            if len(known) + len(missing) > CACHED_CHUNKS:
-                known.clear()
-                missing = set().union(*split)
-            known.update(self._fill(list(missing)))
-        out = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
-        for chunk in missing:
-            if len(chunk) > CACHED_BYTES:
-                del known[chunk]
-        return out
+            column = pc.if_else(pc.match_substring(column, "<|"), column, pc.ascii_lower(column))
+        chunks = pc.ascii_split_whitespace(column)
+        different = chunks.flatten().dictionary_encode()
+        return _joined(self._of_chunks(different.dictionary).take(different.indices), chunks.offsets).to_pylist()
+
+
+def _lines(values: pa.Array) -> list[bytes]:
+    """Strings without line breaks as a list; faster than one by one."""
+    if not len(values):
+        return []
+    whole = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values.cast(pa.string()))
+    return pc.binary_join(whole, "\n")[0].as_buffer().to_pybytes().split(b"\n")
+
+
+def _binary(values: list[bytes]) -> pa.Array:
+    ends = np.cumsum(np.fromiter(map(len, values), dtype=np.int64, count=len(values)))
+    buffers = [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int64)), pa.py_buffer(b"".join(values))]
+    return pa.Array.from_buffers(pa.large_binary(), len(values), buffers)
+
+
+def _joined(values: pa.Array, offsets: pa.Array) -> pa.Array:
+    """Values from one offset to the next as one; `values` is of large_binary, without nulls."""
+    _, ends, data = values.buffers()
+    at = np.frombuffer(ends, dtype=np.int64, count=len(values) + 1, offset=8 * values.offset) if len(values) else np.zeros(1, dtype=np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(at[offsets.to_numpy()]), data or pa.py_buffer(b"")])
 
 
 def _encoder(file: str) -> Encoder:
@@ -232,7 +260,7 @@ def _write(batches: Iterator[pa.RecordBatch], path: str, file: str, end_id: int)
             system, folder = _place(path)
             system.create_dir(folder, recursive=True)
             sink = system.open_output_stream(f"{folder}/{name}")
-        ids = encoder.encode([value or "" for value in batch.column(1).to_pylist()])
+        ids = encoder.encode(batch.column(1))
         numbers = batch.column(0).to_pylist()
         wide = 2 * (encoder.width == 4)
         payloads = [_OWN.pack(number or 0, (number is None) | wide) + own + end for number, own in zip(numbers, ids, strict=True)]
